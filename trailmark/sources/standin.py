@@ -99,14 +99,12 @@ def city_info(spark: SparkSession, folder: str) -> DataFrame:
 
 def ad_log_lines(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """Event rows, stored or streamed, as ad log lines in column `value`."""
-    places = F.broadcast(city_info(spark, folder))  # one row per nation, of which there are 25
-    located = rows.join(places, F.col("user_id") % N_CITIES == F.col("city_id"))
+    # millis and ad are worked out below the join, once per row
+    clicks = rows.select(
+        "user_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("millis"), (_k() % 10).alias("ad_id")
+    )
+    located = clicks.join(city_info(spark, folder), F.col("user_id") % N_CITIES == F.col("city_id"))
     line = F.concat_ws(
-        " ",
-        F.unix_millis(F.col("ts").cast("timestamp")),
-        F.translate("area", " ", "-"),
-        F.translate("city_name", " ", "-"),
-        "user_id",
-        _k() % 10,
+        " ", "millis", F.translate("area", " ", "-"), F.translate("city_name", " ", "-"), "user_id", "ad_id"
     )
     return located.select(line.alias("value"))

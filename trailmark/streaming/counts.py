@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trailmark.operators.ads import click_trend, last_minutes, province_top_ads
 from trailmark.sinks import overwrite_partitions
 from trailmark.streaming.blacklist import EVERY_5_SECONDS, EVERY_10_SECONDS, start
-from trailmark.streaming.tables import CountTable
+from trailmark.streaming.tables import CountTable, few_files
 
 
 def running_counts(clicks: DataFrame, window: str, keys: list[str], watermark: str) -> DataFrame:
@@ -25,11 +25,12 @@ def running_counts(clicks: DataFrame, window: str, keys: list[str], watermark: s
 
 
 def province_top_of_batch(stat: CountTable, batch_id: int, path: str, n: int = 3) -> None:
-    """Replaces the top ads of the dates and provinces a batch has changed, from the whole day's counts."""
-    touched = stat.batch(batch_id).select("date", "province").distinct()
-    rows = stat.rows(batch_id, stat.dates_of(batch_id)).join(touched, ["date", "province"], "left_semi")
-    top = province_top_ads(stat.combine(rows), n)
-    overwrite_partitions(top, path, ["date", "province"])
+    """Replaces the top ads of the dates a batch has changed, from the whole day's counts."""
+    dates = stat.dates_of(batch_id)
+    counts = stat.current(batch_id, dates)
+    if dates is None:
+        counts = counts.join(stat.batch(batch_id).select("date"), "date", "left_semi")
+    overwrite_partitions(few_files(province_top_ads(counts, n), "date"), path, ["date"])
 
 
 def ad_stat_stream(

@@ -20,6 +20,7 @@ from trailmark.sinks import overwrite_partitions
 
 BATCH = "batch_id"
 MAX_DATES = 366
+SLICES = 4
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -31,6 +32,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
+def few_files(df: DataFrame, key: str) -> DataFrame:
+    """Brings the rows of a partition together, so that not every task writes a file for every date.
+
+    Adaptive execution cuts a large date into several tasks. In the session of a stateful stream, where it is
+    off, a date is spread over `SLICES` tasks.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", key)
+    return df.repartition(key, F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """Rows per batch, without meaning across batches: filtered clicks, newly blacklisted users."""
@@ -79,7 +91,8 @@ class CountTable:
         )
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        rows = df.select(*self.schema.names).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        rows = few_files(df.select(*self.schema.names), "date")
+        rows = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
         overwrite_partitions(rows, f"{self.path}/{name}", ["date", BATCH])
 
     def write(self, df: DataFrame, batch_id: int) -> None:
