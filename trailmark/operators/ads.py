@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.operators.skew import broadcast_checked
 from trailmark.operators.topn import top_n_per_group
 
 BLACKLIST_THRESHOLD = 100
@@ -67,8 +68,12 @@ def daily_blacklist(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
 
 
 def clicks_until_flagged(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """The clicks of a blacklisted user up to and including the flagged date, and all others' clicks."""
-    joined = clicks.join(blacklist, "user_id", "left")
+    """The clicks of a blacklisted user up to and including the flagged date, and all others' clicks.
+
+    `blacklist` should be a stored table: it is counted, and broadcast if it is small. Otherwise both sides are
+    shuffled as they are read, which lets adaptive execution cut up a user with very many clicks.
+    """
+    joined = clicks.join(broadcast_checked(blacklist), "user_id", "left")
     kept = F.col("flagged_date").isNull() | (click_date(F.col("ts")) <= F.col("flagged_date"))
     return joined.where(kept).select(*clicks.columns)
 

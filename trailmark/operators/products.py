@@ -18,10 +18,12 @@ def product_clicks(actions: DataFrame) -> DataFrame:
     return clicks.select("city_id", F.col("click_product_id").alias("product_id"))
 
 
-def _city_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks per (area, city, product). Counted per city and product first, so that a hot product or city
-    is combined before it meets the city table."""
+def _city_clicks(clicks: DataFrame, cities: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Clicks per (area, city, product), of `known` products if given. Counted per city and product first, so
+    that a hot product or city is combined before it meets the other tables."""
     counts = clicks.groupBy("city_id", "product_id").agg(F.count(F.lit(1)).alias("click_count"))
+    if known is not None:
+        counts = counts.join(known.select("product_id"), "product_id", "left_semi")
     places = cities.select(F.col("city_id").cast("long").alias("city_id"), "city_name", "area")
     return counts.join(broadcast_checked(places), "city_id")
 
@@ -52,20 +54,19 @@ def area_top_products(
 
     Ranking needs counts only. City lists, names and status are put together afterwards, for the winners.
     """
-    city_clicks = _city_clicks(product_clicks(actions), cities)
+    city_clicks = _city_clicks(product_clicks(actions), cities, products)
     counts = city_clicks.groupBy("area", "product_id").agg(F.sum("click_count").alias("click_count"))
-    known = counts.join(products.select("product_id"), "product_id", "left_semi")
-    top = top_n_per_group(known, ["area"], [F.col("click_count").desc(), F.col("product_id")], n)
+    top = top_n_per_group(counts, ["area"], [F.col("click_count").desc(), F.col("product_id")], n)
     winners = top.select("area", "product_id")
     areas = count_up_to(cities.select("area").distinct(), BROADCAST_ROWS)
     # the same counts per city are read again: one shuffle serves both
-    places = _with_city_infos(
+    placed = _with_city_infos(
         city_clicks.join(broadcast_bounded(winners, n * areas), ["area", "product_id"], "left_semi")
     )
     described = products.select(
         "product_id", "product_name", product_status(F.col("extend_info")).alias("product_status")
     )
-    return places.join(described, "product_id").select(
+    return described.join(broadcast_bounded(placed, n * areas), "product_id").select(
         "area",
         area_level(F.col("area"), levels).alias("area_level"),
         "product_id",

@@ -11,7 +11,7 @@ from trailmark import schemas
 from trailmark.functions import format_time
 from trailmark.operators import ads, categories, pages, products, sampling, sessions
 from trailmark.params import TaskParams
-from trailmark.scratch import shared_folder
+from trailmark.scratch import shared_folder, written
 from trailmark.sources import standin
 from trailmark.sources.tables import file_lines
 from trailmark.streaming import blacklist, counts
@@ -97,7 +97,8 @@ def filtered_session_stats(spark, folder):
 @query
 def session_details(spark, folder):
     actions = standin.user_visit_action(spark, folder)
-    return _details(sessions.session_details(actions, _filtered(spark, folder)))
+    kept = written(_filtered(spark, folder).select("session_id"), shared_folder(spark), "kept")
+    return _details(sessions.session_details(actions, kept))
 
 
 @query
@@ -202,7 +203,8 @@ def ad_blacklist(spark, folder):
 @query
 def ad_clicks_after_blacklist(spark, folder):
     clicks = _clicks(spark, folder)
-    return _click_rows(ads.clicks_until_flagged(clicks, ads.daily_blacklist(clicks, THRESHOLD)))
+    listed = written(ads.daily_blacklist(clicks, THRESHOLD), shared_folder(spark), "blacklist")
+    return _click_rows(ads.clicks_until_flagged(clicks, listed))
 
 
 @query
