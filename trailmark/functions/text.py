@@ -10,7 +10,7 @@ def is_blank(c: Column) -> Column:
 
 def csv_strings(c: Column) -> Column:
     """Comma-separated text as an array of its non-blank parts; NULL stays NULL."""
-    parts = F.transform(F.split(c, ","), F.trim)
+    parts = F.transform(F.split(c, ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: F.length(x) > 0)
 
 

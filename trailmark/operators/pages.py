@@ -24,8 +24,6 @@ def _literal(spark: SparkSession, rows: Sequence[Sequence[int | None]], *names:
 def flow_steps(spark: SparkSession, flow: Sequence[int]) -> DataFrame:
     """step, from_page, to_page: one row for each step of the flow; step 0 is the start page."""
     pages = [None, *[int(p) for p in flow]]
-    if len(pages) < 3:
-        raise ValueError("a page flow needs at least two pages")
     rows = [(i, a, b) for i, (a, b) in enumerate(zip(pages, pages[1:]))]
     return _literal(spark, rows, "step", "from_page", "to_page")
 
@@ -100,6 +98,8 @@ def _moves(
     actions: DataFrame, flow: Sequence[int], tie_breakers: Sequence[str], hot_rows: int | None
 ) -> DataFrame:
     """(prev_page, page_id, n) for the pairs of the flow, and prev_page NULL for other views of its start."""
+    if len(flow) < 2:
+        raise ValueError("a page flow needs at least two pages")
     order = ["action_time", *tie_breakers]
     rows = actions.select("session_id", "page_id", *order)
     if hot_rows is None:
