@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.functions import format_date
 from trailmark.operators.skew import broadcast_checked
 from trailmark.operators.topn import top_n_per_group
 
@@ -44,14 +45,14 @@ def ad_log_rejects(lines: DataFrame) -> DataFrame:
     return _fields(lines).where(f"not ({_VALID})").drop("_click")
 
 
-def click_date(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+def _daily(clicks: DataFrame, *keys: str) -> DataFrame:
+    """Clicks per date and keys; the date is written as text after counting."""
+    counts = clicks.groupBy(F.to_date("ts").alias("date"), *keys)
+    return counts.agg(F.count(F.lit(1)).alias("click_count")).withColumn("date", format_date(F.col("date")))
 
 
 def user_daily_clicks(clicks: DataFrame) -> DataFrame:
-    return clicks.groupBy(click_date(F.col("ts")).alias("date"), "user_id", "ad_id").agg(
-        F.count(F.lit(1)).alias("click_count")
-    )
+    return _daily(clicks, "user_id", "ad_id")
 
 
 def over_threshold(counts: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
@@ -73,15 +74,14 @@ def clicks_until_flagged(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     `blacklist` should be a stored table: it is counted, and broadcast if it is small. Otherwise both sides are
     shuffled as they are read, which lets adaptive execution cut up a user with very many clicks.
     """
-    joined = clicks.join(broadcast_checked(blacklist), "user_id", "left")
-    kept = F.col("flagged_date").isNull() | (click_date(F.col("ts")) <= F.col("flagged_date"))
+    flags = blacklist.select("user_id", F.col("flagged_date").cast("date").alias("_flagged"))
+    joined = clicks.join(broadcast_checked(flags), "user_id", "left")
+    kept = F.col("_flagged").isNull() | (F.to_date("ts") <= F.col("_flagged"))
     return joined.where(kept).select(*clicks.columns)
 
 
 def ad_stat(clicks: DataFrame) -> DataFrame:
-    return clicks.groupBy(click_date(F.col("ts")).alias("date"), "province", "city", "ad_id").agg(
-        F.count(F.lit(1)).alias("click_count")
-    )
+    return _daily(clicks, "province", "city", "ad_id")
 
 
 def province_top_ads(stat: DataFrame, n: int = 3) -> DataFrame:

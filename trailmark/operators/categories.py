@@ -2,33 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.functions import csv_longs
 from trailmark.operators.skew import broadcast_bounded
 from trailmark.operators.topn import top_n_per_group
 
-_MENTION = "array<struct<category_id:bigint,kind:string>>"
-
-
-def _mentions(ids: Column, kind: str) -> Column:
-    tagged = F.transform(ids, lambda c: F.struct(c.alias("category_id"), F.lit(kind).alias("kind")))
-    return F.coalesce(tagged, F.array()).cast(_MENTION)
+KINDS = ("click", "order", "pay")
 
 
 def category_counts(details: DataFrame) -> DataFrame:
     """Clicks, orders and payments per category in one aggregation; a list naming a category twice counts it
-    twice. Each row is opened into (category, kind) and combined before the only shuffle."""
-    clicks = F.array_compact(F.array("click_category_id"))
-    mentions = F.concat(
-        _mentions(clicks, "click"),
-        _mentions(csv_longs(F.col("order_category_ids")), "order"),
-        _mentions(csv_longs(F.col("pay_category_ids")), "pay"),
+    twice. Each row is opened into (kind, category) and combined before the only shuffle."""
+    lists = F.array(F.col("click_category_id").cast("string"), "order_category_ids", "pay_category_ids")
+    opened = (
+        details.select(F.posexplode(lists).alias("kind", "ids"))
+        .where(F.col("ids").isNotNull())
+        .select("kind", F.explode(F.split("ids", ",")).alias("id"))
+        .select("kind", F.trim("id").try_cast("bigint").alias("category_id"))
+        .where(F.col("category_id").isNotNull())
     )
-    opened = details.select(F.inline(mentions))
     return opened.groupBy("category_id").agg(
-        *[F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in ("click", "order", "pay")]
+        *[F.count_if(F.col("kind") == i).alias(f"{kind}_count") for i, kind in enumerate(KINDS)]
     )
 
 

@@ -104,7 +104,7 @@ def _moves(
     rows = actions.select("session_id", "page_id", *order)
     if hot_rows is None:
         return _usual_moves(rows, order, flow)
-    hot = F.broadcast(hot_keys(rows, ["session_id"], hot_rows))
+    hot = F.broadcast(hot_keys(rows, ["session_id"], hot_rows, tell_apart=order))
     usual = _usual_moves(rows.join(hot, "session_id", "left_anti"), order, flow)
     large = _hot_moves(rows.join(hot, "session_id", "left_semi"), order, flow)
     return usual.unionByName(large).groupBy("prev_page", "page_id").agg(F.sum("n").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmark.functions import format_date, int_div
+from trailmark.functions import int_div
 from trailmark.operators.skew import broadcast_bounded
 
 # sessions of an hour are cut into 16**3 slices by the first digits of their draw
@@ -13,12 +13,16 @@ SLICE_DIGITS = 3
 
 
 def _with_draw(sessions: DataFrame, seed: str) -> DataFrame:
-    return (
-        sessions.withColumn("_date", format_date(F.col("start_time")))
-        .withColumn("_hour", F.date_format("start_time", "HH"))
-        .withColumn("_draw", F.md5(F.concat(F.lit(seed), F.col("session_id"))))
-        .withColumn("_slice", F.substring("_draw", 1, SLICE_DIGITS))
+    draw = F.coalesce(F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.lit(""))
+    keyed = sessions.where(F.col("start_time").isNotNull()).select(
+        "session_id",
+        F.to_date("start_time").alias("_date"),
+        F.hour("start_time").alias("_hour"),
+        draw.alias("_draw"),
+        F.substring(draw, 1, SLICE_DIGITS).alias("_slice"),
     )
+    # said here rather than left to the joins, so that all uses of the counts share one shuffle
+    return keyed.where("_date is not null and _hour is not null")
 
 
 def _quota(total: int) -> Column:
@@ -40,7 +44,8 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
 
     Within an hour the sessions with the smallest md5(seed || session_id) are taken. No hour is ever sorted
     as a whole: counts per (hour, slice of the draw) tell which slices are taken completely and in which one
-    the quota ends, and only candidates of one slice are ranked together.
+    the quota ends, and only candidates of one slice are ranked together. Drawing needs the start times only;
+    the other columns are fetched for the sampled sessions.
     """
     keyed = _with_draw(sessions, seed)
     slices = keyed.groupBy("_date", "_hour", "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -62,7 +67,9 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
         Window.partitionBy("_date", "_hour", "_slice").orderBy("_draw", "session_id")
     )
     chosen = candidates.withColumn("_rank", rank).where("_slice < _last or _rank <= _rest")
-    return chosen.select("session_id", "start_time", "search_keywords", "click_category_ids")
+    picked = broadcast_bounded(chosen.select("session_id"), total)
+    rows = sessions.select("session_id", "start_time", "search_keywords", "click_category_ids")
+    return rows.join(picked, "session_id", "left_semi")
 
 
 def sample_details(sample: DataFrame, details: DataFrame, total: int = 100) -> DataFrame:

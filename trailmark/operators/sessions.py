@@ -14,6 +14,7 @@ from trailmark.functions import (
     format_date,
     in_bucket,
     is_blank,
+    pad2,
     ratio,
     seconds_between,
 )
@@ -89,9 +90,13 @@ def session_details(actions: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy(
-        format_date(F.col("start_time")).alias("date"), F.date_format("start_time", "HH").alias("hour")
+    """date, hour (two digits) and session_count; written as text after counting."""
+    counts = sessions.groupBy(
+        F.to_date("start_time").alias("day"), F.hour("start_time").alias("hour_of_day")
     ).agg(F.count(F.lit(1)).alias("session_count"))
+    return counts.select(
+        format_date(F.col("day")).alias("date"), pad2(F.col("hour_of_day")).alias("hour"), "session_count"
+    )
 
 
 def session_hour_share(sessions: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ from trailmark.streaming.blacklist import (
 from trailmark.streaming.counts import ad_stat_stream, click_trend_stream
 from trailmark.streaming.tables import CountTable
 
+CATEGORY_COLUMNS = ("click_category_id", "order_category_ids", "pay_category_ids")
+
 
 def session_job(
     actions: DataFrame,
@@ -37,13 +39,17 @@ def session_job(
     """Writes session_aggr_stat, session_random_extract, session_detail, top10_category and
     top10_category_session below `out`.
 
-    The filtered sessions and their actions, which five results read, are written to the shared folder once.
+    The filtered sessions, and of their actions the columns that name categories, are written to the shared
+    folder once. The details stored in the end belong to a bounded number of sessions and come from the log.
     """
     folder = shared_folder(actions.sparkSession)
     log = task_actions(actions, params)
     kept = sessions.filter_sessions(sessions.session_aggregate(log, users), params)
     kept = written(kept, folder, "sessions")
-    details = written(sessions.session_details(log, kept), folder, "details")
+    mentions = log.select("session_id", *CATEGORY_COLUMNS).where(
+        " or ".join(f"{c} is not null" for c in CATEGORY_COLUMNS)
+    )
+    mentions = written(sessions.session_details(mentions, kept), folder, "mentions")
 
     def store(df: DataFrame, table: str, schema, write) -> None:
         write(schemas.to_stored(df, schema, task_id), f"{out}/{table}")
@@ -52,18 +58,18 @@ def session_job(
 
     sample = written(sampling.sample_sessions(kept, sample_size, seed), folder, "sample")
     store(sample, "session_random_extract", schemas.SESSION_RANDOM_EXTRACT, sinks.append)
-    drawn = sampling.sample_details(sample, details, sample_size)
+    drawn = sampling.sample_details(sample, log, sample_size)
     store(drawn, "session_detail", schemas.SESSION_DETAIL, sinks.append)
 
     best = written(
-        categories.top_categories(categories.category_counts(details), top), folder, "top_categories"
+        categories.top_categories(categories.category_counts(mentions), top), folder, "top_categories"
     )
     store(best, "top10_category", schemas.TOP10_CATEGORY, sinks.overwrite)
     active = written(
-        categories.top_sessions_per_category(details, best, top, top), folder, "top_sessions"
+        categories.top_sessions_per_category(mentions, best, top, top), folder, "top_sessions"
     )
     store(active, "top10_category_session", schemas.TOP10_CATEGORY_SESSION, sinks.overwrite)
-    clicked = categories.top_session_details(details, active, top * top)
+    clicked = categories.top_session_details(log, active, top * top)
     store(clicked, "session_detail", schemas.SESSION_DETAIL, sinks.append)
 
 
@@ -122,11 +128,10 @@ def ad_job(
 
     With a trigger that ends (availableNow) the counts start when the blacklist has finished.
     """
+    tables.blacklist.clicks.create()  # the counting streams need the folder to exist
     first = blacklist_stream(lines, tables.blacklist, f"{checkpoint}/blacklist", threshold, trigger)
     if "availableNow" in trigger:
         first.awaitTermination()
-    # the counting streams need the folder to exist
-    tables.blacklist.clicks.create()
     clicks = filtered_clicks_stream(tables.blacklist)
     stat = ad_stat_stream(
         clicks, tables.stat, f"{checkpoint}/stat", tables.province_top_path, trigger=trigger

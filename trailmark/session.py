@@ -9,9 +9,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # collect_set keeps one small object per session; the default of 128 keys per task sends almost every
-    # session aggregation to the sorting fallback
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # running counts are kept on disk, not in the executors' heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

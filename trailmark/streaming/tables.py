@@ -65,8 +65,8 @@ class BatchTable:
         return self.read().where(F.col(BATCH) < batch_id).drop(BATCH)
 
     def create(self) -> None:
-        """Makes the folder of a table that has no rows yet."""
-        self.spark.createDataFrame([], self.schema).write.mode("append").parquet(self.path)
+        """Makes the folder of a table that has no rows yet; leaves an existing one as it is."""
+        self.read().limit(0).write.mode("append").partitionBy(BATCH).parquet(self.path)
 
     def has(self, batch_id: int) -> bool:
         return not self.batch(batch_id).isEmpty()
