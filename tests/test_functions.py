@@ -5,6 +5,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from trailmark import functions as X
+from trailmark.functions.sql import register_sql_functions
 
 
 def one(spark, column, **values):
@@ -79,3 +80,19 @@ def test_labels(spark):
     status["{bad"] = "third party"
     for text, want in status.items():
         assert one(spark, X.product_status(F.col("j")), j=text) == want
+
+
+def test_sql_functions(spark):
+    register_sql_functions(spark)
+    rows = [("11", "a", '{"product_status": 0}'), ("1", "a", "{}"), ("11", "a", "{bad")]
+    spark.createDataFrame(rows, "id string, name string, info string").createOrReplaceTempView("sql_rows")
+    got = spark.sql(
+        """
+        SELECT listagg(DISTINCT place, ',') WITHIN GROUP (ORDER BY place) AS places,
+          count_if(status = '0') AS own
+        FROM (
+          SELECT concat_long_string(CAST(id AS BIGINT), name, ':') AS place,
+            json_field(info, 'product_status') AS status
+          FROM sql_rows)"""
+    ).first()
+    assert (got.places, got.own) == ("11:a,1:a", 1)

@@ -32,7 +32,10 @@ def _quota(total: int) -> Column:
 
 
 def hour_quotas(hours: DataFrame, total: int = 100) -> DataFrame:
-    """Adds `quota` to rows of (_date, _hour, _in_hour): total div days per day, then by share of the hour."""
+    """Adds `quota` to rows of (_date, _hour, _in_hour): total div days per day, then by share of the hour.
+
+    There is one row per hour of the date range, few enough for one task to count the days.
+    """
     days = F.size(F.collect_set("_date").over(Window.partitionBy())).cast("long")
     in_day = F.sum("_in_hour").over(Window.partitionBy("_date"))
     counted = hours.withColumn("_days", days).withColumn("_in_day", in_day)

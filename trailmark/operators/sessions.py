@@ -27,7 +27,8 @@ def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
     """Distinct search words and clicked categories (ascending), start, length in seconds and in actions of
     each session, with its user's attributes. Sessions of unknown users are left out.
 
-    One shuffle of map-side combined rows by session, then the join with the users.
+    One shuffle by session of rows combined on the map side, so that a session with very many actions arrives
+    as one row per map task; then the join with the users. Lists nobody reads are not built.
     """
     word = F.when(~is_blank(F.col("search_keyword")), F.col("search_keyword"))
     sessions = (

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,10 +230,12 @@ def _run_blacklist(spark: SparkSession, folder: str) -> blacklist.BlacklistTable
     day = F.to_date("ts")
     events = standin.events(spark, folder)
     first, last = events.agg(F.min(day), F.max(day)).first()
-    part = F.floor(F.date_diff(day, F.lit(first)) * ARRIVALS / ((last - first).days + 1))
+    days = (last - first).days + 1
+    starts = [first + timedelta(days=ceil(i * days / ARRIVALS)) for i in range(ARRIVALS + 1)]
     tables = blacklist.BlacklistTables.at(spark, f"{work}/tables")
     for i in range(ARRIVALS):
-        arriving = standin.ad_log_lines(events.where(part == i), spark, folder)
+        part = events.where((F.col("ts") >= F.lit(starts[i])) & (F.col("ts") < F.lit(starts[i + 1])))
+        arriving = standin.ad_log_lines(part, spark, folder)
         arriving.write.mode("append").text(f"{work}/lines")
         blacklist.blacklist_stream(
             file_lines(spark, f"{work}/lines"),

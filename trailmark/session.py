@@ -16,10 +16,15 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "trailmark", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "trailmark", master: str | None = None, hive: bool = False, **conf: str
+) -> SparkSession:
+    """`hive` resolves table names in the Hive metastore instead of the session's own catalog."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
