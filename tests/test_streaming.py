@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -70,15 +71,23 @@ def test_blacklist_batches_and_their_replay(spark, tmp_path):
 
 def test_folding_changes_nothing(spark, tmp_path):
     tables = B.BlacklistTables.at(spark, str(tmp_path))
+    folding = replace(tables, user_clicks=replace(tables.user_clicks, fold_every=2))
     for i, batch in enumerate(BATCHES):
-        B.process_batch(clicks(spark, *batch), i, tables, threshold=3)
-        if i == 1:
-            tables.user_clicks.fold(1, ["2024-01-01"])
-        if i == 2:
-            tables.user_clicks.fold(2)
+        B.process_batch(clicks(spark, *batch), i, folding, threshold=3)
+        B.process_batch(clicks(spark, *batch), i, folding, threshold=3)  # as after a failure
+    check(tables)
+    # batch 2 folded both dates as of batch 1; only the second has had rows before batch 2
+    assert pairs(tables.user_clicks.rows().select("date", "batch_id").distinct(), "*") == [
+        ("2024-01-01", 1),
+        ("2024-01-01", 2),
+        ("2024-01-02", 2),
+        ("2024-01-02", 3),
+    ]
+    tables.user_clicks.fold(3)
     check(tables)
-    # rows of a folded date come from the fold alone, later batches from themselves
-    assert pairs(tables.user_clicks.rows().groupBy("batch_id").count(), "batch_id", "count") == [(2, 5), (3, 1)]
+    assert pairs(tables.user_clicks.rows().select("batch_id").distinct(), "*") == [(3,)]
+    kept = sorted(p.name for p in (tmp_path / "ad_user_click_count" / "batches" / "date=2024-01-01").iterdir())
+    assert [k for k in kept if k.startswith("batch")] == ["batch_id=2"]
 
 
 def test_blacklist_stream_goes_on_from_its_checkpoint(spark, tmp_path):
@@ -97,7 +106,7 @@ def click_stream(spark, folder):
 
 
 def test_stat_and_province_top_over_several_runs(spark, tmp_path):
-    stat = CountTable(spark, str(tmp_path / "stat"), schemas.AD_STAT, "latest")
+    stat = CountTable(spark, str(tmp_path / "stat"), schemas.AD_STAT, "latest", fold_every=3)
     batches = [
         rows(0, 1, 1, 2) + rows(0, 1, 2, 3, "q"),
         rows(0, 1, 1, 1, city="d") + rows(0, 1, 3, 1) + rows(0, 5, 4, 1) + rows(0, 5, 5, 2),

@@ -36,14 +36,16 @@ def drop_listed(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     return clicks.join(broadcast_checked(blacklist), "user_id", "left_anti")
 
 
-def newly_listed(tables: BlacklistTables, batch_id: int, threshold: int) -> DataFrame:
+def newly_listed(
+    tables: BlacklistTables, batch_id: int, dates: list[str] | None, threshold: int
+) -> DataFrame:
     """Users whose count of a day and ad, up to this batch, reached the threshold through this batch.
 
     Only the dates of this batch are read, and of them only its keys are summed.
     """
     keys = tables.user_clicks.keys
-    touched = tables.user_clicks.batch(batch_id).select(*keys)
-    rows = tables.user_clicks.rows(batch_id, tables.user_clicks.dates_of(batch_id))
+    touched = tables.user_clicks.batch(batch_id, dates).select(*keys)
+    rows = tables.user_clicks.rows(batch_id, dates)
     counts = tables.user_clicks.combine(rows.join(touched, keys, "left_semi"))
     users = over_threshold(counts, threshold).select("user_id").distinct()
     return users.join(tables.blacklist.before(batch_id), "user_id", "left_anti")
@@ -55,8 +57,9 @@ def process_batch(
     if not tables.clicks.has(batch_id):
         # readers of this table may have seen an earlier run's files, so a second run leaves them as they are
         tables.clicks.write(drop_listed(clicks, tables.blacklist.before(batch_id)), batch_id)
-    tables.user_clicks.write(user_daily_clicks(tables.clicks.batch(batch_id)), batch_id)
-    tables.blacklist.write(newly_listed(tables, batch_id, threshold), batch_id)
+    dates = tables.user_clicks.write(user_daily_clicks(tables.clicks.batch(batch_id)), batch_id)
+    if dates != []:
+        tables.blacklist.write(newly_listed(tables, batch_id, dates, threshold), batch_id)
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict) -> StreamingQuery:

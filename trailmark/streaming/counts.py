@@ -24,9 +24,10 @@ def running_counts(clicks: DataFrame, window: str, keys: list[str], watermark: s
     )
 
 
-def province_top_of_batch(stat: CountTable, batch_id: int, path: str, n: int = 3) -> None:
+def province_top_of_batch(
+    stat: CountTable, batch_id: int, dates: list[str] | None, path: str, n: int = 3
+) -> None:
     """Replaces the top ads of the dates a batch has changed, from the whole day's counts."""
-    dates = stat.dates_of(batch_id)
     counts = stat.current(batch_id, dates)
     if dates is None:
         counts = counts.join(stat.batch(batch_id).select("date"), "date", "left_semi")
@@ -47,9 +48,9 @@ def ad_stat_stream(
     daily = counts.withColumn("date", F.date_format("window_start", "yyyy-MM-dd"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        stat.write(batch, batch_id)
-        if province_top_path:
-            province_top_of_batch(stat, batch_id, province_top_path, n)
+        dates = stat.write(batch, batch_id)
+        if province_top_path and dates != []:  # a batch without rows only moves the watermark
+            province_top_of_batch(stat, batch_id, dates, province_top_path, n)
 
     return start(daily.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger)
 

@@ -2,8 +2,8 @@
 
 Every batch replaces its own partition `batch_id=N`, so a batch that is run again leaves one copy. What the
 table says is worked out on reading: a "sum" table adds the batches' counts per key, a "latest" table takes
-the count of the newest batch. `fold` keeps reading cheap: it writes the state of a date as of one batch,
-after which older batches of that date are not read any more.
+the count of the newest batch. Folding keeps reading cheap: the state of a date as of one batch is written, and
+older batches of that date are not read any more and removed.
 """
 
 from __future__ import annotations
@@ -23,13 +23,29 @@ MAX_DATES = 366
 SLICES = 4
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: StructType, *folders: str) -> DataFrame:
+    """A table's rows with their batch, or none if nothing was written yet. Only the given folders (patterns
+    below the path) are listed, as the number of batches grows all the time."""
+    schema = StructType(list(schema)).add(BATCH, LongType())
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet("/".join([path, *folders]))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def date_folders(dates: Sequence[str] | None) -> str:
+    return "date=*" if dates is None else f"date={{{','.join(dates)}}}"
+
+
+def remove_batches(spark: SparkSession, path: str, dates: Sequence[str], upto: int) -> None:
+    """Deletes the partitions of batches up to `upto` of the given dates."""
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date_folders(dates)}/{BATCH}=*")
+    files = folders.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(folders) or ():
+        if int(status.getPath().getName().split("=")[1]) <= upto:
+            files.delete(status.getPath(), True)
 
 
 def few_files(df: DataFrame, key: str) -> DataFrame:
@@ -56,10 +72,10 @@ class BatchTable:
         overwrite_partitions(rows, self.path, [BATCH])
 
     def read(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, StructType(list(self.schema)).add(BATCH, LongType()))
+        return read_or_empty(self.spark, self.path, self.schema)
 
     def batch(self, batch_id: int) -> DataFrame:
-        return self.read().where(F.col(BATCH) == batch_id).drop(BATCH)
+        return read_or_empty(self.spark, self.path, self.schema, f"{BATCH}={batch_id}").drop(BATCH)
 
     def before(self, batch_id: int) -> DataFrame:
         return self.read().where(F.col(BATCH) < batch_id).drop(BATCH)
@@ -74,48 +90,51 @@ class BatchTable:
 
 @dataclass(frozen=True)
 class CountTable:
-    """`click_count` per key, the first key being `date`; `kind` is "sum" or "latest"."""
+    """`click_count` per key, the first key being `date`; `kind` is "sum" or "latest".
+
+    Every `fold_every` batches the dates just written are folded.
+    """
 
     spark: SparkSession
     path: str
     schema: StructType
     kind: str
+    fold_every: int = 100
 
     @property
     def keys(self) -> list[str]:
         return [name for name in self.schema.names if name != "click_count"]
 
-    def _part(self, name: str) -> DataFrame:
-        return read_or_empty(
-            self.spark, f"{self.path}/{name}", StructType(list(self.schema)).add(BATCH, LongType())
-        )
+    def _part(self, name: str, dates: Sequence[str] | None = None, batch: str = "*") -> DataFrame:
+        folders = (date_folders(dates), f"{BATCH}={batch}")
+        return read_or_empty(self.spark, f"{self.path}/{name}", self.schema, *folders)
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         rows = few_files(df.select(*self.schema.names), "date")
         rows = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
         overwrite_partitions(rows, f"{self.path}/{name}", ["date", BATCH])
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int) -> list[str] | None:
+        """Stores a batch. Returns the dates it touched, or None if there are too many to list."""
         self._write(df, "batches", batch_id)
+        dates = self._dates_of(batch_id)
+        if batch_id and batch_id % self.fold_every == 0 and dates != []:
+            self.fold(batch_id - 1, dates)
+        return dates
 
-    def batch(self, batch_id: int) -> DataFrame:
-        return self._part("batches").where(F.col(BATCH) == batch_id).drop(BATCH)
-
-    def dates_of(self, batch_id: int) -> list[str] | None:
-        """The dates a batch touched, to read only their partitions; None if there are too many to list."""
+    def _dates_of(self, batch_id: int) -> list[str] | None:
         dates = self.batch(batch_id).select("date").distinct().limit(MAX_DATES + 1)
         found = [row.date for row in dates.collect()]
         return found if len(found) <= MAX_DATES else None
 
+    def batch(self, batch_id: int, dates: Sequence[str] | None = None) -> DataFrame:
+        return self._part("batches", dates, str(batch_id)).drop(BATCH)
+
     def rows(self, upto: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
         """Folded rows and later batches, up to batch `upto`."""
-        folds, batches = self._part("folds"), self._part("batches")
+        folds, batches = self._part("folds", dates), self._part("batches", dates)
         if upto is not None:
             folds, batches = folds.where(F.col(BATCH) <= upto), batches.where(F.col(BATCH) <= upto)
-        if dates is not None:
-            folds, batches = folds.where(F.col("date").isin(dates)), batches.where(F.col("date").isin(dates))
-        if folds.isEmpty():
-            return batches
         newest = folds.groupBy("date").agg(F.max(BATCH).alias("_fold"))
         old = folds.join(newest, "date").where(F.col(BATCH) == F.col("_fold"))
         new = batches.join(newest, "date", "left").where(
@@ -131,5 +150,9 @@ class CountTable:
         return self.combine(self.rows(upto, dates))
 
     def fold(self, upto: int, dates: Sequence[str] | None = None) -> None:
-        """Stores the state as of batch `upto`. Only batches the stream has finished may be folded."""
+        """Stores the state as of batch `upto`, which the stream must have finished, and then removes what
+        it replaces. Nothing is removed if the dates are not listed."""
         self._write(self.current(upto, dates), "folds", upto)
+        if dates:
+            remove_batches(self.spark, f"{self.path}/batches", dates, upto)
+            remove_batches(self.spark, f"{self.path}/folds", dates, upto - 1)
