@@ -92,7 +92,16 @@ moves AS (
 pairs AS (
   SELECT CAST(from_page AS BIGINT) AS from_page, CAST(to_page AS BIGINT) AS to_page,
     count(*) AS pair_count
-  FROM moves JOIN flow ON prev = from_page AND page_id = to_page GROUP BY from_page, to_page)"""
+  FROM moves JOIN flow ON prev = from_page AND page_id = to_page GROUP BY from_page, to_page),
+conversion AS (
+  SELECT CAST(step AS BIGINT) AS step, CAST(from_page AS BIGINT) AS from_page,
+    CAST(to_page AS BIGINT) AS to_page, n AS pair_count,
+    ((200 * n + base) // nullif(2 * base, 0)) / 100.0 AS convert_rate
+  FROM (
+    SELECT step, from_page, to_page, coalesce(pair_count, 0) AS n,
+      coalesce(lag(coalesce(pair_count, 0)) OVER (ORDER BY step),
+        (SELECT count(*) FROM uva WHERE page_id = 1)) AS base
+    FROM flow LEFT JOIN pairs USING (from_page, to_page)))"""
 
 _AREAS = """
 area_clicks AS (
@@ -197,6 +206,9 @@ ORACLES = {
     "session_details": _sessions(
         f"SELECT {_ACTION_COLUMNS} FROM uva WHERE session_id IN (SELECT session_id FROM filtered)"
     ),
+    "sessions_per_hour": _sessions(
+        "SELECT date, hour, count(*) AS session_count FROM full_sess GROUP BY date, hour"
+    ),
     "session_hour_share": _sessions(
         "SELECT date, hour, count(*) AS session_count, count(*) / (SELECT count(*) FROM full_sess) AS share"
         " FROM full_sess GROUP BY date, hour"
@@ -218,17 +230,17 @@ ORACLES = {
         _EVENTS,
         _CATEGORIES,
     ),
+    "top_session_details_per_category": _with(
+        f"SELECT category_id, {_ACTION_COLUMNS.replace('session_id', 'uva.session_id')}"
+        " FROM uva JOIN top_sess ON uva.session_id = top_sess.session_id",
+        _EVENTS,
+        _CATEGORIES,
+    ),
     "page_pair_counts": _with("SELECT * FROM pairs", _EVENTS, _PAGES),
-    "page_conversion": _with(
-        """
-SELECT CAST(step AS BIGINT) AS step, CAST(from_page AS BIGINT) AS from_page,
-  CAST(to_page AS BIGINT) AS to_page, n AS pair_count,
-  ((200 * n + base) // nullif(2 * base, 0)) / 100.0 AS convert_rate
-FROM (
-  SELECT step, from_page, to_page, coalesce(pair_count, 0) AS n,
-    coalesce(lag(coalesce(pair_count, 0)) OVER (ORDER BY step),
-      (SELECT count(*) FROM uva WHERE page_id = 1)) AS base
-  FROM flow LEFT JOIN pairs USING (from_page, to_page))""",
+    "page_conversion": _with("SELECT * FROM conversion", _EVENTS, _PAGES),
+    "page_split_convert_rate": _with(
+        "SELECT string_agg(from_page || '_' || to_page || '=' || convert_rate, '|' ORDER BY step)"
+        " AS convert_rate FROM conversion",
         _EVENTS,
         _PAGES,
     ),
@@ -263,6 +275,9 @@ WHERE rn <= 3""",
     "ad_user_clicks_stream": _ads(
         "SELECT date, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY ALL", _ARRIVALS
     ),
+    "ad_filtered_stat_stream": _ads(
+        "SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY ALL", _ARRIVALS
+    ),
     "ad_stat_stream": _ads("SELECT * FROM stat"),
     "ad_province_top3_stream": _ads(_PROVINCE_TOP),
     "ad_click_trend_stream": _ads(_TREND),

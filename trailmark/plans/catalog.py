@@ -103,6 +103,11 @@ def session_details(spark, folder):
     return _details(sessions.session_details(actions, kept))
 
 
+@query
+def sessions_per_hour(spark, folder):
+    return sessions.sessions_per_hour(_all_sessions(spark, folder))
+
+
 @query
 def session_hour_share(spark, folder):
     return sessions.session_hour_share(_all_sessions(spark, folder))
@@ -154,6 +159,14 @@ def top_session_details(spark, folder):
     return _details(categories.top_session_details(actions, _top_sessions(actions)))
 
 
+@query
+def top_session_details_per_category(spark, folder):
+    actions = standin.user_visit_action(spark, folder)
+    details = categories.top_session_details(actions, _top_sessions(actions), per_category=True)
+    stored = schemas.SESSION_DETAIL.names[1:]
+    return details.select("category_id", *stored).withColumn("action_time", format_time(F.col("action_time")))
+
+
 @query
 def page_pair_counts(spark, folder):
     return pages.page_pair_counts(standin.user_visit_action(spark, folder), FLOW, ["event_id"])
@@ -164,6 +177,12 @@ def page_conversion(spark, folder):
     return pages.page_conversion(standin.user_visit_action(spark, folder), FLOW, ["event_id"])
 
 
+@query
+def page_split_convert_rate(spark, folder):
+    actions = standin.user_visit_action(spark, folder)
+    return pages.conversion_text(pages.page_conversion(actions, FLOW, ["event_id"]))
+
+
 @query
 def area_product_clicks(spark, folder):
     clicks = products.product_clicks(standin.user_visit_action(spark, folder))
@@ -257,6 +276,17 @@ def ad_user_clicks_stream(spark, folder):
     return _run_blacklist(spark, folder).user_clicks.current()
 
 
+@query
+def ad_filtered_stat_stream(spark, folder):
+    work = shared_folder(spark)
+    tables = _run_blacklist(spark, folder)
+    stat = CountTable(spark, f"{work}/stat", schemas.AD_STAT, "latest")
+    counts.ad_stat_stream(
+        blacklist.filtered_clicks_stream(tables), stat, f"{work}/checkpoint", trigger=blacklist.ALL_AVAILABLE
+    ).awaitTermination()
+    return stat.current()
+
+
 def _click_stream(spark: SparkSession, folder: str) -> DataFrame:
     return ads.parse_ad_log(standin.ad_log_lines(standin.events_stream(spark, folder), spark, folder))
 
