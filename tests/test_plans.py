@@ -80,12 +80,11 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     from trailmark.sources.tables import actions_between
 
     path = str(tmp_path / "log")
-    spark.range(3).selectExpr(
-        "id", "cast(date_add(date'2024-01-01', int(id)) as string) session_date", "'2024-01-01 1:00:00' action_time"
-    ).write.partitionBy("session_date").parquet(path)
-    df = actions_between(
-        spark.read.schema("id long, action_time string, session_date string").parquet(path), "2024-01-02", "2024-01-02"
-    )
+    day = "cast(date_add(date'2024-01-01', int(id)) as string) session_date"
+    log = spark.range(3).selectExpr("id", day, "'2024-01-01 1:00:00' action_time")
+    log.write.partitionBy("session_date").parquet(path)
+    stored = spark.read.schema("id long, action_time string, session_date string").parquet(path)
+    df = actions_between(stored, "2024-01-02", "2024-01-02")
     text = plan(df)
     assert re.search(r"PartitionFilters: \[[^\]]*session_date[^\]]*2024-01-02", text)
     assert df.count() == 1

@@ -9,7 +9,8 @@ CITIES = [(1, "a", "华北"), (11, "a", "华北"), (2, "b", "东北")]
 
 def setup(spark):
     rows = []
-    for city, product, n in ((1, 7, 2), (11, 7, 1), (1, 8, 3), (1, 9, 4), (1, 10, 1), (2, 7, 1), (5, 7, 9), (1, 99, 50)):
+    clicks = ((1, 7, 2), (11, 7, 1), (1, 8, 3), (1, 9, 4), (1, 10, 1), (2, 7, 1), (5, 7, 9), (1, 99, 50))
+    for city, product, n in clicks:
         rows += [{"city_id": city, "click_product_id": product}] * n
     log = actions(spark, *rows, {"city_id": 1})
     cities = spark.createDataFrame(CITIES, schemas.CITIES)
@@ -24,7 +25,8 @@ def setup(spark):
 
 def test_counts_with_city_lists(spark):
     log, cities, _ = setup(spark)
-    got = pairs(P.area_product_clicks(P.product_clicks(log), cities), "area", "product_id", "click_count", "city_infos")
+    counts = P.area_product_clicks(P.product_clicks(log), cities)
+    got = pairs(counts, "area", "product_id", "click_count", "city_infos")
     assert ("华北", 7, 3, "11:a,1:a") in got and ("东北", 7, 1, "2:b") in got
     assert ("华北", 99, 50, "1:a") in got and len(got) == 6
 

@@ -75,9 +75,10 @@ def test_blacklist_join_splits_a_hot_user(spark, tmp_path, monkeypatch):
         "user_id",
         (F.col("id") % 7).alias("ad_id"),
     )
-    spark.createDataFrame([(0, "2024-01-02"), (1, "2024-01-01")], "user_id long, flagged_date string").write.parquet(
-        str(tmp_path / "black")
+    listed = spark.createDataFrame(
+        [(0, "2024-01-02"), (1, "2024-01-01")], "user_id long, flagged_date string"
     )
+    listed.write.parquet(str(tmp_path / "black"))
     black = spark.read.parquet(str(tmp_path / "black"))
     broadcast = ads.clicks_until_flagged(clicks, black)
     want = broadcast.agg(F.count("*"), F.sum("user_id"), F.max(F.when(F.col("user_id") == 0, F.col("ts")))).first()
@@ -102,9 +103,21 @@ def test_hot_session_is_cut_into_ranges(spark):
     # the hot session sees ids 0, 3, 6, ...: pages 0, 3, 2, 1, 0, ...
     df = pages.page_pair_counts(log, [3, 2, 1, 0], ["event_id"], hot_rows=10_000)
     assert pairs(df, "from_page", "to_page", "pair_count") == [(1, 0, 4999), (2, 1, 5000), (3, 2, 5000)]
-    text = final_plan(df)
     df.collect()
-    assert "rangepartitioning" in text + final_plan(df)
+    assert "rangepartitioning" in final_plan(df)
+
+
+def test_missing_session_ids_are_one_session(spark):
+    log = spark.range(0, 9_000, 1, 8).select(
+        F.lit(None).cast("string").alias("session_id"),
+        (F.col("id") % 3).alias("page_id"),
+        F.timestamp_seconds(F.col("id")).alias("action_time"),
+    )
+    for hot_rows in (None, 1_000):
+        df = pages.page_pair_counts(log, [0, 1, 2], hot_rows=hot_rows)
+        assert pairs(df, "from_page", "to_page", "pair_count") == [(0, 1, 3000), (1, 2, 3000)]
+    df.collect()
+    assert "rangepartitioning" in final_plan(df)
 
 
 @pytest.mark.parametrize("tell_apart", [(), ("id",)])

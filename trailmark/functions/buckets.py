@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 # fixed values: (name, lowest value, first value above); None is open
 VISIT_BUCKETS = (

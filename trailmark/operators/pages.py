@@ -100,13 +100,14 @@ def _moves(
     """(prev_page, page_id, n) for the pairs of the flow, and prev_page NULL for other views of its start."""
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
-    order = ["action_time", *tie_breakers]
-    rows = actions.select("session_id", "page_id", *order)
+    order = ["action_time", *tie_breakers, "page_id"]
+    rows = actions.select("session_id", *dict.fromkeys(order))
     if hot_rows is None:
         return _usual_moves(rows, order, flow)
-    hot = F.broadcast(hot_keys(rows, ["session_id"], hot_rows, tell_apart=order))
-    usual = _usual_moves(rows.join(hot, "session_id", "left_anti"), order, flow)
-    large = _hot_moves(rows.join(hot, "session_id", "left_semi"), order, flow)
+    hot = F.broadcast(hot_keys(rows, ["session_id"], hot_rows, tell_apart=order)).alias("hot")
+    is_hot = F.col("rows.session_id").eqNullSafe(F.col("hot.session_id"))  # missing ids are one session
+    usual = _usual_moves(rows.alias("rows").join(hot, is_hot, "left_anti"), order, flow)
+    large = _hot_moves(rows.alias("rows").join(hot, is_hot, "left_semi"), order, flow)
     return usual.unionByName(large).groupBy("prev_page", "page_id").agg(F.sum("n").alias("n"))
 
 
@@ -118,7 +119,7 @@ def page_pair_counts(
 ) -> DataFrame:
     """How often each (from, to) pair of the flow occurs as two consecutive views of a session.
 
-    Views of the same second are ordered by `tie_breakers`. Sessions of `hot_rows` rows or more are spread
+    Views of the same second are ordered by `tie_breakers`, then by page. Sessions of `hot_rows` rows or more are spread
     over several tasks; None leaves that search out.
     """
     moves = _moves(actions, flow, tie_breakers, hot_rows).where(F.col("prev_page").isNotNull())
@@ -166,8 +167,7 @@ def conversion_text(conversion: DataFrame) -> DataFrame:
 
     As many rows as the flow has steps are put together. A NULL rate is written as `null`.
     """
-    part = F.concat(
-        "from_page", F.lit("_"), "to_page", F.lit("="), F.coalesce(F.col("convert_rate").cast("string"), F.lit("null"))
-    )
+    rate = F.coalesce(F.col("convert_rate").cast("string"), F.lit("null"))
+    part = F.concat("from_page", F.lit("_"), "to_page", F.lit("="), rate)
     parts = F.array_sort(F.collect_list(F.struct("step", part.alias("text"))))
     return conversion.agg(F.array_join(F.transform(parts, lambda p: p["text"]), "|").alias("convert_rate"))

@@ -14,7 +14,7 @@ SLICE_DIGITS = 3
 
 def _with_draw(sessions: DataFrame, seed: str) -> DataFrame:
     draw = F.coalesce(F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.lit(""))
-    keyed = sessions.where(F.col("start_time").isNotNull()).select(
+    keyed = sessions.where("session_id is not null and start_time is not null").select(
         "session_id",
         F.to_date("start_time").alias("_date"),
         F.hour("start_time").alias("_hour"),
@@ -63,7 +63,8 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
         slices.join(broadcast_bounded(quotas, total), ["_date", "_hour"])
         .withColumn("_before", running - F.col("_n"))
         .where("_before < quota and quota <= _before + _n")
-        .select("_date", "_hour", F.col("_slice").alias("_last"), (F.col("quota") - F.col("_before")).alias("_rest"))
+        .withColumn("_rest", F.col("quota") - F.col("_before"))
+        .select("_date", "_hour", F.col("_slice").alias("_last"), "_rest")
     )
     candidates = keyed.join(broadcast_bounded(ends, total), ["_date", "_hour"]).where("_slice <= _last")
     rank = F.row_number().over(

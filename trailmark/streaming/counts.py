@@ -6,6 +6,8 @@ new counts of the keys it changed; the tables take the newest.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -73,7 +75,11 @@ def click_trend_stream(
 
 
 def last_hour(trend: CountTable, minutes: int = 60) -> DataFrame:
-    """The stored counts of the newest `minutes` minutes."""
+    """The stored counts of the newest `minutes` minutes. Only the dates they can fall on are read."""
+    newest = trend.newest_date()
+    dates = newest and [
+        str(date.fromisoformat(newest) - timedelta(days=i)) for i in range(minutes // (24 * 60) + 2)
+    ]
     text = F.concat_ws(" ", "date", F.concat_ws(":", "hour", "minute"))
-    stamped = trend.current().withColumn("minute_start", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
+    stamped = trend.current(dates=dates).withColumn("minute_start", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
     return click_trend(last_minutes(stamped, minutes))

@@ -130,6 +130,11 @@ class CountTable:
     def batch(self, batch_id: int, dates: Sequence[str] | None = None) -> DataFrame:
         return self._part("batches", dates, str(batch_id)).drop(BATCH)
 
+    def newest_date(self) -> str | None:
+        """The latest date with rows, from the partitions' names."""
+        dates = self._part("folds").select("date").union(self._part("batches").select("date"))
+        return dates.agg(F.max("date")).first()[0]
+
     def rows(self, upto: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
         """Folded rows and later batches, up to batch `upto`."""
         folds, batches = self._part("folds", dates), self._part("batches", dates)
