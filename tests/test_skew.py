@@ -51,11 +51,10 @@ def rows(spark, key):
     return spark.range(0, N, 1, 8).select("id", hot.alias(key))
 
 
-def test_semi_join_splits_a_hot_session(spark, tmp_path, monkeypatch):
+def test_semi_join_splits_a_hot_session(spark, tmp_path):
     actions = rows(spark, "n").select(F.concat(F.lit("s"), "n").alias("session_id"), F.col("id").alias("page_id"))
     actions.where("page_id % 2 = 0").select("session_id").distinct().write.parquet(str(tmp_path / "kept"))
     kept = spark.read.parquet(str(tmp_path / "kept"))
-    monkeypatch.setattr(sessions, "broadcast_checked", lambda df: df)
     with no_broadcast(spark):
         details = sessions.session_details(actions, kept)
         got = details.agg(F.count("*"), F.sum("page_id")).first()
@@ -67,7 +66,7 @@ def test_semi_join_splits_a_hot_session(spark, tmp_path, monkeypatch):
     assert tuple(got) == (len(want), sum(want))
 
 
-def test_blacklist_join_splits_a_hot_user(spark, tmp_path, monkeypatch):
+def test_blacklist_join_splits_a_hot_user(spark, tmp_path):
     clicks = rows(spark, "user_id").select(
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 10).alias("ts"),
         F.lit("p").alias("province"),
@@ -82,7 +81,6 @@ def test_blacklist_join_splits_a_hot_user(spark, tmp_path, monkeypatch):
     black = spark.read.parquet(str(tmp_path / "black"))
     broadcast = ads.clicks_until_flagged(clicks, black)
     want = broadcast.agg(F.count("*"), F.sum("user_id"), F.max(F.when(F.col("user_id") == 0, F.col("ts")))).first()
-    monkeypatch.setattr(ads, "broadcast_checked", lambda df: df)
     with no_broadcast(spark):
         df = ads.clicks_until_flagged(clicks, black)
         df.collect()

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions import format_date
-from trailmark.operators.skew import broadcast_checked
 from trailmark.operators.topn import top_n_per_group
 
 BLACKLIST_THRESHOLD = 100
@@ -71,11 +70,11 @@ def daily_blacklist(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) ->
 def clicks_until_flagged(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """The clicks of a blacklisted user up to and including the flagged date, and all others' clicks.
 
-    `blacklist` should be a stored table: it is counted, and broadcast if it is small. Otherwise both sides are
-    shuffled as they are read, which lets adaptive execution cut up a user with very many clicks.
+    `blacklist` should be a stored table, so that its size is known: small, it is broadcast. Otherwise both
+    sides are shuffled as they are read, which lets adaptive execution cut up a user with very many clicks.
     """
     flags = blacklist.select("user_id", F.col("flagged_date").cast("date").alias("_flagged"))
-    joined = clicks.join(broadcast_checked(flags), "user_id", "left")
+    joined = clicks.join(flags, "user_id", "left")
     kept = F.col("_flagged").isNull() | (F.to_date("ts") <= F.col("_flagged"))
     return joined.where(kept).select(*clicks.columns)
 

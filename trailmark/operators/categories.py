@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.operators.skew import broadcast_bounded
+from trailmark.operators.sessions import session_details
 from trailmark.operators.topn import top_n_per_group
 
 KINDS = ("click", "order", "pay")
@@ -40,29 +40,23 @@ def session_category_clicks(details: DataFrame) -> DataFrame:
     )
 
 
-def top_sessions_per_category(
-    details: DataFrame, top: DataFrame, n: int = 10, categories: int = 10
-) -> DataFrame:
-    """The n sessions with most clicks in each category of `top` (at most `categories` rows); ties by id.
+def top_sessions_per_category(details: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
+    """The n sessions with most clicks in each category of `top`; ties by id.
 
-    Clicks of other categories are dropped before the count.
+    Clicks of other categories are dropped before the count. The limit in `top` tells the planner its size.
     """
     wanted = top.select(F.col("category_id").alias("click_category_id"))
-    clicks = details.select("session_id", "click_category_id").join(
-        broadcast_bounded(wanted, categories), "click_category_id"
-    )
+    clicks = details.select("session_id", "click_category_id").join(wanted, "click_category_id")
     return top_n_per_group(
         session_category_clicks(clicks), ["category_id"], [F.col("click_count").desc(), F.col("session_id")], n
     )
 
 
 def top_session_details(
-    details: DataFrame, top_sessions: DataFrame, max_sessions: int = 100, per_category: bool = False
+    details: DataFrame, top_sessions: DataFrame, per_category: bool = False
 ) -> DataFrame:
-    """The actions of the top sessions (at most `max_sessions` rows), each once; with `per_category` once for
-    every category the session is top in, with that `category_id`."""
+    """The actions of the top sessions, each once; with `per_category` once for every category the session is
+    top in, with that `category_id`. `top_sessions` should be a stored table."""
     if per_category:
-        ids = top_sessions.select("session_id", "category_id")
-        return details.join(broadcast_bounded(ids, max_sessions), "session_id")
-    ids = top_sessions.select("session_id")
-    return details.join(broadcast_bounded(ids, max_sessions), "session_id", "left_semi")
+        return details.join(top_sessions.select("session_id", "category_id"), "session_id")
+    return session_details(details, top_sessions)

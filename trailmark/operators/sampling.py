@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmark.functions import int_div
+from trailmark.operators.sessions import session_details
 from trailmark.operators.skew import broadcast_bounded
 
 # sessions of an hour are cut into 16**3 slices by the first digits of their draw
@@ -76,7 +77,6 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
     return rows.join(picked, "session_id", "left_semi")
 
 
-def sample_details(sample: DataFrame, details: DataFrame, total: int = 100) -> DataFrame:
-    """The actions of the sampled sessions; `total` is the size the sample was drawn with."""
-    ids = broadcast_bounded(sample.select("session_id"), total)
-    return details.join(ids, "session_id", "left_semi")
+def sample_details(sample: DataFrame, details: DataFrame) -> DataFrame:
+    """The actions of the sampled sessions; `sample` should be a stored table."""
+    return session_details(details, sample)

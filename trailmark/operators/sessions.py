@@ -19,7 +19,6 @@ from trailmark.functions import (
     seconds_between,
 )
 from trailmark.operators.filters import session_condition
-from trailmark.operators.skew import broadcast_checked
 from trailmark.params import TaskParams
 
 
@@ -84,10 +83,10 @@ def session_stats(sessions: DataFrame) -> DataFrame:
 def session_details(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """The actions of the given sessions.
 
-    `sessions` should be a stored table: its ids are counted, and broadcast if they are few. Otherwise both
+    `sessions` should be a stored table, so that its size is known: small, it is broadcast. Otherwise both
     sides are shuffled as they are read, which lets adaptive execution cut up a session with very many actions.
     """
-    return actions.join(broadcast_checked(sessions.select("session_id")), "session_id", "left_semi")
+    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:

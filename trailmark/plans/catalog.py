@@ -125,7 +125,8 @@ def session_sample(spark, folder):
 @query
 def session_sample_details(spark, folder):
     actions = standin.user_visit_action(spark, folder)
-    return _details(sampling.sample_details(_sample(spark, folder), actions, SAMPLE_SIZE))
+    sample = written(_sample(spark, folder).select("session_id"), shared_folder(spark), "sample")
+    return _details(sampling.sample_details(sample, actions))
 
 
 @query
@@ -156,13 +157,15 @@ def top10_sessions_per_category(spark, folder):
 @query
 def top_session_details(spark, folder):
     actions = standin.user_visit_action(spark, folder)
-    return _details(categories.top_session_details(actions, _top_sessions(actions)))
+    top = written(_top_sessions(actions), shared_folder(spark), "top_sessions")
+    return _details(categories.top_session_details(actions, top))
 
 
 @query
 def top_session_details_per_category(spark, folder):
     actions = standin.user_visit_action(spark, folder)
-    details = categories.top_session_details(actions, _top_sessions(actions), per_category=True)
+    top = written(_top_sessions(actions), shared_folder(spark), "top_sessions")
+    details = categories.top_session_details(actions, top, per_category=True)
     stored = schemas.SESSION_DETAIL.names[1:]
     return details.select("category_id", *stored).withColumn("action_time", format_time(F.col("action_time")))
 

@@ -58,7 +58,7 @@ def session_job(
 
     sample = written(sampling.sample_sessions(kept, sample_size, seed), folder, "sample")
     store(sample, "session_random_extract", schemas.SESSION_RANDOM_EXTRACT, sinks.append)
-    drawn = sampling.sample_details(sample, log, sample_size)
+    drawn = sampling.sample_details(sample, log)
     store(drawn, "session_detail", schemas.SESSION_DETAIL, sinks.append)
 
     best = written(
@@ -66,10 +66,10 @@ def session_job(
     )
     store(best, "top10_category", schemas.TOP10_CATEGORY, sinks.overwrite)
     active = written(
-        categories.top_sessions_per_category(mentions, best, top, top), folder, "top_sessions"
+        categories.top_sessions_per_category(mentions, best, top), folder, "top_sessions"
     )
     store(active, "top10_category_session", schemas.TOP10_CATEGORY_SESSION, sinks.overwrite)
-    clicked = categories.top_session_details(log, active, top * top)
+    clicked = categories.top_session_details(log, active)
     store(clicked, "session_detail", schemas.SESSION_DETAIL, sinks.append)
 
 

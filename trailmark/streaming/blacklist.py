@@ -13,7 +13,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trailmark import schemas
 from trailmark.operators.ads import BLACKLIST_THRESHOLD, over_threshold, parse_ad_log, user_daily_clicks
-from trailmark.operators.skew import broadcast_checked
 from trailmark.streaming.tables import BatchTable, CountTable
 
 
@@ -33,7 +32,8 @@ class BlacklistTables:
 
 
 def drop_listed(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    return clicks.join(broadcast_checked(blacklist), "user_id", "left_anti")
+    """`blacklist` as read from its table, whose size decides whether it is broadcast."""
+    return clicks.join(blacklist, "user_id", "left_anti")
 
 
 def newly_listed(
