@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -169,3 +170,40 @@ def test_sample_details(spark):
     log = actions(spark, {"session_id": "a"}, {"session_id": "a", "at": 5}, {"session_id": "b"})
     sample = spark.createDataFrame([("a",)], "session_id string")
     assert sampling.sample_details(sample, log).count() == 2
+
+
+def test_aggregate_and_stats_against_plain_python(spark):
+    rng = random.Random(3)
+    rows = [
+        {
+            "session_id": f"s{rng.randint(0, 60)}",
+            "user_id": 1,
+            "at": rng.choice([0, 1, 2, 5, 8, 20, 45, 100, 400, 1000, 4000]),
+            "search_keyword": rng.choice([None, "", "a", "ab", "b"]),
+            "click_category_id": rng.choice([None, 1, 11, 2]),
+        }
+        for _ in range(600)
+    ]
+    want = {}
+    for row in rows:
+        words, ids, times = want.setdefault(row["session_id"], (set(), set(), []))
+        words.add(row["search_keyword"] or None)
+        ids.add(row["click_category_id"])
+        times.append(row["at"])
+    df = aggregate(spark, *rows)
+    got = {r.session_id: r for r in df.collect()}
+    assert got.keys() == want.keys()
+    for name, (words, ids, times) in want.items():
+        row = got[name]
+        assert row.search_keywords == sorted(w for w in words if w)
+        assert row.click_category_ids == sorted(i for i in ids if i is not None)
+        assert row.step_length == len(times) and row.visit_length == max(times) - min(times)
+    stats, n = sessions.session_stats(df).first(), len(want)
+    assert stats.session_count == n
+    for buckets, column, values in (
+        (VISIT_BUCKETS, "visit_length", [max(t) - min(t) for _, _, t in want.values()]),
+        (STEP_BUCKETS, "step_length", [len(t) for _, _, t in want.values()]),
+    ):
+        for name, low, high in buckets:
+            k = sum(1 for v in values if v >= low and (high is None or v < high))
+            assert stats[f"{column}_{name}_ratio"] == (200 * k + n) // (2 * n) / 100
