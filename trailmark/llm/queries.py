@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, langid, quality
+from trailmark.llm import bpe, decontaminate, langid, quality, secrets
 
 
 def tokenizer_path(name: str) -> str:
@@ -34,6 +34,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.train(docs.filter(remainder("doc_id", 4) != 2))
@@ -46,10 +50,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_decontaminate": op4_decontaminate,
     "op7_langid": op7_langid,
     "op8_quality": op8_quality,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
