@@ -87,9 +87,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seeds = _seeds(items, "item", "item_at")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
     # the number of items does not follow that of the documents, but it is counted all the same
+    known = seeds.select("seed").distinct()
     if seeds.count() <= MAX_BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
-    hits = _seeds(_segments(texts), "segment", "at").join(seeds, "seed")
+        seeds, known = F.broadcast(seeds), F.broadcast(known)
+    # the semi join has no condition but the key, so it stays in one compiled stage with the hashing; only hits leave it
+    hits = _seeds(_segments(texts), "segment", "at").join(known, "seed", "left_semi").join(seeds, "seed")
     n_item = F.size("item")
     diagonal = F.col("at") - F.col("item_at")
     first = F.greatest(F.lit(0), -diagonal)

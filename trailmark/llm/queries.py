@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, langid, quality, secrets
+from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, quality, secrets
 
 
 def tokenizer_path(name: str) -> str:
@@ -50,6 +50,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = html.fit(labelled_pages.labelled_pages())
+    return html.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"), model)
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op7_langid": op7_langid,
     "op8_quality": op8_quality,
+    "op9_html": op9_html,
     "op10_secrets": op10_secrets,
 }
 
