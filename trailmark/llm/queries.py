@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, quality, secrets
+from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, ngram_join, quality, secrets
 
 
 def tokenizer_path(name: str) -> str:
@@ -34,6 +34,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(documents(spark, sf_dir))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -61,6 +65,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op7_langid": op7_langid,
     "op8_quality": op8_quality,
