@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, ngram_join, quality, secrets
+from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, ngram_join, quality, secrets, substring_dedup
 
 
 def tokenizer_path(name: str) -> str:
@@ -42,6 +42,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(documents(spark, sf_dir))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.train(docs.filter(remainder("doc_id", 4) != 2))
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_langid": op7_langid,
     "op8_quality": op8_quality,
     "op9_html": op9_html,
