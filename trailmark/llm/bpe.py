@@ -38,15 +38,16 @@ def byte_symbols() -> list[str]:
 class WordBpe:
     """A vocabulary of words with an end mark, lower-cased, as `word_bpe_49k.json`. Built once per Python worker."""
 
-    _loaded: dict[str, WordBpe] = {}
+    _loaded: dict[tuple, WordBpe] = {}
 
     @classmethod
-    def load(cls, path: str) -> WordBpe:
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+    def load(cls, path: str, merges: int | None = None) -> WordBpe:
+        if (path, merges) not in cls._loaded:
+            cls._loaded[path, merges] = cls(path, merges)
+        return cls._loaded[path, merges]
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: int | None = None):
+        """`merges`: use only so many of the first merges."""
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -59,7 +60,7 @@ class WordBpe:
         symbols = byte_symbols()
         self.inner = np.array([vocab[s] for s in symbols], np.int64)
         self.last = np.array([vocab[s + end] for s in symbols], np.int64)
-        pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+        pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"][:merges]]
         self.left = np.array([vocab[a] for a, _ in pairs], np.int64)
         self.right = np.array([vocab[b] for _, b in pairs], np.int64)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
@@ -87,9 +88,10 @@ class WordBpe:
     def encode_pretokens(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and the n + 1 offsets of the pieces."""
         raw = [x.encode() for x in pieces]
-        sizes = np.array([len(x) for x in raw], np.int64)
-        ends = np.cumsum(sizes)
-        data = np.frombuffer(b"".join(raw), np.uint8)
+        return self.encode_bytes(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw], dtype=np.int64))
+
+    def encode_bytes(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that lie one after the other in `data`; none is empty."""
         n = len(data)
         sym = self.inner[data].astype(np.int32)
         sym[ends - 1] = self.last[data[ends - 1]]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, ngram_join, quality, secrets, substring_dedup
+from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lm_score, ngram_join, quality, secrets, substring_dedup
 
 
 def tokenizer_path(name: str) -> str:
@@ -30,6 +30,12 @@ def remainder(doc_id, n: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % n, F.lit(0))
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(
+        documents(spark, sf_dir), remainder("doc_id", 10) == 0, tokenizer_path("word_bpe_49k.json")
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -68,6 +74,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_bpe": op2_bpe,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
