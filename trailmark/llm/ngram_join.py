@@ -12,8 +12,9 @@ common, so that among the first n - ceil(s * n) + 1 tokens of one at least one i
   sets up to SMALL / s use both.
 
 Texts that share a signature are candidates. Sizes and parity bitmaps (each token flips one bit, so the bits that differ
-never exceed the tokens that differ) discard most; the rest is verified on the sets themselves. For that, the candidates
-left are gathered by connected component, a large component in pairs of chunks. Equal texts are one node throughout.
+never exceed the tokens that differ) discard most. The texts of a connected component of what is left are then verified
+against one another on the sets themselves, a large component in pairs of chunks. So of the candidates that share a
+frequent signature only a forest is passed on, which connects the same texts. Equal texts are one node throughout.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +33,9 @@ from trailmark.scratch import shared_folder, written
 
 WORDS = 5
 PERCENT = 80
-TABLE_BITS = 23  # counters of the table of frequencies; what is broadcast is one bit for each
+TABLE_BITS = 24  # counters of the table of frequencies; what is broadcast is one bit for each
 SEGMENT_BITS = 15
-FREQUENT_FACTOR, FREQUENT_BASE = 4, 32  # frequent: a count over FACTOR times the mean plus BASE
+FREQUENT = 24  # a token is frequent if its counter is above this, and six deviations above the mean counter
 CLASSES = 16
 SMALL = 64
 BITS = 512
@@ -68,12 +68,12 @@ def frequent_tokens(texts: DataFrame) -> bytes:
     n_segments = 1 << (TABLE_BITS - SEGMENT_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << TABLE_BITS, np.uint16)
+        table = np.zeros(1 << TABLE_BITS, np.uint8)
         for batch in batches:
             for part in text_slices(batch):
                 sets = shingle_sets(part)
                 at, n = np.unique(np.concatenate(sets) >> np.uint64(64 - TABLE_BITS), return_counts=True)
-                table[at] = np.minimum(table[at] + n.astype(np.int64), 65535)
+                table[at] = np.minimum(table[at] + n.astype(np.int64), 255)
         rows = [zlib.compress(x.tobytes(), 1) for x in table.reshape(n_segments, -1)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(n_segments), pa.int32()), pa.array(rows, pa.binary())], names=["segment", "counts"]
@@ -82,8 +82,8 @@ def frequent_tokens(texts: DataFrame) -> bytes:
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(1 << SEGMENT_BITS, np.int64)
         for x in table.column("counts"):
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint16)
-        high = total > FREQUENT_FACTOR * total.mean() + FREQUENT_BASE
+            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint8)
+        high = total > max(FREQUENT, total.mean() + 6 * total.mean() ** 0.5)
         return pa.table(
             {"segment": table.column("segment").slice(0, 1), "bits": pa.array([np.packbits(high).tobytes()], pa.binary())}
         )
@@ -165,10 +165,11 @@ def profiles(docs: DataFrame, hot_bits: bytes, n_buckets: int) -> tuple[DataFram
                         if len(seen) < 1_000_000:
                             seen.add(node)
                         rare, combined = signatures(tokens, is_frequent(hot, tokens))
-                        extra = np.append(bitmap(tokens, BITS), np.uint64(len(tokens)))
-                        for kind, x in ((0, rare), (1, combined)):
-                            if len(x):
-                                found[kind].append((x, node, extra))
+                        size = np.array([len(tokens)], np.uint64)
+                        if len(rare):
+                            found[0].append((rare, node, size))
+                        if len(combined):
+                            found[1].append((combined, node, np.append(size, bitmap(tokens, BITS))))
                 for kind, rows in found.items():
                     if rows:
                         yield _dealt(kind, rows, n_buckets)
@@ -180,7 +181,7 @@ def profiles(docs: DataFrame, hot_bits: bytes, n_buckets: int) -> tuple[DataFram
 
 
 def _dealt(kind: int, rows: list, n_buckets: int) -> pa.RecordBatch:
-    """Signatures of some texts by bucket; texts with frequent signatures send their bitmap along, once a bucket."""
+    """Signatures of some texts by bucket; their sizes go along, and bitmaps with frequent signatures, once a bucket."""
     signs = np.concatenate([x for x, _, _ in rows])
     owner = np.repeat(np.arange(len(rows)), [len(x) for x, _, _ in rows])
     nodes = np.array([x for _, x, _ in rows], np.int64)
@@ -201,7 +202,7 @@ def _dealt(kind: int, rows: list, n_buckets: int) -> pa.RecordBatch:
                     (signs[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
                     nodes[mine].tobytes(),
                     local.astype(np.uint32 if len(mine) > 65535 else np.uint16).tobytes(),
-                    extras[mine].tobytes() if kind else b"",
+                    extras[mine].tobytes(),
                 )
             )
     names = ["bucket", "kind", "signs", "nodes", "owners", "extras"]
@@ -214,58 +215,97 @@ def _possible(n_a: np.ndarray, n_b: np.ndarray, differ: np.ndarray) -> np.ndarra
     return (100 + PERCENT) * (n_a + n_b - differ) >= 2 * PERCENT * (n_a + n_b)
 
 
-def _pairs_of_bucket(table: pa.Table) -> pa.Table:
-    """Distinct pairs of nodes that share a signature, as a < b."""
-    pairs = []
-    for kind in (0, 1):
-        signs, nodes, owners, extras, base = [], [], [], [], 0
-        for row in table.filter(pc.equal(table.column("kind"), kind)).to_pylist():
-            mine = np.frombuffer(row["nodes"], np.int64)
-            signs.append(np.frombuffer(row["signs"], np.uint32))
-            owners.append(np.frombuffer(row["owners"], np.uint32 if len(mine) > 65535 else np.uint16).astype(np.int64) + base)
-            nodes.append(mine)
-            if kind:
-                extras.append(np.frombuffer(row["extras"], np.uint64).reshape(len(mine), -1))
-            base += len(mine)
-        if not signs:
-            continue
-        sign, owner, node = np.concatenate(signs), np.concatenate(owners), np.concatenate(nodes)
-        # signatures that occur once are most of them
-        order = np.argsort(sign, kind="stable")
+def _lists(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures in order and the owner of each, of those that several texts have; the owners' nodes and extras."""
+    signs, nodes, owners, extras, base = [], [], [], [], 0
+    for row in rows:
+        mine = np.frombuffer(row["nodes"], np.int64)
+        signs.append(np.frombuffer(row["signs"], np.uint32))
+        owners.append(np.frombuffer(row["owners"], np.uint32 if len(mine) > 65535 else np.uint16).astype(np.int64) + base)
+        nodes.append(mine)
+        extras.append(np.frombuffer(row["extras"], np.uint64).reshape(len(mine), -1))
+        base += len(mine)
+    sign, owner, node, extra = (np.concatenate(x) for x in (signs, owners, nodes, extras))
+    # copies of a text in other tasks are the same node
+    node, first, back = np.unique(node, return_index=True, return_inverse=True)
+    owner, extra = back[owner], extra[first]
+    for _ in range(2):  # signatures that occur once are most of them; so are, then, those of copies only
+        order = np.lexsort((owner, sign))
         sign, owner = sign[order], owner[order]
         same = sign[1:] == sign[:-1]
+        new = np.concatenate([[True], ~same | (owner[1:] != owner[:-1])])[: len(sign)]
+        sign, owner = sign[new], owner[new]
+        same = sign[1:] == sign[:-1]
         several = np.zeros(len(sign), bool)
         several[1:] = same
         several[:-1] |= same
         sign, owner = sign[several], owner[several]
-        if not len(sign):
-            continue
-        # copies of a text in other tasks have the same node
-        order = np.lexsort((node[owner], sign))
-        sign, owner = sign[order], owner[order]
-        keep = np.concatenate([[True], (sign[1:] != sign[:-1]) | (node[owner[1:]] != node[owner[:-1]])])
-        sign, owner = sign[keep], owner[keep]
-        ends = np.searchsorted(sign, sign, side="right")
-        extra = np.concatenate(extras) if kind else None
-        found = np.zeros((0, 2), np.int64)
-        gathered: list[np.ndarray] = []
-        size = 0
-        at = np.arange(len(sign))
-        for d in range(1, int((ends - at).max(initial=1))):
-            at = at[at + d < ends[at]]
-            a, b = owner[at], owner[at + d]
-            if kind:
-                differ = np.bitwise_count(extra[a, :-1] ^ extra[b, :-1]).sum(1, dtype=np.int64)
-                ok = _possible(extra[a, -1].astype(np.int64), extra[b, -1].astype(np.int64), differ)
-                a, b = a[ok], b[ok]
-            gathered.append(np.stack([node[a], node[b]], 1))
-            size += len(a)
-            if size > 2_000_000:
-                found = np.unique(np.concatenate([found, *gathered]), axis=0)
-                gathered, size = [], 0
-        pairs.append(np.unique(np.concatenate([found, *gathered]), axis=0))
-    both = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+    return sign, owner, node, extra
+
+
+def _all_pairs(rows: list[dict]) -> np.ndarray:
+    """Distinct pairs of nodes of similar size that share a signature, smaller node first."""
+    sign, owner, node, extra = _lists(rows)
+    size = extra[:, 0].astype(np.int64)
+    ends = np.searchsorted(sign, sign, side="right")
+    found = np.zeros(0, np.int64)
+    gathered: list[np.ndarray] = []
+    at = np.arange(len(sign))
+    for d in range(1, int((ends - at).max(initial=1))):
+        at = at[at + d < ends[at]]
+        a, b = owner[at], owner[at + d]
+        ok = _possible(size[a], size[b], abs(size[a] - size[b]))
+        gathered.append(a[ok] * len(node) + b[ok])
+        if sum(map(len, gathered)) > 2_000_000:
+            found, gathered = np.unique(np.concatenate([found, *gathered])), []
+    found = np.unique(np.concatenate([found, *gathered]))
+    return np.stack([node[found // len(node)], node[found % len(node)]], 1)
+
+
+def _forest_of_lists(rows: list[dict]) -> np.ndarray:
+    """Edges that connect all nodes that share a signature and that sizes and bitmaps allow to be similar.
+
+    Each node is compared with the nodes not reached yet; what one list has connected is not compared in the next.
+    """
+    sign, owner, node, extra = _lists(rows)
+    maps, size = extra[:, 1:], extra[:, 0].astype(np.int64)
+    tree = np.arange(len(node))
+    edges = []
+    starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]])[: len(sign)])
+    for members in np.split(owner, starts[1:]) if len(owner) else []:
+        left = members
+        while len(left) and (tree[left] != tree[left[0]]).any():
+            now = tree[left] == tree[left[0]]
+            queue, left = list(left[now]), left[~now]
+            while queue and len(left):
+                x = queue.pop()
+                differ = np.bitwise_count(maps[left] ^ maps[x]).sum(1, dtype=np.int64)
+                ok = _possible(size[left], size[x], np.maximum(differ, abs(size[left] - size[x])))
+                if ok.any():
+                    joined = np.unique(tree[left[ok]])
+                    first = left[ok][np.unique(tree[left[ok]], return_index=True)[1]]
+                    edges += [(x, int(y)) for y in first]
+                    reached = np.isin(tree[left], joined)
+                    tree[np.isin(tree, joined)] = tree[x]
+                    queue += list(left[reached])
+                    left = left[~reached]
+    pairs = np.array(edges, np.int64).reshape(-1, 2)
+    pairs = node[pairs]
+    return np.stack([pairs.min(1), pairs.max(1)], 1)
+
+
+def _pairs_of_bucket(table: pa.Table) -> pa.Table:
+    """Pairs (a < b) by rare signatures, and a forest of the candidates by frequent ones."""
+    rows = table.to_pylist()
+    out = []
+    for kind, pairs_of in ((0, _all_pairs), (1, _forest_of_lists)):
+        mine = [x for x in rows if x["kind"] == kind]
+        pairs = pairs_of(mine) if mine else np.zeros((0, 2), np.int64)
+        out.append((np.full(len(pairs), kind), pairs))
+    kinds, pairs = np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
+    return pa.table(
+        {"kind": pa.array(kinds, pa.int32()), "a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())}
+    )
 
 
 def _surviving(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -360,8 +400,10 @@ def similarity_components(docs: DataFrame, folder: str | None = None) -> DataFra
     profile, signed = profiles(docs, frequent_tokens(docs), n_buckets=2 * n_parts)
     profile = written(profile, folder, "profile")
     nodes = profile.dropDuplicates(["node"]).select("node", "n", "small", "large")
-    pairs = written(signed.groupBy("bucket").applyInArrow(_pairs_of_bucket, "a long, b long").distinct(), folder, "pairs")
-    near = written(_surviving(pairs, nodes), folder, "near")
+    pairs = signed.groupBy("bucket").applyInArrow(_pairs_of_bucket, "kind int, a long, b long").distinct()
+    pairs = written(pairs, folder, "pairs")
+    near = _surviving(pairs.filter("kind = 0").select("a", "b"), nodes)
+    near = written(near.unionByName(pairs.filter("kind = 1").select("a", "b")), folder, "near")
     clusters = components(near, folder, "near")
     # sets are verified by component of candidates; a large one is cut into chunks, every two of which meet
     sized = clusters.join(clusters.groupBy("root").agg(F.count("*").alias("size")), "root")
