@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lm_score, ngram_join, quality, secrets, substring_dedup
+from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lm_score, ngram_join, quality, secrets, substring_dedup, token_shards
+from trailmark.scratch import shared_folder
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,6 +49,13 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, vocabulary = f"{shared_folder(spark)}/shards", tokenizer_path("word_bpe_49k.json")
+    if not token_shards.write_shards(documents(spark, sf_dir), vocabulary, path):
+        spark.createDataFrame([], "value string").write.text(path)
+    return token_shards.shard_digests(spark, path, vocabulary)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(documents(spark, sf_dir))
 
@@ -78,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
+    "op5_token_shards": op5_token_shards,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_langid": op7_langid,
     "op8_quality": op8_quality,
