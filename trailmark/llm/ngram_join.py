@@ -384,16 +384,8 @@ def _links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(nodes[a[kept]], pa.int64()), "b": pa.array(nodes[b[kept]], pa.int64())})
 
 
-def similarity_components(docs: DataFrame, folder: str | None = None) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id.
-
-    Texts link when 100 * intersection >= 80 * union of their shingle sets; component_id is the smallest doc_id that is
-    reachable by links. Texts without words, null ones included, link with nothing. Null ids are passed on and count as
-    no id: a component without any id has a null component_id. Rows that repeat an id are documents of their own.
-    Tokens are 64-bit hashes. Other columns are ignored.
-    """
-    spark = docs.sparkSession
-    folder = folder or shared_folder(spark)
+def _labelled(docs: DataFrame, folder: str) -> DataFrame:
+    """doc_id, node (of the text), n, root (a node of the component) and component_id of each row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("node"))
     n_parts = max(docs.rdd.getNumPartitions(), 1)
@@ -428,15 +420,50 @@ def similarity_components(docs: DataFrame, folder: str | None = None) -> DataFra
     labelled = smallest.join(roots, "node", "left").select(
         "node", "smallest", F.coalesce("root", "node").alias("root")
     )
-    labels = written(
-        labelled.select("node", "root").join(
-            labelled.groupBy("root").agg(F.min("smallest").alias("component_id")), "root"
-        ).select("node", "component_id"),
-        folder,
-        "labels",
-    )
-    return profile.select("doc_id", "node", "n").join(labels, "node", "left").select(
+    ids = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    labels = written(labelled.select("node", "root").join(ids, "root"), folder, "labels")
+    return profile.select("doc_id", "node", "n").join(labels, "node", "left")
+
+
+def similarity_components(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id.
+
+    Texts link when 100 * intersection >= 80 * union of their shingle sets; component_id is the smallest doc_id that is
+    reachable by links. Texts without words, null ones included, link with nothing. Null ids are passed on and count as
+    no id: a component without any id has a null component_id. Rows that repeat an id are documents of their own.
+    Tokens are 64-bit hashes. Other columns are ignored.
+    """
+    return _labelled(docs, folder or shared_folder(docs.sparkSession)).select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_per_component(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """The rows of `docs` (doc_id, text, any others) that stand for their component: those whose doc_id is the smallest.
+
+    Of rows that repeat that id, one with the text that links stays. Rows without an id stand for a component only if it
+    has no id at all, one row for each such component. Texts without words stay. Columns keep names and order.
+    """
+    folder = folder or shared_folder(docs.sparkSession)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    doc_id = F.col(f"c{names.index('doc_id')}").cast("long")
+    text = F.coalesce(F.col(f"c{names.index('text')}").cast("string"), F.lit(""))
+    keyed = plain.withColumns({"doc_id": doc_id, "text": text, "node": F.xxhash64(text)})
+    labels = _labelled(docs, folder)
+    # a component's label is one id, so it is kept where the row's own id is that label
+    kept = labels.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("n") > 0))
+    first = kept.groupBy("root", "doc_id").agg(F.min("node").alias("node")).select("doc_id", "node")
+    first = first.withColumnsRenamed({"doc_id": "kept_id", "node": "kept_node"})
+    same = keyed["doc_id"].eqNullSafe(first["kept_id"]) & (keyed["node"] == first["kept_node"])
+    empty = labels.filter("n = 0").select(F.col("node").alias("kept_node")).distinct()
+    columns = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
+    linked = keyed.join(first, same, "left_semi")
+    if not kept.groupBy("doc_id", "node").count().filter("count > 1").isEmpty():
+        # whole rows are shuffled once more only where some repeat
+        linked = linked.dropDuplicates(["doc_id", "node"])
+    return linked.select(*columns).unionByName(
+        keyed.join(empty, keyed["node"] == empty["kept_node"], "left_semi").select(*columns)
+    )
