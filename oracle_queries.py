@@ -21,6 +21,9 @@ uva AS (
     user_id % 25 AS city_id, event_id
   FROM ev)"""
 
+# the log of the stored task's dates
+_DATED = _EVENTS.replace("FROM events)", "FROM events WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-06' AND '2024-01-20')")
+
 _CITIES = """
 city AS (
   SELECT CAST(n_nationkey AS BIGINT) AS city_id, n_name AS city_name, r_name AS area
@@ -184,6 +187,19 @@ def _ads(select: str, *more: str) -> str:
 _SESSION_COLUMNS = """session_id, user_id, search_keywords, click_category_ids, start_time, visit_length,
   step_length, age, professional, city, sex"""
 
+
+def _top_products(a: str, b: str, c: str) -> str:
+    return f"""
+SELECT area, CASE WHEN area IN {a} THEN 'A level' WHEN area IN {b} THEN 'B level'
+    WHEN area IN {c} THEN 'C level' ELSE 'D level' END AS area_level,
+  product_id, city_infos, click_count, p_name AS product_name,
+  CASE WHEN p_size % 2 = 0 THEN 'self' ELSE 'third party' END AS product_status
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rn
+  FROM area_clicks JOIN part ON product_id = p_partkey)
+WHERE rn <= 3"""
+
+
 _PROVINCE_TOP = """
 SELECT date, province, ad_id, click_count FROM (
   SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count,
@@ -236,7 +252,17 @@ ORACLES = {
         _EVENTS,
         _CATEGORIES,
     ),
+    "session_job_stats": _with(
+        f"SELECT CAST(7 AS BIGINT) AS task_id, * FROM ({_stats('filtered')})", _DATED, _SESSIONS
+    ),
+    "page_job_rates": _with(
+        "SELECT CAST(7 AS BIGINT) AS task_id, string_agg(from_page || '_' || to_page || '=' || convert_rate, '|'"
+        " ORDER BY step) AS convert_rate FROM conversion",
+        _DATED,
+        _PAGES,
+    ),
     "page_pair_counts": _with("SELECT * FROM pairs", _EVENTS, _PAGES),
+    "page_pair_counts_of_hot_sessions": _with("SELECT * FROM pairs", _EVENTS, _PAGES),
     "page_conversion": _with("SELECT * FROM conversion", _EVENTS, _PAGES),
     "page_split_convert_rate": _with(
         "SELECT string_agg(from_page || '_' || to_page || '=' || convert_rate, '|' ORDER BY step)"
@@ -246,16 +272,13 @@ ORACLES = {
     ),
     "area_product_clicks": _with("SELECT * FROM area_clicks", _EVENTS, _CITIES, _AREAS),
     "area_top3_products": _with(
-        """
-SELECT area, CASE WHEN area IN ('华北', '华东') THEN 'A level' WHEN area IN ('华南', '华中') THEN 'B level'
-    WHEN area IN ('西北', '西南') THEN 'C level' ELSE 'D level' END AS area_level,
-  product_id, city_infos, click_count, p_name AS product_name,
-  CASE WHEN p_size % 2 = 0 THEN 'self' ELSE 'third party' END AS product_status
-FROM (
-  SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rn
-  FROM area_clicks JOIN part ON product_id = p_partkey)
-WHERE rn <= 3""",
-        _EVENTS,
+        _top_products("('华北', '华东')", "('华南', '华中')", "('西北', '西南')"), _EVENTS, _CITIES, _AREAS
+    ),
+    "area_job_top3": _with(
+        "SELECT CAST(7 AS BIGINT) AS task_id, * FROM ("
+        + _top_products("('ASIA', 'EUROPE')", "('AMERICA')", "('AFRICA')")
+        + ")",
+        _DATED,
         _CITIES,
         _AREAS,
     ),
@@ -279,6 +302,11 @@ WHERE rn <= 3""",
         "SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY ALL", _ARRIVALS
     ),
     "ad_stat_stream": _ads("SELECT * FROM stat"),
+    "ad_stat_late_stream": _ads("SELECT * FROM stat"),
+    "ad_click_trend_late_stream": _ads(
+        "SELECT strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour, strftime(m, '%M') AS minute, ad_id,"
+        " click_count FROM minutes"
+    ),
     "ad_province_top3_stream": _ads(_PROVINCE_TOP),
     "ad_click_trend_stream": _ads(_TREND),
 }

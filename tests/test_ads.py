@@ -53,11 +53,12 @@ def test_province_top_is_per_day(spark):
 
 def test_last_hour_of_minutes(spark):
     rows = [(t(1, 10, m, 59), "p", "c", 1, 1) for m in range(60)] + [(t(1, 11, 5, 1), "p", "c", 1, 2)] * 2
-    counts = ads.minute_clicks(clicks(spark, *rows))
-    trend = ads.click_trend(ads.last_minutes(counts))
+    log = clicks(spark, *rows)
+    trend = ads.click_trend(ads.minute_clicks(ads.last_minutes(log)))
     got = pairs(trend, "date", "hour", "minute", "ad_id", "click_count")
     assert len(got) == 55
     assert got[0] == ("2024-01-01", "10", "06", 1, 1) and got[-1] == ("2024-01-01", "11", "05", 2, 2)
-    assert ads.last_minutes(counts, 10).count() == 5
-    until = ads.last_minutes(counts, 10, F.lit(t(1, 10, 9, 30)))
+    counts = ads.minute_clicks(log)
+    assert ads.last_minutes(counts, 10, time="minute_start").count() == 5
+    until = ads.last_minutes(counts, 10, F.lit(t(1, 10, 9, 30)), "minute_start")
     assert until.count() == 10

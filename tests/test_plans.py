@@ -88,3 +88,35 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     text = plan(df)
     assert re.search(r"PartitionFilters: \[[^\]]*session_date[^\]]*2024-01-02", text)
     assert df.count() == 1
+
+
+def test_building_a_query_starts_no_job(spark, sf_dir):
+    actions = standin.user_visit_action(spark, sf_dir)
+    cities, items = standin.city_info(spark, sf_dir), standin.product_info(spark, sf_dir)
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        products.area_top_products(actions, cities, items)
+        products.area_product_clicks(products.product_clicks(actions), cities)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_last_minutes_skip_files_by_time(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "clicks")
+    spark.range(10).selectExpr("timestamp_seconds(id * 60) ts", "'p' province", "'c' city", "id user_id", "id ad_id").write.parquet(path)
+    recent = ads.last_minutes(spark.read.parquet(path), 3, F.timestamp_seconds(F.lit(400)))
+    text = plan(ads.click_trend(ads.minute_clicks(recent)))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", text)
+    assert recent.count() == 3
+
+
+def test_every_table_may_be_a_folder_of_files(spark, sf_dir, tmp_path):
+    for name in ("region", "nation", "customer", "part", "events"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("ad_stat_stream", "ad_province_top3_stream", "ad_click_trend_stream", "session_stats", "ad_stat"):
+        one, many = (QUERIES[name](spark, folder) for folder in (sf_dir, str(tmp_path)))
+        assert sorted(map(tuple, one.collect())) == sorted(tuple(r) for r in many.select(one.columns).collect())

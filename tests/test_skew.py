@@ -5,12 +5,11 @@ from __future__ import annotations
 from contextlib import contextmanager
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from fixtures import pairs
 from trailmark.operators import ads, pages, sessions
-from trailmark.operators.skew import broadcast_bounded, broadcast_checked, count_up_to, hot_keys
+from trailmark.operators.skew import broadcast_bounded, hot_keys
 
 N = 60_000
 
@@ -118,20 +117,34 @@ def test_missing_session_ids_are_one_session(spark):
     assert "rangepartitioning" in final_plan(df)
 
 
-@pytest.mark.parametrize("tell_apart", [(), ("id",)])
-def test_hot_keys_are_few_and_the_largest(spark, tell_apart):
+def test_hot_keys_are_all_above_the_limit(spark):
     df = rows(spark, "n")
-    assert pairs(hot_keys(df, ["n"], 10_000, tell_apart), "n") == [(0,)]
-    assert hot_keys(df, ["n"], 30_000, tell_apart).isEmpty()
-    assert pairs(hot_keys(df, ["n"], 1, max_keys=3), "n") == [(0,), (1,), (2,)]
+    assert pairs(hot_keys(df, ["n"], 10_000), "n") == [(0,)]
+    assert hot_keys(df, ["n"], 30_000).isEmpty()
+    assert hot_keys(df, ["n"], 1).count() == 1 + N - N // 3
+
+
+def test_hot_session_of_equal_rows(spark):
+    # one page loaded again and again within a second, between two others
+    log = spark.range(0, 30_002, 1, 8).select(
+        F.lit("s").alias("session_id"),
+        F.when(F.col("id") == 0, 7).when(F.col("id") == 30_001, 9).otherwise(8).cast("long").alias("page_id"),
+        F.timestamp_seconds(F.when(F.col("id") == 0, 0).when(F.col("id") == 30_001, 9).otherwise(5)).alias("action_time"),
+    )
+    for flow in ([7, 8, 8, 9], [8, 9], [9, 8]):
+        usual, hot = (pages.page_conversion(log, flow, hot_rows=h) for h in (None, 1_000))
+        assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, usual.collect()))
+    assert "rangepartitioning" in final_plan(hot)
+    assert pairs(pages.page_pair_counts(log, [7, 8, 8], hot_rows=1_000), "from_page", "to_page", "pair_count") == [
+        (7, 8, 1),
+        (8, 8, 29_999),
+    ]
 
 
 def test_broadcasts_are_bounded(spark):
     small, large = spark.range(5), spark.range(50)
-    assert count_up_to(large, 10) == 11 and count_up_to(small, 10) == 5
 
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(broadcast_checked(small, 10)) and not hinted(broadcast_checked(large, 10))
     assert hinted(broadcast_bounded(large, 1000)) and not hinted(broadcast_bounded(large, 10**6))

@@ -86,8 +86,43 @@ def test_folding_changes_nothing(spark, tmp_path):
     tables.user_clicks.fold(3)
     check(tables)
     assert pairs(tables.user_clicks.rows().select("batch_id").distinct(), "*") == [(3,)]
-    kept = sorted(p.name for p in (tmp_path / "ad_user_click_count" / "batches" / "date=2024-01-01").iterdir())
-    assert [k for k in kept if k.startswith("batch")] == ["batch_id=2"]
+
+
+def folders(path):
+    return sorted(p.name for p in path.iterdir() if p.is_dir())
+
+
+def test_folds_keep_the_files_of_the_one_before(spark, tmp_path):
+    stat = CountTable(spark, str(tmp_path), schemas.AD_STAT, fold_every=3)
+    seen = []
+    for i in range(11):
+        stat.write(ads.ad_stat(clicks(spark, *rows(0, 1, 1, 1))), i)
+        assert stat.current().first().click_count == i + 1
+        seen.append([folders(tmp_path / k / "date=2024-01-01") for k in ("batches", "folds") if (tmp_path / k).exists()])
+    # after the folds of batches 0-2, 0-5 and 0-8: a reader of the state before a fold finds its files
+    assert seen[3] == [[f"batch_id={k}" for k in range(4)], ["batch_id=2"]]
+    assert seen[6] == [[f"batch_id={k}" for k in range(3, 7)], ["batch_id=2", "batch_id=5"]]
+    assert seen[9] == [[f"batch_id={k}" for k in range(6, 10)], ["batch_id=5", "batch_id=8"]]
+    assert len(seen[10][0]) + len(seen[10][1]) <= 2 * 3 + 2
+
+
+def test_a_batch_writes_few_files(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path), schemas.AD_BLACKLIST)
+    table.write(spark.range(100).withColumnRenamed("id", "user_id").repartition(40), 0)
+    assert len(list((tmp_path / "batch_id=0").glob("*.parquet"))) == 1
+
+
+def test_map_of_folds_is_no_reason_to_shuffle_by_date(spark, tmp_path):
+    stat = CountTable(spark, str(tmp_path), schemas.AD_STAT, fold_every=2)
+    for i in range(4):
+        stat.write(ads.ad_stat(clicks(spark, *rows(i % 2, 1, 1, 1))), i)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stat.rows()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_blacklist_stream_goes_on_from_its_checkpoint(spark, tmp_path):
@@ -106,7 +141,7 @@ def click_stream(spark, folder):
 
 
 def test_stat_and_province_top_over_several_runs(spark, tmp_path):
-    stat = CountTable(spark, str(tmp_path / "stat"), schemas.AD_STAT, "latest", fold_every=3)
+    stat = CountTable(spark, str(tmp_path / "stat"), schemas.AD_STAT, fold_every=3)
     batches = [
         rows(0, 1, 1, 2) + rows(0, 1, 2, 3, "q"),
         rows(0, 1, 1, 1, city="d") + rows(0, 1, 3, 1) + rows(0, 5, 4, 1) + rows(0, 5, 5, 2),
@@ -131,23 +166,44 @@ def test_stat_and_province_top_over_several_runs(spark, tmp_path):
     assert pairs(stat.current(), *schemas.AD_STAT.names) == pairs(everything, *schemas.AD_STAT.names)
 
 
-def test_trend_keeps_whole_minutes_and_drops_late_clicks(spark, tmp_path):
-    trend = CountTable(spark, str(tmp_path / "trend"), schemas.AD_CLICK_TREND, "latest")
+def test_trend_counts_late_clicks(spark, tmp_path):
+    trend = CountTable(spark, str(tmp_path / "trend"), schemas.AD_CLICK_TREND)
     first = rows(0, 1, 1, 2) + rows(0, 1, 1, 1, start=50)
     second = rows(0, 1, 1, 3) + rows(0, 1, 2, 1, start=130)
-    third = rows(0, 1, 1, 4)  # 130 minutes behind, the watermark is 60
+    third = rows(0, 1, 1, 4) + rows(-10, 1, 1, 1)  # 130 minutes and ten days behind
     for i, batch in enumerate((first, second, third)):
         put(tmp_path / "in", f"{i}.txt", batch)
         counts.click_trend_stream(
             click_stream(spark, tmp_path / "in"), trend, str(tmp_path / "cp"), trigger=B.ALL_AVAILABLE
         ).awaitTermination()
     assert pairs(trend.current(), *schemas.AD_CLICK_TREND.names) == [
-        ("2024-01-01", "00", "00", 1, 5),
+        ("2023-12-22", "00", "00", 1, 1),
+        ("2024-01-01", "00", "00", 1, 9),
         ("2024-01-01", "00", "50", 1, 1),
         ("2024-01-01", "02", "10", 2, 1),
     ]
-    assert pairs(counts.last_hour(trend), "hour", "minute") == [("02", "10")]
-    assert counts.last_hour(trend, 81).count() == 2
+    at = DAY + timedelta(minutes=130, seconds=20)
+    assert pairs(counts.last_hour(trend, until=at), "hour", "minute") == [("02", "10")]
+    assert counts.last_hour(trend, 81, at).count() == 2
+    # the clock decides, not the newest row
+    add = rows(27_393, 1, 1, 1) + [(datetime(9999, 12, 31, 23, 59), "p", "c", 1, 1)]
+    counts.add_trend(clicks(spark, *add), 9, trend)
+    assert pairs(counts.last_hour(trend, until=at), "hour", "minute") == [("02", "10")]
+    assert pairs(counts.last_hour(trend, until=DAY + timedelta(minutes=60)), "minute") == [("50",)]
+    assert counts.last_hour(trend).isEmpty()
+
+
+def test_lines_of_any_number_do_not_stop_the_stream(spark, tmp_path):
+    tables = B.BlacklistTables.at(spark, str(tmp_path / "tables"))
+    odd = ["9223372036854775807", "-9223372036854775808", "253402300800000", "-62135596800001", "1e9", ""]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("".join(f"{x} p c 1 2\n" for x in [*odd, "253402300799999"]))
+    for _ in range(2):
+        B.blacklist_stream(
+            file_lines(spark, str(tmp_path / "in")), tables, str(tmp_path / "cp"), 3, B.ALL_AVAILABLE
+        ).awaitTermination()
+    assert pairs(tables.clicks.read().select(F.year("ts").alias("y")), "y") == [(9999,)]
+    assert sorted(r.value for r in tables.rejects.batch(0).collect()) == sorted(f"{x} p c 1 2" for x in odd)
 
 
 def test_ad_job_counts_what_the_blacklist_lets_through(spark, tmp_path):
@@ -155,8 +211,7 @@ def test_ad_job_counts_what_the_blacklist_lets_through(spark, tmp_path):
     for i, batch in enumerate(BATCHES):
         put(tmp_path / "in", f"{i}.txt", batch)
         lines = file_lines(spark, str(tmp_path / "in"))
-        for running in ad_job(lines, tables, str(tmp_path / "cp"), 3, B.ALL_AVAILABLE):
-            running.awaitTermination()
+        ad_job(lines, tables, str(tmp_path / "cp"), 3, B.ALL_AVAILABLE).awaitTermination()
     check(tables.blacklist)
     kept = tables.blacklist.clicks.read().select(*CLICK)
     columns = schemas.AD_STAT.names
@@ -172,7 +227,7 @@ def test_ad_job_counts_what_the_blacklist_lets_through(spark, tmp_path):
 def test_table_that_does_not_exist_yet_is_empty(spark, tmp_path):
     table = BatchTable(spark, str(tmp_path / "none"), schemas.AD_BLACKLIST)
     assert table.read().isEmpty() and not table.has(0)
-    count = CountTable(spark, str(tmp_path / "none2"), schemas.AD_STAT, "latest")
+    count = CountTable(spark, str(tmp_path / "none2"), schemas.AD_STAT)
     assert count.current().isEmpty()
     with pytest.raises(Exception, match="clash"):
         table.write(spark.range(1).select(F.raise_error(F.lit("clash")).cast("long").alias("user_id")), 0)

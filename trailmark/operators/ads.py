@@ -9,6 +9,8 @@ from trailmark.functions import format_date
 from trailmark.operators.topn import top_n_per_group
 
 BLACKLIST_THRESHOLD = 100
+# the years 1 to 9999, which is what dates as text can hold
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _fields(lines: DataFrame) -> DataFrame:
@@ -17,10 +19,11 @@ def _fields(lines: DataFrame) -> DataFrame:
     def part(i: int) -> Column:
         return F.try_element_at(parts, F.lit(i))
 
+    millis = part(1).try_cast("bigint")
     return lines.withColumn(
         "_click",
         F.struct(
-            F.timestamp_millis(part(1).try_cast("bigint")).alias("ts"),
+            F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), F.timestamp_millis(millis)).alias("ts"),
             part(2).alias("province"),
             part(3).alias("city"),
             part(4).try_cast("bigint").alias("user_id"),
@@ -95,11 +98,16 @@ def minute_clicks(clicks: DataFrame) -> DataFrame:
     )
 
 
-def last_minutes(counts: DataFrame, minutes: int = 60, until: Column | None = None) -> DataFrame:
-    """The rows of the newest `minutes` minutes up to `until`, by default up to the newest minute stored."""
-    newest = counts.agg(F.max("minute_start")).scalar() if until is None else F.date_trunc("minute", until)
-    since = newest - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
-    return counts.where((F.col("minute_start") > since) & (F.col("minute_start") <= newest))
+def last_minutes(
+    rows: DataFrame, minutes: int = 60, until: Column | None = None, time: str = "ts"
+) -> DataFrame:
+    """The rows of the `minutes` minutes up to that of `until`, by default of the newest row; none after `until`.
+
+    The bare time column is compared, so that files can be skipped by it.
+    """
+    until = rows.agg(F.max(time)).scalar() if until is None else until
+    since = F.date_trunc("minute", until) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes - 1), F.lit(0))
+    return rows.where((F.col(time) >= since) & (F.col(time) <= until))
 
 
 def click_trend(minute_counts: DataFrame) -> DataFrame:

@@ -47,38 +47,50 @@ def _flow_rows(moves: DataFrame, flow: Sequence[int], *keep: str) -> DataFrame:
     return matched.where(wanted).withColumn("prev_page", F.col("_from")).drop("_from", "_to")
 
 
-def _count(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("prev_page", "page_id").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _usual_moves(rows: DataFrame, order: Sequence[str], flow: Sequence[int]) -> DataFrame:
     by_time = Window.partitionBy("session_id").orderBy(*order)
     moves = rows.select("page_id", F.lag("page_id").over(by_time).alias("prev_page"))
-    return _count(_flow_rows(moves, flow))
+    return _flow_rows(moves, flow).groupBy("prev_page", "page_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _hot_moves(rows: DataFrame, order: Sequence[str], flow: Sequence[int]) -> DataFrame:
-    """As `_usual_moves` for sessions too large for one task: each is cut along its time order into the ranges
-    of a range partitioning, moves are counted inside each range, and the move into the first row of a range
-    is found from the last row of the range before, over a few rows per range."""
+    """As `_usual_moves` for sessions too large for one task. Rows that nothing tells apart are combined into one
+    with their number, as no cut could part them: all but the first move from the page to itself. Each session is
+    cut along its time order into the ranges of a range partitioning, moves are counted inside each range, and the
+    move into the first row of a range is found from the last row of the range before, over a few rows per range."""
     spark = rows.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(ranges, "session_id", *order).withColumn(
+    combined = rows.groupBy("session_id", *order).agg(F.count(F.lit(1)).alias("_copies"))
+    ranged = combined.repartitionByRange(ranges, "session_id", *order).withColumn(
         "_range", F.spark_partition_id()
     )
     in_range = Window.partitionBy("session_id", "_range").orderBy(*order)
-    moves = ranged.select(
+    placed = ranged.select(
         "session_id",
         "_range",
         "page_id",
+        "_copies",
         F.lag("page_id").over(in_range).alias("prev_page"),
         F.lag(F.lit(1)).over(in_range).isNull().alias("_head"),
         F.lead(F.lit(1)).over(in_range).isNull().alias("_tail"),
     )
+    once = F.struct("prev_page", "_head", "_tail", F.lit(1).cast("long").alias("n"))
+    again = F.struct(
+        F.col("page_id").alias("prev_page"),
+        F.lit(False).alias("_head"),
+        F.lit(False).alias("_tail"),
+        (F.col("_copies") - 1).alias("n"),
+    )
+    moves = placed.select(
+        "session_id",
+        "_range",
+        "page_id",
+        F.inline(F.when(F.col("_copies") > 1, F.array(once, again)).otherwise(F.array(once))),
+    )
     counted = (
         _flow_rows(moves, flow, "_head", "_tail")
         .groupBy("session_id", "_range", "_head", "_tail", "prev_page", "page_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     before = (
         Window.partitionBy("session_id")
@@ -100,11 +112,12 @@ def _moves(
     """(prev_page, page_id, n) for the pairs of the flow, and prev_page NULL for other views of its start."""
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
-    order = ["action_time", *tie_breakers, "page_id"]
-    rows = actions.select("session_id", *dict.fromkeys(order))
+    order = list(dict.fromkeys(["action_time", *tie_breakers, "page_id"]))
+    rows = actions.select("session_id", *order)
     if hot_rows is None:
         return _usual_moves(rows, order, flow)
-    hot = F.broadcast(hot_keys(rows, ["session_id"], hot_rows, tell_apart=order)).alias("hot")
+    # at most one session for every `hot_rows` rows
+    hot = F.broadcast(hot_keys(rows, ["session_id"], hot_rows)).alias("hot")
     is_hot = F.col("rows.session_id").eqNullSafe(F.col("hot.session_id"))  # missing ids are one session
     usual = _usual_moves(rows.alias("rows").join(hot, is_hot, "left_anti"), order, flow)
     large = _hot_moves(rows.alias("rows").join(hot, is_hot, "left_semi"), order, flow)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions import area_level, concat_long_string, group_concat_distinct, product_status
-from trailmark.operators.skew import BROADCAST_ROWS, broadcast_bounded, broadcast_checked, count_up_to
 from trailmark.operators.topn import top_n_per_group
 
 
@@ -25,7 +24,7 @@ def _city_clicks(clicks: DataFrame, cities: DataFrame, known: DataFrame | None =
     if known is not None:
         counts = counts.join(known.select("product_id"), "product_id", "left_semi")
     places = cities.select(F.col("city_id").cast("long").alias("city_id"), "city_name", "area")
-    return counts.join(broadcast_checked(places), "city_id")
+    return counts.join(places, "city_id")
 
 
 def _with_city_infos(city_clicks: DataFrame) -> DataFrame:
@@ -58,15 +57,12 @@ def area_top_products(
     counts = city_clicks.groupBy("area", "product_id").agg(F.sum("click_count").alias("click_count"))
     top = top_n_per_group(counts, ["area"], [F.col("click_count").desc(), F.col("product_id")], n)
     winners = top.select("area", "product_id")
-    areas = count_up_to(cities.select("area").distinct(), BROADCAST_ROWS)
     # the same counts per city are read again: one shuffle serves both
-    placed = _with_city_infos(
-        city_clicks.join(broadcast_bounded(winners, n * areas), ["area", "product_id"], "left_semi")
-    )
+    placed = _with_city_infos(city_clicks.join(winners, ["area", "product_id"], "left_semi"))
     described = products.select(
         "product_id", "product_name", product_status(F.col("extend_info")).alias("product_status")
     )
-    return described.join(broadcast_bounded(placed, n * areas), "product_id").select(
+    return described.join(placed, "product_id").select(
         "area",
         area_level(F.col("area"), levels).alias("area_level"),
         "product_id",

@@ -15,37 +15,10 @@ def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
 
 
-def count_up_to(df: DataFrame, max_rows: int) -> int:
-    """The number of rows, counted no further than `max_rows` + 1. Meant for small stored tables."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count()
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """The keys with `min_rows` rows or more: at most one for every `min_rows` rows of `df`.
 
-
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if counting shows no more than `max_rows` rows; a larger side is shuffled."""
-    return F.broadcast(df) if count_up_to(df, max_rows) <= max_rows else df
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    min_rows: int,
-    tell_apart: Sequence[str] = (),
-    max_keys: int = 10_000,
-) -> DataFrame:
-    """The keys with about `min_rows` rows or more, the largest `max_keys` of them.
-
-    Given columns that tell the rows of a key apart, a fixed part of the rows is counted, chosen by their hash,
-    so that every evaluation finds the same keys. The result is small by construction and can be broadcast.
-    It only says where to work differently: callers treat the other keys in the usual way, and beyond the bound
-    a key holds less than 1/max_keys of all rows.
+    All rows are counted, so rows that are equal in every column are found too; only the keys are read.
     """
-    one_in = max(1, min(64, min_rows // 1000)) if tell_apart else 1
-    if one_in > 1:
-        df = df.where(F.pmod(F.xxhash64(*keys, *tell_apart), F.lit(one_in)) == 0)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.where(F.col("_rows") >= min_rows // one_in)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(max_keys)
-        .select(*keys)
-    )
+    return counts.where(F.col("_rows") >= min_rows).select(*keys)

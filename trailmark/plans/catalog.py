@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from trailmark import schemas
 from trailmark.functions import format_time
 from trailmark.operators import ads, categories, pages, products, sampling, sessions
-from trailmark.params import TaskParams
+from trailmark.params import TaskParams, load_task
+from trailmark.plans import jobs
 from trailmark.scratch import shared_folder, written
 from trailmark.sources import standin
 from trailmark.sources.tables import file_lines
@@ -36,6 +37,14 @@ FILTERS = TaskParams.parse(
     }
 )
 
+# a stored task, as the jobs are given it
+TASK = (
+    '{"startDate": ["2024-01-06"], "endDate": ["2024-01-20"], "startAge": ["10"], "endAge": ["50"],'
+    ' "professionals": ["MACHINERY,FURNITURE,HOUSEHOLD"], "sex": ["male,female"],'
+    ' "keywords": ["kw1,kw2,kw3,kw4,kw5"], "categoryIds": ["1,2,3,5,8,13"], "targetPageFlow": ["1,2,3,4,5"]}'
+)
+LEVELS = {"A level": ["ASIA", "EUROPE"], "B level": ["AMERICA"], "C level": ["AFRICA"]}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -243,28 +252,35 @@ def ad_province_top3(spark, folder):
 
 @query
 def ad_click_trend(spark, folder):
-    return ads.click_trend(ads.last_minutes(ads.minute_clicks(_clicks(spark, folder))))
+    return ads.click_trend(ads.minute_clicks(ads.last_minutes(_clicks(spark, folder))))
 
 
-def _run_blacklist(spark: SparkSession, folder: str) -> blacklist.BlacklistTables:
-    """The days of the events arrive in three parts of equal length, each the stream's next micro-batch."""
-    work = shared_folder(spark)
+def _arrivals(spark: SparkSession, folder: str, work: str, backwards: bool = False):
+    """Writes the events' lines in parts of equal numbers of days, and yields after each."""
     day = F.to_date("ts")
     events = standin.events(spark, folder)
     first, last = events.agg(F.min(day), F.max(day)).first()
     days = (last - first).days + 1
     starts = [first + timedelta(days=ceil(i * days / ARRIVALS)) for i in range(ARRIVALS + 1)]
+    parts = list(zip(starts, starts[1:]))
+    for start, stop in reversed(parts) if backwards else parts:
+        part = events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(stop)))
+        standin.ad_log_lines(part, spark, folder).write.mode("append").text(f"{work}/lines")
+        yield
+
+
+def _run_blacklist(spark: SparkSession, folder: str, then=None) -> blacklist.BlacklistTables:
+    """The days of the events arrive in three parts of equal length, each the stream's next micro-batch."""
+    work = shared_folder(spark)
     tables = blacklist.BlacklistTables.at(spark, f"{work}/tables")
-    for i in range(ARRIVALS):
-        part = events.where((F.col("ts") >= F.lit(starts[i])) & (F.col("ts") < F.lit(starts[i + 1])))
-        arriving = standin.ad_log_lines(part, spark, folder)
-        arriving.write.mode("append").text(f"{work}/lines")
+    for _ in _arrivals(spark, folder, work):
         blacklist.blacklist_stream(
             file_lines(spark, f"{work}/lines"),
             tables,
             f"{work}/checkpoint",
             THRESHOLD,
             blacklist.ALL_AVAILABLE,
+            then,
         ).awaitTermination()
     return tables
 
@@ -281,12 +297,8 @@ def ad_user_clicks_stream(spark, folder):
 
 @query
 def ad_filtered_stat_stream(spark, folder):
-    work = shared_folder(spark)
-    tables = _run_blacklist(spark, folder)
-    stat = CountTable(spark, f"{work}/stat", schemas.AD_STAT, "latest")
-    counts.ad_stat_stream(
-        blacklist.filtered_clicks_stream(tables), stat, f"{work}/checkpoint", trigger=blacklist.ALL_AVAILABLE
-    ).awaitTermination()
+    stat = CountTable(spark, f"{shared_folder(spark)}/stat", schemas.AD_STAT)
+    _run_blacklist(spark, folder, lambda clicks, batch: counts.add_stat(clicks, batch, stat))
     return stat.current()
 
 
@@ -295,7 +307,7 @@ def _click_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _run_stat(spark: SparkSession, folder: str, work: str) -> CountTable:
-    stat = CountTable(spark, f"{work}/stat", schemas.AD_STAT, "latest")
+    stat = CountTable(spark, f"{work}/stat", schemas.AD_STAT)
     counts.ad_stat_stream(
         _click_stream(spark, folder),
         stat,
@@ -318,11 +330,93 @@ def ad_province_top3_stream(spark, folder):
     return spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(f"{work}/top")
 
 
+def _newest(spark: SparkSession, folder: str) -> datetime:
+    """The clock of a stream over stored events: the time of the last one."""
+    last = standin.events(spark, folder).agg(F.max("ts")).first()[0]
+    return last.replace(tzinfo=timezone.utc)
+
+
 @query
 def ad_click_trend_stream(spark, folder):
     work = shared_folder(spark)
-    trend = CountTable(spark, f"{work}/trend", schemas.AD_CLICK_TREND, "latest")
+    trend = CountTable(spark, f"{work}/trend", schemas.AD_CLICK_TREND)
     counts.click_trend_stream(
         _click_stream(spark, folder), trend, f"{work}/checkpoint", trigger=blacklist.ALL_AVAILABLE
     ).awaitTermination()
-    return counts.last_hour(trend)
+    return counts.last_hour(trend, until=_newest(spark, folder))
+
+
+def _run_late(spark: SparkSession, folder: str, table: CountTable, add, work: str) -> CountTable:
+    """The latest days arrive first. Every batch runs twice, as after a failure, and counts are folded."""
+    for i, _ in enumerate(_arrivals(spark, folder, work, backwards=True)):
+        lines = file_lines(spark, f"{work}/lines")
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            add(ads.parse_ad_log(batch), batch_id, table)
+            add(ads.parse_ad_log(batch), batch_id, table)
+
+        blacklist.start(
+            lines.writeStream.foreachBatch(run), f"{work}/checkpoint", blacklist.ALL_AVAILABLE
+        ).awaitTermination()
+    return table
+
+
+@query
+def ad_stat_late_stream(spark, folder):
+    work = shared_folder(spark)
+    stat = CountTable(spark, f"{work}/stat", schemas.AD_STAT, fold_every=2)
+    return _run_late(spark, folder, stat, counts.add_stat, work).current()
+
+
+@query
+def ad_click_trend_late_stream(spark, folder):
+    work = shared_folder(spark)
+    trend = CountTable(spark, f"{work}/trend", schemas.AD_CLICK_TREND, fold_every=2)
+    return _run_late(spark, folder, trend, counts.add_trend, work).current()
+
+
+@query
+def page_pair_counts_of_hot_sessions(spark, folder):
+    """As `page_pair_counts`, with sessions of a few rows taken as hot already."""
+    actions = standin.user_visit_action(spark, folder)
+    return pages.page_pair_counts(actions, FLOW, ["event_id"], hot_rows=3)
+
+
+def _task(spark: SparkSession) -> TaskParams:
+    return load_task(spark.createDataFrame([(7, TASK)], "task_id long, task_param string"), 7)
+
+
+def _text_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The action log with times as text, hours without leading zero."""
+    log = standin.user_visit_action(spark, folder)
+    return log.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd H:mm:ss"))
+
+
+@query
+def session_job_stats(spark, folder):
+    """The job from task JSON, with a date range and times as text, read back from its table."""
+    out = shared_folder(spark)
+    jobs.session_job(_text_log(spark, folder), standin.user_info(spark, folder), _task(spark), 7, out)
+    return spark.read.parquet(f"{out}/session_aggr_stat")
+
+
+@query
+def page_job_rates(spark, folder):
+    out = shared_folder(spark)
+    jobs.page_job(_text_log(spark, folder), _task(spark), 7, out, ["event_id"])
+    return spark.read.parquet(f"{out}/page_split_convert_rate")
+
+
+@query
+def area_job_top3(spark, folder):
+    out = shared_folder(spark)
+    jobs.area_job(
+        _text_log(spark, folder),
+        standin.city_info(spark, folder),
+        standin.product_info(spark, folder),
+        _task(spark),
+        7,
+        out,
+        levels=LEVELS,
+    )
+    return spark.read.parquet(f"{out}/area_top3_product")

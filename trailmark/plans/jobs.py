@@ -14,13 +14,8 @@ from trailmark.operators.ads import BLACKLIST_THRESHOLD
 from trailmark.params import TaskParams
 from trailmark.scratch import shared_folder, written
 from trailmark.sources.tables import task_actions
-from trailmark.streaming.blacklist import (
-    EVERY_5_SECONDS,
-    BlacklistTables,
-    blacklist_stream,
-    filtered_clicks_stream,
-)
-from trailmark.streaming.counts import ad_stat_stream, click_trend_stream
+from trailmark.streaming.blacklist import EVERY_5_SECONDS, BlacklistTables, blacklist_stream
+from trailmark.streaming.counts import add_stat, add_trend
 from trailmark.streaming.tables import CountTable
 
 CATEGORY_COLUMNS = ("click_category_id", "order_category_ids", "pay_category_ids")
@@ -111,8 +106,8 @@ class AdTables:
     def at(cls, spark, folder: str) -> "AdTables":
         return cls(
             BlacklistTables.at(spark, folder),
-            CountTable(spark, f"{folder}/ad_stat", schemas.AD_STAT, "latest"),
-            CountTable(spark, f"{folder}/ad_click_trend", schemas.AD_CLICK_TREND, "latest"),
+            CountTable(spark, f"{folder}/ad_stat", schemas.AD_STAT),
+            CountTable(spark, f"{folder}/ad_click_trend", schemas.AD_CLICK_TREND),
             f"{folder}/ad_province_top3",
         )
 
@@ -123,18 +118,11 @@ def ad_job(
     checkpoint: str,
     threshold: int = BLACKLIST_THRESHOLD,
     trigger: dict = EVERY_5_SECONDS,
-) -> list[StreamingQuery]:
-    """Starts the blacklist on the lines, and the running counts on the clicks it lets through.
+) -> StreamingQuery:
+    """Starts one stream that runs the blacklist on the lines and adds the clicks it lets through to all counts."""
 
-    With a trigger that ends (availableNow) the counts start when the blacklist has finished.
-    """
-    tables.blacklist.clicks.create()  # the counting streams need the folder to exist
-    first = blacklist_stream(lines, tables.blacklist, f"{checkpoint}/blacklist", threshold, trigger)
-    if "availableNow" in trigger:
-        first.awaitTermination()
-    clicks = filtered_clicks_stream(tables.blacklist)
-    stat = ad_stat_stream(
-        clicks, tables.stat, f"{checkpoint}/stat", tables.province_top_path, trigger=trigger
-    )
-    trend = click_trend_stream(clicks, tables.trend, f"{checkpoint}/trend", trigger=trigger)
-    return [first, stat, trend]
+    def count(clicks: DataFrame, batch_id: int) -> None:
+        add_stat(clicks, batch_id, tables.stat, tables.province_top_path)
+        add_trend(clicks, batch_id, tables.trend)
+
+    return blacklist_stream(lines, tables.blacklist, checkpoint, threshold, trigger, count)

@@ -27,7 +27,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(folder)
+    # a pattern, as a stream takes no single file as its path; it reads one file as well as a folder of them
+    return spark.readStream.schema(EVENTS).parquet(f"{folder}/event[s].parquet")
 
 
 def _k() -> Column:

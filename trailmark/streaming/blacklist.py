@@ -6,13 +6,20 @@ before it wrote, and writes only its own partitions, hence running it again chan
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trailmark import schemas
-from trailmark.operators.ads import BLACKLIST_THRESHOLD, over_threshold, parse_ad_log, user_daily_clicks
+from trailmark.operators.ads import (
+    BLACKLIST_THRESHOLD,
+    ad_log_rejects,
+    over_threshold,
+    parse_ad_log,
+    user_daily_clicks,
+)
 from trailmark.streaming.tables import BatchTable, CountTable
 
 
@@ -21,13 +28,15 @@ class BlacklistTables:
     blacklist: BatchTable
     user_clicks: CountTable
     clicks: BatchTable
+    rejects: BatchTable
 
     @classmethod
     def at(cls, spark: SparkSession, folder: str) -> "BlacklistTables":
         return cls(
             BatchTable(spark, f"{folder}/ad_blacklist", schemas.AD_BLACKLIST),
-            CountTable(spark, f"{folder}/ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "sum"),
+            CountTable(spark, f"{folder}/ad_user_click_count", schemas.AD_USER_CLICK_COUNT),
             BatchTable(spark, f"{folder}/ad_clicks", schemas.CLICKS),
+            BatchTable(spark, f"{folder}/ad_log_rejects", schemas.AD_LOG_REJECTS),
         )
 
 
@@ -37,7 +46,7 @@ def drop_listed(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 
 def newly_listed(
-    tables: BlacklistTables, batch_id: int, dates: list[str] | None, threshold: int
+    tables: BlacklistTables, batch_id: int, dates: list[str], threshold: int
 ) -> DataFrame:
     """Users whose count of a day and ad, up to this batch, reached the threshold through this batch.
 
@@ -52,13 +61,21 @@ def newly_listed(
 
 
 def process_batch(
-    clicks: DataFrame, batch_id: int, tables: BlacklistTables, threshold: int = BLACKLIST_THRESHOLD
+    clicks: DataFrame,
+    batch_id: int,
+    tables: BlacklistTables,
+    threshold: int = BLACKLIST_THRESHOLD,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
+    """Stores the clicks the blacklist lets through and what follows from them; `then` gets the stored clicks."""
     if not tables.clicks.has(batch_id):
         # readers of this table may have seen an earlier run's files, so a second run leaves them as they are
         tables.clicks.write(drop_listed(clicks, tables.blacklist.before(batch_id)), batch_id)
-    dates = tables.user_clicks.write(user_daily_clicks(tables.clicks.batch(batch_id)), batch_id)
-    if dates != []:
+    kept = tables.clicks.batch(batch_id)
+    dates = tables.user_clicks.write(user_daily_clicks(kept), batch_id)
+    if then:
+        then(kept, batch_id)
+    if dates:
         tables.blacklist.write(newly_listed(tables, batch_id, dates, threshold), batch_id)
 
 
@@ -77,16 +94,24 @@ def blacklist_stream(
     checkpoint: str,
     threshold: int = BLACKLIST_THRESHOLD,
     trigger: dict = EVERY_5_SECONDS,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Runs the blacklist over a stream of ad log lines (column `value`)."""
+    """Runs the blacklist over a stream of ad log lines (column `value`). Lines that are no clicks are stored too."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, tables, threshold)
+        batch = batch.select("value").persist()  # the source is read once
+        try:
+            rejects = ad_log_rejects(batch)
+            if not rejects.isEmpty():
+                tables.rejects.write(rejects, batch_id)
+            process_batch(parse_ad_log(batch), batch_id, tables, threshold, then)
+        finally:
+            batch.unpersist()
 
-    return start(parse_ad_log(lines).writeStream.foreachBatch(run), checkpoint, trigger)
+    return start(lines.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
 def filtered_clicks_stream(tables: BlacklistTables) -> DataFrame:
-    """The clicks that passed the blacklist, as a stream for the counting operators."""
+    """The clicks that passed the blacklist, as a stream for other uses than the counts."""
     spark, schema = tables.clicks.spark, tables.clicks.schema
     return spark.readStream.schema(schema).parquet(tables.clicks.path)

@@ -1,39 +1,41 @@
 """Running counts: per day, province, city and ad, with the top ads of each province; and per minute and ad.
 
-State is kept per event-time window and dropped once the watermark has passed it. Each micro-batch stores the
-new counts of the keys it changed; the tables take the newest.
+Each micro-batch adds its own counts to tables that are summed on reading. There is no state and no watermark, so
+that a click counts however late it arrives.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trailmark.operators.ads import click_trend, last_minutes, province_top_ads
+from trailmark.operators.ads import ad_stat, click_trend, last_minutes, minute_clicks, province_top_ads
 from trailmark.sinks import overwrite_partitions
 from trailmark.streaming.blacklist import EVERY_5_SECONDS, EVERY_10_SECONDS, start
-from trailmark.streaming.tables import CountTable, few_files
+from trailmark.streaming.tables import CountTable
 
 
-def running_counts(clicks: DataFrame, window: str, keys: list[str], watermark: str) -> DataFrame:
-    """Streaming counts per window and keys, with the window's start as `window_start`."""
-    counts = clicks.withWatermark("ts", watermark).groupBy(F.window("ts", window), *keys)
-    return counts.agg(F.count(F.lit(1)).alias("click_count")).select(
-        F.col("window.start").alias("window_start"), *keys, "click_count"
-    )
+def province_top_of_batch(stat: CountTable, batch_id: int, dates: list[str], path: str, n: int = 3) -> None:
+    """Replaces the top ads of the dates and provinces a batch has changed, from the whole day's counts."""
+    touched = stat.batch(batch_id, dates).select("date", "province").distinct()
+    counts = stat.combine(stat.rows(batch_id, dates).join(touched, ["date", "province"], "left_semi"))
+    overwrite_partitions(province_top_ads(counts, n).hint("rebalance", "date"), path, ["date", "province"])
 
 
-def province_top_of_batch(
-    stat: CountTable, batch_id: int, dates: list[str] | None, path: str, n: int = 3
+def add_stat(
+    clicks: DataFrame, batch_id: int, stat: CountTable, province_top_path: str | None = None, n: int = 3
 ) -> None:
-    """Replaces the top ads of the dates a batch has changed, from the whole day's counts."""
-    counts = stat.current(batch_id, dates)
-    if dates is None:
-        counts = counts.join(stat.batch(batch_id).select("date"), "date", "left_semi")
-    overwrite_partitions(few_files(province_top_ads(counts, n), "date"), path, ["date"])
+    """Adds one batch of clicks to `stat`, and brings the top ads up to date if a path is given."""
+    dates = stat.write(ad_stat(clicks), batch_id)
+    if province_top_path and dates:
+        province_top_of_batch(stat, batch_id, dates, province_top_path, n)
+
+
+def add_trend(clicks: DataFrame, batch_id: int, trend: CountTable) -> None:
+    trend.write(click_trend(minute_clicks(clicks)), batch_id)
 
 
 def ad_stat_stream(
@@ -42,44 +44,36 @@ def ad_stat_stream(
     checkpoint: str,
     province_top_path: str | None = None,
     n: int = 3,
-    watermark: str = "1 day",
     trigger: dict = EVERY_5_SECONDS,
 ) -> StreamingQuery:
     """Keeps `stat` (date, province, city, ad_id, click_count) up to date and, if a path is given, the top ads."""
-    counts = running_counts(clicks, "1 day", ["province", "city", "ad_id"], watermark)
-    daily = counts.withColumn("date", F.date_format("window_start", "yyyy-MM-dd"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        dates = stat.write(batch, batch_id)
-        if province_top_path and dates != []:  # a batch without rows only moves the watermark
-            province_top_of_batch(stat, batch_id, dates, province_top_path, n)
+        add_stat(batch, batch_id, stat, province_top_path, n)
 
-    return start(daily.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger)
+    return start(clicks.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
 def click_trend_stream(
-    clicks: DataFrame,
-    trend: CountTable,
-    checkpoint: str,
-    watermark: str = "60 minutes",
-    trigger: dict = EVERY_10_SECONDS,
+    clicks: DataFrame, trend: CountTable, checkpoint: str, trigger: dict = EVERY_10_SECONDS
 ) -> StreamingQuery:
     """Keeps `trend` (date, hour, minute, ad_id, click_count) up to date."""
-    counts = running_counts(clicks, "1 minute", ["ad_id"], watermark)
-    rows = click_trend(counts.withColumnRenamed("window_start", "minute_start"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        trend.write(batch, batch_id)
+        add_trend(batch, batch_id, trend)
+
+    return start(clicks.writeStream.foreachBatch(run), checkpoint, trigger)
 
-    return start(rows.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger)
 
+def last_hour(trend: CountTable, minutes: int = 60, until: datetime | None = None) -> DataFrame:
+    """The stored counts of the `minutes` minutes up to `until` (UTC), by default the current time.
 
-def last_hour(trend: CountTable, minutes: int = 60) -> DataFrame:
-    """The stored counts of the newest `minutes` minutes. Only the dates they can fall on are read."""
-    newest = trend.newest_date()
-    dates = newest and [
-        str(date.fromisoformat(newest) - timedelta(days=i)) for i in range(minutes // (24 * 60) + 2)
-    ]
+    Only the dates they can fall on are read. Minutes after `until` are left out.
+    """
+    until = until or datetime.now(timezone.utc)
+    days = min(minutes // (24 * 60) + 1, until.toordinal() - 1)
+    dates = [str(until.date() - timedelta(days=i)) for i in range(days + 1)]
     text = F.concat_ws(" ", "date", F.concat_ws(":", "hour", "minute"))
     stamped = trend.current(dates=dates).withColumn("minute_start", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
-    return click_trend(last_minutes(stamped, minutes))
+    clock = F.to_timestamp(F.lit(until.strftime("%Y-%m-%d %H:%M")), "yyyy-MM-dd HH:mm")
+    return click_trend(last_minutes(stamped, minutes, clock, "minute_start"))

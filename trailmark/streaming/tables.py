@@ -1,9 +1,9 @@
 """Tables written once per micro-batch.
 
 Every batch replaces its own partition `batch_id=N`, so a batch that is run again leaves one copy. What the
-table says is worked out on reading: a "sum" table adds the batches' counts per key, a "latest" table takes
-the count of the newest batch. Folding keeps reading cheap: the state of a date as of one batch is written, and
-older batches of that date are not read any more and removed.
+table says is worked out on reading, by adding the batches' counts per key; so it does not matter how late a row
+arrives. Folding keeps reading cheap: the state of a date as of one batch is written, and older batches of that
+date are not read any more. They are removed with the next fold, so that a reader of the last state finds its files.
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from pyspark.sql.types import LongType, StructType
 from trailmark.sinks import overwrite_partitions
 
 BATCH = "batch_id"
-MAX_DATES = 366
-SLICES = 4
+LISTED_DATES = 366  # more dates than that are not named one by one in a path, but filtered
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, *folders: str) -> DataFrame:
@@ -36,29 +35,20 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType, *folders:
 
 
 def date_folders(dates: Sequence[str] | None) -> str:
-    return "date=*" if dates is None else f"date={{{','.join(dates)}}}"
+    return "date=*" if dates is None or len(dates) > LISTED_DATES else f"date={{{','.join(dates)}}}"
 
 
 def remove_batches(spark: SparkSession, path: str, dates: Sequence[str], upto: int) -> None:
     """Deletes the partitions of batches up to `upto` of the given dates."""
     folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date_folders(dates)}/{BATCH}=*")
     files = folders.getFileSystem(spark._jsc.hadoopConfiguration())
+    named = set(dates)
     for status in files.globStatus(folders) or ():
-        if int(status.getPath().getName().split("=")[1]) <= upto:
+        batch, date = status.getPath().getName(), status.getPath().getParent().getName()
+        if int(batch.split("=")[1]) <= upto and date.split("=")[1] in named:
             files.delete(status.getPath(), True)
 
 
-def few_files(df: DataFrame, key: str) -> DataFrame:
-    """Brings the rows of a partition together, so that not every task writes a file for every date.
-
-    Adaptive execution cuts a large date into several tasks. In the session of a stateful stream, where it is
-    off, a date is spread over `SLICES` tasks.
-    """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", key)
-    return df.repartition(key, F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
-
-
 @dataclass(frozen=True)
 class BatchTable:
     """Rows per batch, without meaning across batches: filtered clicks, newly blacklisted users."""
@@ -68,7 +58,8 @@ class BatchTable:
     schema: StructType
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        rows = df.select(*self.schema.names).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        # as few files as the batch's size needs, whatever the number of tasks
+        rows = df.select(*self.schema.names).hint("rebalance").withColumn(BATCH, F.lit(batch_id).cast("long"))
         overwrite_partitions(rows, self.path, [BATCH])
 
     def read(self) -> DataFrame:
@@ -90,7 +81,7 @@ class BatchTable:
 
 @dataclass(frozen=True)
 class CountTable:
-    """`click_count` per key, the first key being `date`; `kind` is "sum" or "latest".
+    """`click_count` per key, the first key being `date`; batches hold what is added to each.
 
     Every `fold_every` batches the dates just written are folded.
     """
@@ -98,7 +89,6 @@ class CountTable:
     spark: SparkSession
     path: str
     schema: StructType
-    kind: str
     fold_every: int = 100
 
     @property
@@ -107,40 +97,33 @@ class CountTable:
 
     def _part(self, name: str, dates: Sequence[str] | None = None, batch: str = "*") -> DataFrame:
         folders = (date_folders(dates), f"{BATCH}={batch}")
-        return read_or_empty(self.spark, f"{self.path}/{name}", self.schema, *folders)
+        rows = read_or_empty(self.spark, f"{self.path}/{name}", self.schema, *folders)
+        return rows if dates is None else rows.where(F.col("date").isin(list(dates)))
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        rows = few_files(df.select(*self.schema.names), "date")
+        # adaptive execution cuts a large date into several tasks
+        rows = df.select(*self.schema.names).hint("rebalance", "date")
         rows = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
         overwrite_partitions(rows, f"{self.path}/{name}", ["date", BATCH])
 
-    def write(self, df: DataFrame, batch_id: int) -> list[str] | None:
-        """Stores a batch. Returns the dates it touched, or None if there are too many to list."""
+    def write(self, df: DataFrame, batch_id: int) -> list[str]:
+        """Stores a batch. Returns the dates it touched: the names of its folders."""
         self._write(df, "batches", batch_id)
-        dates = self._dates_of(batch_id)
-        if batch_id and batch_id % self.fold_every == 0 and dates != []:
+        dates = [row.date for row in self.batch(batch_id).select("date").distinct().collect()]
+        if batch_id and batch_id % self.fold_every == 0 and dates:
             self.fold(batch_id - 1, dates)
         return dates
 
-    def _dates_of(self, batch_id: int) -> list[str] | None:
-        dates = self.batch(batch_id).select("date").distinct().limit(MAX_DATES + 1)
-        found = [row.date for row in dates.collect()]
-        return found if len(found) <= MAX_DATES else None
-
     def batch(self, batch_id: int, dates: Sequence[str] | None = None) -> DataFrame:
         return self._part("batches", dates, str(batch_id)).drop(BATCH)
 
-    def newest_date(self) -> str | None:
-        """The latest date with rows, from the partitions' names."""
-        dates = self._part("folds").select("date").union(self._part("batches").select("date"))
-        return dates.agg(F.max("date")).first()[0]
-
     def rows(self, upto: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
         """Folded rows and later batches, up to batch `upto`."""
         folds, batches = self._part("folds", dates), self._part("batches", dates)
         if upto is not None:
             folds, batches = folds.where(F.col(BATCH) <= upto), batches.where(F.col(BATCH) <= upto)
-        newest = folds.groupBy("date").agg(F.max(BATCH).alias("_fold"))
+        # one row for each date, from the names of the folders
+        newest = F.broadcast(folds.select("date", BATCH).distinct().groupBy("date").agg(F.max(BATCH).alias("_fold")))
         old = folds.join(newest, "date").where(F.col(BATCH) == F.col("_fold"))
         new = batches.join(newest, "date", "left").where(
             F.col("_fold").isNull() | (F.col(BATCH) > F.col("_fold"))
@@ -148,16 +131,19 @@ class CountTable:
         return old.drop("_fold").unionByName(new.drop("_fold"))
 
     def combine(self, rows: DataFrame) -> DataFrame:
-        value = F.sum("click_count") if self.kind == "sum" else F.max_by("click_count", BATCH)
-        return rows.groupBy(*self.keys).agg(value.alias("click_count"))
+        return rows.groupBy(*self.keys).agg(F.sum("click_count").alias("click_count"))
 
     def current(self, upto: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
         return self.combine(self.rows(upto, dates))
 
     def fold(self, upto: int, dates: Sequence[str] | None = None) -> None:
-        """Stores the state as of batch `upto`, which the stream must have finished, and then removes what
-        it replaces. Nothing is removed if the dates are not listed."""
+        """Stores the state as of batch `upto`, which the stream must have finished.
+
+        Of the given dates, what the fold before this one had replaced is removed. Nothing is removed if no dates
+        are given.
+        """
         self._write(self.current(upto, dates), "folds", upto)
         if dates:
-            remove_batches(self.spark, f"{self.path}/batches", dates, upto)
-            remove_batches(self.spark, f"{self.path}/folds", dates, upto - 1)
+            before = upto - self.fold_every
+            remove_batches(self.spark, f"{self.path}/batches", dates, before)
+            remove_batches(self.spark, f"{self.path}/folds", dates, before - 1)
