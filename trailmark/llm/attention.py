@@ -19,8 +19,8 @@ HEAD = 16
 HIDDEN = 32
 
 _rows = np.arange(SPAN)[STRIDE - 1 :]
-#: what a query at each scored place may not see
-MASK = np.where(np.arange(SPAN)[None, :] > _rows[:, None], -1e9, 0).astype(np.float32)
+#: 1 where a query at a scored place may look, else 0; exponentials are multiplied by it
+SEEN = (np.arange(SPAN)[None, :] <= _rows[:, None]).astype(np.float32)
 
 
 def initial(seed: int = 11) -> dict[str, np.ndarray]:
@@ -83,6 +83,15 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(-1, keepdims=True)
 
 
+_ONES = np.ones(SIDE, np.float32)
+_SPAN_ONES = np.ones(SPAN, np.float32)
+
+
+def _limited(z: np.ndarray) -> np.ndarray:
+    """In place. Logits of a trained model are small; the limit only keeps sums of exponentials finite."""
+    return np.minimum(z, 60, out=z)
+
+
 class Scorer:
     """Log probabilities of tokens; products of the embeddings with the first weights are looked up."""
 
@@ -92,49 +101,67 @@ class Scorer:
         self.query = (p["embed"] @ p["query"] * scale, (p["place"] @ p["query"] * scale)[STRIDE - 1 :])
         self.key = (p["embed"] @ p["key"], p["place"] @ p["key"])
         self.value = (p["embed"] @ p["value"], p["place"] @ p["value"])
+        self.plain = (p["embed"], p["place"][STRIDE - 1 :])
         # weights of each class's members
         self.members = np.ascontiguousarray(p["out"].reshape(WIDTH, SIDE, SIDE).transpose(1, 0, 2))
         self.member_bias = p["out_bias"].reshape(SIDE, SIDE)
 
     def hidden(self, inputs: np.ndarray) -> np.ndarray:
         p = self.p
+        inputs = inputs.astype(np.intp)
         recent = inputs[:, STRIDE - 1 :]
-        q = self.query[0][recent] + self.query[1]
-        k = self.key[0][inputs] + self.key[1]
-        v = self.value[0][inputs] + self.value[1]
+        q, k, v = (np.take(x, at, axis=0) for x, at in
+                   ((self.query[0], recent), (self.key[0], inputs), (self.value[0], inputs)))
+        q += self.query[1]
+        k += self.key[1]
+        v += self.value[1]
         z = np.matmul(q, k.transpose(0, 2, 1))
-        z += MASK
-        z -= z.max(-1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(-1, keepdims=True)
-        h = np.matmul(z, v).reshape(-1, HEAD) @ p["join"]
-        h += (p["embed"][recent] + p["place"][STRIDE - 1 :]).reshape(-1, WIDTH)
-        return h + np.maximum(h @ p["up"] + p["up_bias"], 0) @ p["down"]
-
-    def score(self, inputs: np.ndarray, targets: np.ndarray, batch: int = 1024) -> np.ndarray:
-        """Natural log probability of every target, 0 where there is none."""
+        np.exp(_limited(z), out=z)
+        z *= SEEN
+        h = np.matmul(z, v)
+        h /= (z @ _SPAN_ONES)[..., None]
+        h = h.reshape(-1, HEAD) @ p["join"]
+        own = np.take(self.plain[0], recent, axis=0)
+        own += self.plain[1]
+        h += own.reshape(-1, WIDTH)
+        u = h @ p["up"]
+        u += p["up_bias"]
+        np.maximum(u, 0, out=u)
+        h += u @ p["down"]
+        return h
+
+    def score(self, inputs: np.ndarray, targets: np.ndarray, batch: int = 256, group: int = 4096) -> np.ndarray:
+        """Natural log probability of every target, 0 where there is none.
+
+        Attention runs over `batch` windows at once, the softmax over members over the tokens of `group` windows.
+        """
         out = np.zeros(targets.shape, np.float32)
-        for a in range(0, len(inputs), batch):
-            t = targets[a : a + batch].ravel()
-            h = self.hidden(inputs[a : a + batch])
+        for a in range(0, len(inputs), group):
+            t = targets[a : a + group].ravel().astype(np.int64)
             real = np.flatnonzero(t >= 0)
-            t, h = t[real], h[real]
-            group = (t // SIDE).astype(np.uint8)
-            z = h @ self.p["class"] + self.p["class_bias"]
-            top = z.max(1)
-            found = z[np.arange(len(t)), group] - top - np.log(np.exp(z - top[:, None]).sum(1))
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(SIDE + 1))
+            hidden = np.concatenate([self.hidden(inputs[b : min(b + batch, a + group)])
+                                     for b in range(a, min(a + group, len(inputs)), batch)])
+            classes = np.maximum(t, 0) // SIDE
+            found = np.empty(len(t), np.float32)
+            for b in range(0, len(t), batch * STRIDE):
+                z = hidden[b : b + batch * STRIDE] @ self.p["class"]
+                z += self.p["class_bias"]
+                _limited(z)
+                part = found[b : b + batch * STRIDE]
+                part[:] = z[np.arange(len(z)), classes[b : b + batch * STRIDE]]
+                part -= np.log(np.exp(z, out=z) @ _ONES)
+            order = real[np.argsort(classes[real].astype(np.uint8), kind="stable")]
+            edges = np.searchsorted(classes[order], np.arange(SIDE + 1))
             for c in range(SIDE):
                 mine = order[edges[c] : edges[c + 1]]
                 if len(mine):
-                    z = h[mine] @ self.members[c] + self.member_bias[c]
-                    top = z.max(1)
-                    z -= top[:, None]
-                    picked = z[np.arange(len(mine)), t[mine] % SIDE]
-                    found[mine] += picked - np.log(np.exp(z, out=z).sum(1))
-            flat = out[a : a + batch].reshape(-1)
-            flat[real] = found
+                    z = np.take(hidden, mine, axis=0) @ self.members[c]
+                    z += self.member_bias[c]
+                    _limited(z)
+                    part = z[np.arange(len(mine)), t[mine] % SIDE]
+                    found[mine] += part - np.log(np.exp(z, out=z) @ _ONES)
+            flat = out[a : a + group].reshape(-1)
+            flat[real] = found[real]
         return out
 
 
@@ -144,7 +171,7 @@ def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
     x = p["embed"][inputs] + p["place"]
     recent = x[:, STRIDE - 1 :]
     q, k, v = recent @ p["query"], x @ p["key"], x @ p["value"]
-    a = _softmax(np.matmul(q, k.transpose(0, 2, 1)) * scale + MASK)
+    a = _softmax(np.where(SEEN > 0, np.matmul(q, k.transpose(0, 2, 1)) * scale, -80).astype(x.dtype)) * SEEN
     c = np.matmul(a, v)
     h = recent + c @ p["join"]
     u = h @ p["up"] + p["up_bias"]
