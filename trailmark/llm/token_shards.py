@@ -12,6 +12,7 @@ the number of tokens used (4 bytes each), LENGTH ids of 2 bytes, all little-endi
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm.bpe import WordBpe
-from trailmark.llm.text import text_bytes, text_slices, words_of
+from trailmark.llm.text import LOWER, span_hashes, text_bytes, text_slices, words_of
 
 LENGTH = 1024
 HEADER = np.dtype([("doc_id", "<i8"), ("place", "<u4"), ("used", "<u4")])
@@ -72,42 +73,103 @@ class Permutation:
         return self._walk(slot, self.keys[::-1], False)
 
 
+_LETTER, _DIGIT, _OTHER = 1, 2, 3
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+_CLASS[ord("a") : ord("z") + 1] = _LETTER
+
+
 class Encoder:
-    """Ids of texts; each distinct word of a slice is encoded once."""
+    """Ids of texts; each distinct word of a slice is encoded once.
+
+    Words of ASCII characters without an apostrophe fall into runs of letters, single digits, and runs of other
+    characters, and are cut as bytes; the others go through the vocabulary's own pattern.
+    """
 
     def __init__(self, vocabulary: str):
         self.bpe = WordBpe.load(vocabulary)
         self.end = self.bpe.special[END_TOKEN]
 
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, an end after each, and the number of ids of each text."""
+    def _plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words in a row and their n + 1 offsets."""
+        size = ends - starts
+        stop = np.cumsum(size)
+        text = LOWER[data[np.repeat(starts - (stop - size), size) + np.arange(stop[-1])]]
+        kind = _CLASS[text]
+        new = np.ones(len(text), bool)
+        new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        new[stop[:-1]] = True
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(text))
+        _, first, piece = np.unique(span_hashes(text, begin, end), return_index=True, return_inverse=True)
+        size = (end - begin)[first]
+        last = np.cumsum(size)
+        raw = text[np.repeat(begin[first] - (last - size), size) + np.arange(last[-1])]
+        return self._words(*self.bpe.encode_bytes(raw, last), piece, np.searchsorted(begin, stop))
+
+    def _odd(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pieces, stop = self.bpe.pretokens([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())])
+        distinct = {x: k for k, x in enumerate(dict.fromkeys(pieces))}
+        if not distinct:
+            return np.zeros(0, np.int64), np.zeros(len(starts) + 1, np.int64)
+        return self._words(*self.bpe.encode_pretokens(list(distinct)), np.array([distinct[x] for x in pieces]), stop)
+
+    @staticmethod
+    def _words(ids, at, piece, stop) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and offsets of words from those of their distinct pieces; `stop`: pieces up to each word's end."""
+        size = np.diff(at)[piece]
+        total = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(at[piece] - total[:-1], size) + np.arange(total[-1])
+        return ids[place].astype(np.uint16), total[np.concatenate([[0], stop]).astype(np.int64)]
+
+    def _distinct(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Ids of distinct words, and where those of each begin and how many they are."""
+        odd = np.zeros(len(data) + 1, np.int32)
+        np.cumsum((data > 127) | (data == ord("'")), out=odd[1:])
+        is_odd = odd[ends] > odd[starts]
+        begin, length = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        flat, total = [], 0
+        for which in (np.flatnonzero(~is_odd), np.flatnonzero(is_odd)):
+            if not len(which):
+                continue
+            if flat or is_odd[which[0]]:
+                ids, offsets = self._odd(data.tobytes(), starts[which], ends[which])
+            else:
+                ids, offsets = self._plain(data, starts[which], ends[which])
+            begin[which], length[which] = offsets[:-1] + total, np.diff(offsets)
+            flat.append(ids)
+            total += len(ids)
+        return np.concatenate(flat) if flat else np.zeros(0, np.uint16), begin, length
+
+    def _prepared(self, column: pa.Array):
         data, offsets = text_bytes(column)
         words = words_of(data, offsets)
-        n = len(column)
         _, first, word = np.unique(words.hashes, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        spans = zip(words.starts[first].tolist(), words.ends[first].tolist())
-        texts = [raw[a:b].decode() for a, b in spans]
-        pieces, ends = self.bpe.pretokens(texts) if texts else ([], [])
-        distinct = {x: k for k, x in enumerate(dict.fromkeys(pieces))}
-        ids, at = self.bpe.encode_pretokens(list(distinct)) if pieces else (np.zeros(0, np.int64), np.zeros(1, np.int64))
-        piece = np.array([distinct[x] for x in pieces], np.int64)
-        # ids of a word are those of its pieces
-        size = np.diff(at)[piece]
-        place = np.repeat(at[piece] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        ids = ids[place].astype(np.uint16)
-        stops = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends]).astype(np.int64)]
-        lengths = np.diff(stops)[word]
-        per_text = np.bincount(words.rows, weights=lengths, minlength=n).astype(np.int64)
-        out = np.full(int(per_text.sum()) + n, self.end, np.uint16)
-        where = np.repeat(stops[:-1][word] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        out[np.arange(lengths.sum()) + np.repeat(words.rows, lengths)] = ids[where]
-        return out, per_text + 1
+        ids, begin, length = self._distinct(data, words.starts[first], words.ends[first])
+        sizes = np.bincount(words.rows, weights=length[word], minlength=len(column)).astype(np.int64) + 1
+        return words.rows, word, ids, begin, length, sizes
+
+    def sizes(self, column: pa.Array) -> np.ndarray:
+        """The number of ids of each text, with its end."""
+        return self._prepared(column)[-1]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, an end after each, and the number of ids of each text."""
+        rows, word, ids, begin, length, sizes = self._prepared(column)
+        length = length[word]
+        stop = np.cumsum(length)
+        total = int(stop[-1]) if len(stop) else 0
+        found = ids[np.repeat(begin[word] - (stop - length), length) + np.arange(total)]
+        out = np.full(total + len(column), self.end, np.uint16)
+        inner = np.ones(len(out), bool)
+        inner[np.cumsum(sizes) - 1] = False
+        out[inner] = found
+        return out, sizes
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from text_slices(batch, limit=8_000_000)
+        yield from text_slices(batch, limit=16_000_000)
 
 
 def stream_sizes(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -116,7 +178,7 @@ def stream_sizes(docs: DataFrame, vocabulary: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = Encoder(vocabulary), 0
         for part in _slices(batches):
-            total += int(encoder.encode(part.column("text"))[1].sum())
+            total += int(encoder.sizes(part.column("text")).sum())
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "tokens": pa.array([total], pa.int64())}
         )
@@ -260,49 +322,55 @@ def read_shards(spark: SparkSession, path: str, start: int = 0, length: int = LE
 
     Files before the one that holds `start` are not opened, so that training can resume at any slot.
     """
+
+    def whole(shard: int, slots: np.ndarray, head: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
+        return [pa.array([x[:u].tolist() for x, u in zip(ids, head["used"].tolist())], pa.list_(pa.int32()))]
+
+    return _read(spark, path, start, length, per_shard, whole, "ids array<int>")
+
+
+def _read(spark: SparkSession, path: str, start: int, length: int, per_shard: int, columns_of, schema: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
     files = files.select(number.alias("shard"), "content").filter(F.col("shard") >= start // per_shard)
+    schema = "slot long, shard int, byte_offset long, doc_id long, place long, " + schema
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = stride(length)
         for batch in batches:
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
                 data = np.frombuffer(content.as_py(), np.uint8).reshape(-1, width)
-                skip = max(start - shard * per_shard, 0)
-                for a in range(skip, len(data), 512):
+                for a in range(max(start - shard * per_shard, 0), len(data), 512):
                     rows = data[a : a + 512]
                     head = np.ascontiguousarray(rows[:, : HEADER.itemsize]).view(HEADER).ravel()
                     ids = np.ascontiguousarray(rows[:, HEADER.itemsize : -1]).view("<u2")
                     at = np.arange(a, a + len(rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(at + shard * per_shard, pa.int64()),
-                            pa.array(np.full(len(rows), shard), pa.int32()),
-                            pa.array(at * width, pa.int64()),
-                            pa.array(head["doc_id"], mask=head["doc_id"] == -1),
-                            pa.array(head["place"].astype(np.int64)),
-                            pa.array([x[:u].tolist() for x, u in zip(ids, head["used"].tolist())], pa.list_(pa.int32())),
-                        ],
-                        names=["slot", "shard", "byte_offset", "doc_id", "place", "ids"],
-                    )
-
-    return files.mapInArrow(
-        parse, "slot long, shard int, byte_offset long, doc_id long, place long, ids array<int>"
-    )
+                    slots = at + shard * per_shard
+                    columns = [
+                        pa.array(slots, pa.int64()),
+                        pa.array(np.full(len(rows), shard), pa.int32()),
+                        pa.array(at * width, pa.int64()),
+                        pa.array(head["doc_id"], mask=head["doc_id"] == -1),
+                        pa.array(head["place"].astype(np.int64)),
+                        *columns_of(shard, slots, head, ids),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return files.mapInArrow(parse, schema)
 
 
 def shard_digests(spark: SparkSession, path: str, vocabulary: str, length: int = LENGTH, per_shard: int = SHARD_RECORDS):
-    """The records as read back, with their numbers of tokens and of text ends, and the digest of their ids as text."""
+    """The records as read back, with their numbers of tokens and of text ends, and the digest of their ids' bytes."""
     end = WordBpe.load(vocabulary).special[END_TOKEN]
-    rows = read_shards(spark, path, 0, length, per_shard)
-    return rows.select(
-        "slot",
-        "shard",
-        "byte_offset",
-        "doc_id",
-        "place",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.size(F.filter("ids", lambda x: x == end)).cast("long").alias("n_ends"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-    )
+
+    def digest(shard: int, slots: np.ndarray, head: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
+        used = np.arange(ids.shape[1]) < head["used"][:, None]
+        hashes = [hashlib.sha256(x[:u].tobytes()).hexdigest() for x, u in zip(ids, head["used"].tolist())]
+        return [
+            pa.array(head["used"].astype(np.int64)),
+            pa.array(((ids == end) & used).sum(1)),
+            pa.array(hashes, pa.string()),
+        ]
+
+    return _read(spark, path, 0, length, per_shard, digest, "n_tokens long, n_ends long, ids_sha256 string")
