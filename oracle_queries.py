@@ -252,6 +252,12 @@ ORACLES = {
         _EVENTS,
         _CATEGORIES,
     ),
+    "action_text_keys": _with(
+        "SELECT event_id, strftime(action_time, '%Y%m%d') AS date_key, strftime(action_time, '%Y-%m-%d_%H') AS hour_key,"
+        " strftime(action_time, '%Y%m%d%H%M') AS minute_key, strftime(action_time, '%Y-%m-%d') AS date,"
+        " order_category_ids AS order_categories, order_category_ids AS trimmed FROM uva WHERE city_id = 3",
+        _EVENTS,
+    ),
     "session_job_stats": _with(
         f"SELECT CAST(7 AS BIGINT) AS task_id, * FROM ({_stats('filtered')})", _DATED, _SESSIONS
     ),

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark import schemas
-from trailmark.functions import format_time
-from trailmark.operators import ads, categories, pages, products, sampling, sessions
+from trailmark.functions import format_time, text, times
+from trailmark.operators import ads, categories, filters, pages, products, sampling, sessions
 from trailmark.params import TaskParams, load_task
 from trailmark.plans import jobs
 from trailmark.scratch import shared_folder, written
 from trailmark.sources import standin
-from trailmark.sources.tables import file_lines
+from trailmark.sources.tables import file_lines, typed_actions
 from trailmark.streaming import blacklist, counts
 from trailmark.streaming.tables import CountTable
 
@@ -392,6 +392,22 @@ def _text_log(spark: SparkSession, folder: str) -> DataFrame:
     return log.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd H:mm:ss"))
 
 
+@query
+def action_text_keys(spark, folder):
+    """Times as the text keys of the stored tables and back, and lists of ids in text, of one city's actions."""
+    log = typed_actions(_text_log(spark, folder))
+    time, ids = F.col("action_time"), F.col("order_category_ids")
+    return log.where(filters.equals(F.col("city_id"), 3)).select(
+        "event_id",
+        times.date_key(time).alias("date_key"),
+        times.hour_key(time).alias("hour_key"),
+        times.minute_key(time).alias("minute_key"),
+        times.format_date(times.parse_date_key(times.date_key(time))).alias("date"),
+        text.join_csv(text.csv_longs(ids).cast("array<string>")).alias("order_categories"),
+        text.trim_comma(F.concat(F.lit(","), ids, F.lit(","))).alias("trimmed"),
+    )
+
+
 @query
 def session_job_stats(spark, folder):
     """The job from task JSON, with a date range and times as text, read back from its table."""
