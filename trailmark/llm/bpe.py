@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 500_000  # beyond it the cache starts anew
+CACHE_WORDS = 150_000  # beyond it the cache starts anew; it ends with the task
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 # white space of the tokenizer's pattern: the Unicode property, without 0x1C-0x1F, at which str.split() cuts too
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -197,7 +197,7 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _batches(texts: pa.Array, limit: int = 8_000_000) -> Iterator[list[str]]:
+def _batches(texts: pa.Array, limit: int = 4_000_000) -> Iterator[list[str]]:
     rows: list[str] = []
     size = 0
     for x in texts:
@@ -224,6 +224,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str) -> DataFrame:
                     [batch.column("doc_id").slice(at, len(ids)), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
                 )
                 at += len(ids)
+        bpe.cache.clear()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         encode, "doc_id long, ids array<int>"
@@ -265,5 +266,6 @@ def bpe_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
                 at += len(ids)
+        bpe.cache.clear()  # workers are used again
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(digest, SCHEMA)

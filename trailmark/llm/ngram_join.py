@@ -158,11 +158,11 @@ def profiles(docs: DataFrame, hot_bits: bytes, n_buckets: int) -> tuple[DataFram
         hot = np.frombuffer(shared.value, np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            for part in text_slices(batch, limit=8_000_000):
+            for part in text_slices(batch, limit=4_000_000):
                 found: dict[int, list] = {0: [], 1: []}
                 for node, tokens in zip(part.column("node").to_pylist(), shingle_sets(part)):
                     if len(tokens) and node not in seen:
-                        if len(seen) < 1_000_000:
+                        if len(seen) < 100_000:
                             seen.add(node)
                         rare, combined = signatures(tokens, is_frequent(hot, tokens))
                         size = np.array([len(tokens)], np.uint64)
