@@ -29,6 +29,7 @@ LENGTH = 1024
 HEADER = np.dtype([("doc_id", "<i8"), ("place", "<u4"), ("used", "<u4")])
 SHARD_RECORDS = 4096
 ROUNDS = 6
+SLICE_BYTES = 10_000_000  # texts encoded at once; a longer text is a slice of its own
 KEY = 20240607
 END_TOKEN = "<|endoftext|>"
 
@@ -145,9 +146,12 @@ class Encoder:
         data, offsets = text_bytes(column)
         words = words_of(data, offsets)
         _, first, word = np.unique(words.hashes, return_index=True, return_inverse=True)
-        ids, begin, length = self._distinct(data, words.starts[first], words.ends[first])
-        sizes = np.bincount(words.rows, weights=length[word], minlength=len(column)).astype(np.int64) + 1
-        return words.rows, word, ids, begin, length, sizes
+        starts, ends, rows, word = words.starts[first], words.ends[first], words.rows, word.astype(np.int32)
+        del words, first
+        ids, begin, length = self._distinct(data, starts, ends)
+        length = length.astype(np.int32)
+        sizes = np.bincount(rows, weights=length[word], minlength=len(column)).astype(np.int64) + 1
+        return word, ids, begin, length, sizes
 
     def sizes(self, column: pa.Array) -> np.ndarray:
         """The number of ids of each text, with its end."""
@@ -155,11 +159,16 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, an end after each, and the number of ids of each text."""
-        rows, word, ids, begin, length, sizes = self._prepared(column)
+        word, ids, begin, length, sizes = self._prepared(column)
         length = length[word]
-        stop = np.cumsum(length)
+        stop = np.cumsum(length, dtype=np.int64)
         total = int(stop[-1]) if len(stop) else 0
-        found = ids[np.repeat(begin[word] - (stop - length), length) + np.arange(total)]
+        kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+        place = np.repeat((begin[word] - (stop - length)).astype(kind), length)
+        del word, length, stop
+        place += np.arange(total, dtype=kind)
+        found = ids[place]
+        del place
         out = np.full(total + len(column), self.end, np.uint16)
         inner = np.ones(len(out), bool)
         inner[np.cumsum(sizes) - 1] = False
@@ -169,7 +178,7 @@ class Encoder:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from text_slices(batch, limit=16_000_000)
+        yield from text_slices(batch, limit=SLICE_BYTES)
 
 
 def stream_sizes(docs: DataFrame, vocabulary: str) -> DataFrame:
