@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -398,6 +399,29 @@ def test_gradients():
         assert math.isclose((step[0] - step[1]) / 2e-5, x[at], rel_tol=1e-3), k
 
 
+def test_block_trains_on_every_window(docs_of, monkeypatch):
+    r = random.Random(5)
+    texts = [" ".join(r.choice(("alpha", "beta", "gamma", "delta")) + str(r.randrange(99)) for _ in range(n)) for n in (9000, 10, 0, 700, 3000)]
+    held = np.array([False, False, False, True, False])
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 2500, raising=False)
+    block = lm_score.Texts(pa.array(texts))
+    _, _, ids, sizes = block.subwords(lm_score._bpe(VOCABULARY), np.flatnonzero(~held))
+    want = Counter(x.tobytes() for x in attention.windows(ids, sizes)[1])
+    got, plain = Counter(), attention.gradients
+
+    def noted(p, inputs, targets):
+        got.update(x.tobytes() for x in targets)
+        return plain(p, inputs, targets)
+
+    monkeypatch.setattr(attention, "gradients", noted)
+    start = attention.initial()
+    found = lm_score._local_model(block, ~held, VOCABULARY, start)
+    assert not want - got
+    passes = sum(got.values()) // sum(want.values())
+    assert got == Counter({k: n * passes for k, n in want.items()})
+    assert found[1] == len(ids) and found[0] != attention.packed(start)
+
+
 def test_lm_without_training_rows(docs_of):
     rows = lm_score.lm_scores(docs_of(["a b", ""]), F.lit(True), VOCABULARY).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in sorted(rows)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]

@@ -166,57 +166,115 @@ class Scorer:
 
 
 def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss of the targets, and its gradients."""
-    scale = np.float32(HEAD**-0.5)
-    x = p["embed"][inputs] + p["place"]
-    recent = x[:, STRIDE - 1 :]
-    q, k, v = recent @ p["query"], x @ p["key"], x @ p["value"]
-    a = _softmax(np.where(SEEN > 0, np.matmul(q, k.transpose(0, 2, 1)) * scale, -80).astype(x.dtype)) * SEEN
-    c = np.matmul(a, v)
-    h = recent + c @ p["join"]
-    u = h @ p["up"] + p["up_bias"]
+    """Mean loss of the targets, and its gradients. Members are scored within the class of each target only."""
+    kind = p["embed"].dtype
+    scale = kind.type(HEAD**-0.5)
+    inputs = inputs.astype(np.intp)
+    n = len(inputs)
+    x = np.take(p["embed"], inputs, axis=0)
+    x += p["place"]
+    recent = np.ascontiguousarray(x[:, STRIDE - 1 :])
+    flat, late = x.reshape(-1, WIDTH), recent.reshape(-1, WIDTH)
+    q = (late @ (p["query"] * scale)).reshape(n, STRIDE, HEAD)
+    k, v = (flat @ p["key"]).reshape(n, SPAN, HEAD), (flat @ p["value"]).reshape(n, SPAN, HEAD)
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    np.exp(np.clip(a, -60, 60, out=a), out=a)
+    a *= SEEN
+    a /= (a @ np.ones(SPAN, kind))[..., None]
+    c = np.matmul(a, v).reshape(-1, HEAD)
+    h = c @ p["join"]
+    h += late
+    u = h @ p["up"]
+    u += p["up_bias"]
     r = np.maximum(u, 0)
-    y = (h + r @ p["down"]).reshape(-1, WIDTH)
+    y = r @ p["down"]
+    y += h
+    # the targets in the order of their classes
     t = targets.reshape(-1).astype(np.int64)
-    real = t >= 0
-    t = np.maximum(t, 0)
-    weight = (real / max(int(real.sum()), 1)).astype(np.float32)
-    rows = np.arange(len(t))
-    group, member = t // SIDE, t % SIDE
+    real = np.flatnonzero(t >= 0)
+    order = real[np.argsort((t[real] // SIDE).astype(np.uint8), kind="stable")]
+    t = t[order]
+    group, member, rows = t // SIDE, t % SIDE, np.arange(len(t))
+    edges = np.searchsorted(group, np.arange(SIDE + 1))
+    parts = [(slice(edges[s], edges[s + 1]), slice(s * SIDE, (s + 1) * SIDE)) for s in range(SIDE) if edges[s] < edges[s + 1]]
+    y = np.take(y, order, axis=0)
     pc = _softmax(y @ p["class"] + p["class_bias"])
-    z = (y @ p["out"] + p["out_bias"]).reshape(-1, SIDE, SIDE)
-    pm = _softmax(z[rows, group])
-    loss = -((np.log(pc[rows, group] + 1e-30) + np.log(pm[rows, member] + 1e-30)) * weight).sum()
+    pm = p["out_bias"].reshape(SIDE, SIDE)[group]
+    for mine, columns in parts:
+        pm[mine] += y[mine] @ p["out"][:, columns]
+    pm = _softmax(pm)
+    weight = kind.type(1 / max(len(t), 1))
+    loss = -(np.log(pc[rows, group] + 1e-30) + np.log(pm[rows, member] + 1e-30)).sum() * weight
     pc[rows, group] -= 1
     pm[rows, member] -= 1
-    weight = weight[:, None]
     pc *= weight
-    dz = np.zeros_like(z)
-    dz[rows, group] = pm * weight
-    dz = dz.reshape(len(t), -1)
-    g = {"class": y.T @ pc, "class_bias": pc.sum(0), "out": y.T @ dz, "out_bias": dz.sum(0)}
-    dy = (pc @ p["class"].T + dz @ p["out"].T).reshape(h.shape)
-    g["down"] = np.einsum("bih,biw->hw", r, dy, optimize=True)
-    du = (dy @ p["down"].T) * (u > 0)
-    g["up"], g["up_bias"] = np.einsum("biw,bih->wh", h, du, optimize=True), du.sum((0, 1))
-    dh = dy + du @ p["up"].T
-    g["join"] = np.einsum("bic,biw->cw", c, dh, optimize=True)
-    dc = dh @ p["join"].T
-    da = np.matmul(dc, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dc)
-    ds = a * (da - (da * a).sum(-1, keepdims=True)) * scale
-    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-    g["query"] = np.einsum("biw,bic->wc", recent, dq, optimize=True)
-    g["key"] = np.einsum("biw,bic->wc", x, dk, optimize=True)
-    g["value"] = np.einsum("biw,bic->wc", x, dv, optimize=True)
-    dx = dk @ p["key"].T + dv @ p["value"].T
-    dx[:, STRIDE - 1 :] += dh + dq @ p["query"].T
+    pm *= weight
+    g = {"class": y.T @ pc, "class_bias": pc.sum(0), "out": np.zeros_like(p["out"]), "out_bias": np.zeros_like(p["out_bias"])}
+    back = pc @ p["class"].T
+    for mine, columns in parts:
+        g["out"][:, columns] = y[mine].T @ pm[mine]
+        g["out_bias"][columns] = pm[mine].sum(0)
+        back[mine] += pm[mine] @ p["out"][:, columns].T
+    dy = np.zeros_like(h)
+    dy[order] = back
+    g["down"] = r.T @ dy
+    du = dy @ p["down"].T
+    du *= u > 0
+    g["up"], g["up_bias"] = h.T @ du, du.sum(0)
+    dh = du @ p["up"].T
+    dh += dy
+    g["join"] = c.T @ dh
+    dc = (dh @ p["join"].T).reshape(n, STRIDE, HEAD)
+    ds = np.matmul(dc, v.transpose(0, 2, 1))
+    dv = np.matmul(a.transpose(0, 2, 1), dc).reshape(-1, HEAD)
+    ds -= ((ds * a) @ np.ones(SPAN, kind))[..., None]
+    ds *= a
+    dq = np.matmul(ds, k).reshape(-1, HEAD) * scale
+    dk = np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, HEAD)
+    g["query"], g["key"], g["value"] = late.T @ dq, flat.T @ dk, flat.T @ dv
+    dx = dk @ p["key"].T
+    dx += dv @ p["value"].T
+    dx = dx.reshape(x.shape)
+    dh += dq @ p["query"].T
+    dx[:, STRIDE - 1 :] += dh.reshape(recent.shape)
     g["place"] = dx.sum(0)
     g["embed"] = np.zeros_like(p["embed"])
-    np.add.at(g["embed"], inputs.ravel(), dx.reshape(-1, WIDTH))
+    order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
+    ids = inputs.ravel()[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    g["embed"][ids[first]] = np.add.reduceat(np.take(dx.reshape(-1, WIDTH), order, axis=0), first, axis=0)
     return float(loss), {name: g[name] for name in p}
 
 
+class Trainer:
+    """Adam over batches of windows; the rate falls to a tenth over `steps`."""
+
+    def __init__(self, p: dict[str, np.ndarray], steps: int, rate: float):
+        self.flat = np.frombuffer(packed(p), np.float32).copy()
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
+        self.p, at = {}, 0
+        for name, x in p.items():
+            self.p[name] = self.flat[at : at + x.size].reshape(x.shape)
+            at += x.size
+        self.steps, self.rate, self.done = steps, rate, 0
+
+    def step(self, inputs: np.ndarray, targets: np.ndarray) -> float:
+        loss, g = gradients(self.p, inputs, targets)
+        self.done += 1
+        g = np.concatenate([x.ravel() for x in g.values()])
+        self.m += np.float32(0.1) * (g - self.m)
+        g *= g
+        self.v += np.float32(0.01) * (g - self.v)
+        now = self.rate * (1 - 0.9 * min(self.done / self.steps, 1)) / (1 - 0.9**self.done)
+        root = np.sqrt(self.v)
+        root *= np.float32((1 - 0.99**self.done) ** -0.5)
+        root += np.float32(1e-6)
+        np.divide(self.m, root, out=root)
+        root *= np.float32(now)
+        self.flat -= root
+        return loss
+
+
 def train(
     p: dict[str, np.ndarray],
     inputs: np.ndarray,
@@ -226,19 +284,11 @@ def train(
     batch: int = 96,
     seed: int = 3,
 ) -> tuple[dict[str, np.ndarray], list[float]]:
-    """Adam over batches of windows drawn in a fixed random order; the rate falls to a tenth."""
+    """Some steps over windows drawn at random."""
     r = np.random.default_rng(seed)
-    p = {k: x.copy() for k, x in p.items()}
-    m = {k: np.zeros_like(x) for k, x in p.items()}
-    v = {k: np.zeros_like(x) for k, x in p.items()}
+    trainer = Trainer(p, steps, rate)
     losses = []
-    for step in range(1, steps + 1):
+    for _ in range(steps):
         at = r.integers(0, len(inputs), batch)
-        loss, g = gradients(p, inputs[at], targets[at])
-        losses.append(loss)
-        now = rate * (1 - 0.9 * step / steps)
-        for k in p:
-            m[k] = 0.9 * m[k] + 0.1 * g[k]
-            v[k] = 0.99 * v[k] + 0.01 * g[k] * g[k]
-            p[k] -= (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    return p, losses
+        losses.append(trainer.step(inputs[at], targets[at]))
+    return trainer.p, losses

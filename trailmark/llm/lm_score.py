@@ -8,11 +8,11 @@ gives P(word | context) as the product over its subwords. The score mixes it wit
 with N training tokens, which sums to at most one.
 
 1. Documents are put into blocks. Each block reports its distinct words with their training counts to the words' shards,
-   and trains the model on windows spread over its training texts, starting from a common model.
-2. Shards add up the counts and answer each block. The blocks' models are averaged.
+   and trains the model on every window of all its training texts, starting from a common model.
+2. Shards add up the counts and answer each block. The blocks' models are averaged by the tokens they were trained on.
 3. Blocks score their texts.
 
-The common model is fitted on START_TEXTS training texts; everything else covers all rows.
+The common model is fitted on the beginnings of START_TEXTS training texts; everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -28,9 +28,11 @@ from trailmark.llm.text import LOWER, mixed, text_bytes, text_slices, words_of
 from trailmark.scratch import shared_folder, written
 
 START_TEXTS = 400  # training texts of the smallest hashed ids
+START_CHARS = 20_000  # of each of these texts, so that one task holds them all
 START_STEPS, START_RATE = 500, 0.015
-BLOCK_STEPS, BLOCK_RATE = 40, 0.004
-BLOCK_WORDS = 40_000  # training words a block's own steps draw from, spread over all its training texts
+BLOCK_STEPS, BLOCK_RATE = 40, 0.004  # a small block is passed over several times, up to so many steps
+BLOCK_BATCH = (64, 512)  # windows of a step: the least, and the most, which blocks of many windows use
+GROUP_WORDS = 200_000  # words that are cut into windows at a time; a long text is one group of its own
 SHARE = 0.75
 MODEL_GROUPS = 16  # the blocks' models are added up in so many groups
 END_KEY = np.uint64(0x7465786520656E64)  # stands for the end token among the hashes of words
@@ -76,6 +78,16 @@ class Texts:
         place = np.repeat(ends[at] - size - (stop - size), size) + np.arange(stop[-1])
         return bpe.encode_bytes(self.data[place], stop)
 
+    def lengths(self, bpe: WordBpe) -> np.ndarray:
+        """Tokens of each text, with its end."""
+        _, offsets = self.encode(bpe, np.arange(len(self.keys)))
+        return np.bincount(self.rows, weights=np.diff(offsets)[self.word], minlength=self.n).astype(np.int64) + 1
+
+    def groups(self, rows: np.ndarray) -> list[np.ndarray]:
+        """Some texts, cut into groups of about GROUP_WORDS words."""
+        group = np.cumsum(self.counts[rows] + 1) // GROUP_WORDS
+        return np.split(rows, np.flatnonzero(np.diff(group)) + 1) if len(rows) else []
+
     def subwords(self, bpe: WordBpe, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: words (numbers of tokens), token ids with an end after each text, sizes of the texts."""
         chosen = np.zeros(self.n, bool)
@@ -113,21 +125,38 @@ def _column(table: pa.Table) -> pa.Array:
 _COUNTS = "shard int, block int, keys binary, counts binary, model binary"
 
 
-def _trained(texts: Texts, rows: np.ndarray, vocabulary: str, start: dict, steps: int, rate: float, batch: int) -> bytes:
-    """`start` after some steps on the windows of some texts."""
-    _, _, ids, sizes = texts.subwords(_bpe(vocabulary), rows)
+def _start_model(texts: Texts, vocabulary: str) -> bytes:
+    _, _, ids, sizes = texts.subwords(_bpe(vocabulary), np.arange(texts.n))
     inputs, targets, _ = attention.windows(ids, sizes)
-    model, _ = attention.train(start, inputs, targets, steps, rate, batch)
+    model, _ = attention.train(attention.initial(), inputs, targets, START_STEPS, START_RATE, 96)
     return attention.packed(model)
 
 
-def _local_model(texts: Texts, train: np.ndarray, vocabulary: str, start: dict) -> bytes:
-    """The common model after some steps on windows spread over a block's training texts; empty if it has none."""
-    rows = np.flatnonzero(train)
+def _local_model(texts: Texts, train: np.ndarray, vocabulary: str, start: dict) -> tuple[bytes, int]:
+    """The common model after steps on all windows of a block's training texts, and the number of their tokens.
+
+    The texts come in random order, and the windows of each group of them.
+    """
+    r = np.random.default_rng(3)
+    rows = r.permutation(np.flatnonzero(train))
     if not len(rows):
-        return b""
-    every = max(int(texts.counts[rows].sum()) // BLOCK_WORDS, 1)
-    return _trained(texts, rows[::every], vocabulary, start, BLOCK_STEPS, BLOCK_RATE, 64)
+        return b"", 0
+    bpe = _bpe(vocabulary)
+    sizes = texts.lengths(bpe)
+    groups = texts.groups(rows)
+    count = np.array([int((-(-sizes[g] // attention.STRIDE)).sum()) for g in groups])
+    batch = int(np.clip(count.sum() // BLOCK_STEPS, *BLOCK_BATCH))
+    steps = -(-count // batch)
+    passes = -(-BLOCK_STEPS // int(steps.sum()))
+    trainer = attention.Trainer(start, passes * int(steps.sum()), BLOCK_RATE)
+    for _ in range(passes):
+        for g, n in zip(groups, steps):
+            # texts of a group are cut in their own order
+            _, _, ids, found = texts.subwords(bpe, np.sort(g))
+            inputs, targets, _ = attention.windows(ids, found)
+            for at in np.array_split(r.permutation(len(inputs)), n):
+                trainer.step(inputs[at], targets[at])
+    return attention.packed(trainer.p), int(sizes[rows].sum())
 
 
 def _report(n_shards: int, vocabulary: str, start: bytes):
@@ -144,9 +173,9 @@ def _report(n_shards: int, vocabulary: str, start: bytes):
             at = order[edges[s] : edges[s + 1]]
             if len(at):
                 rows.append((s, number, keys[at].tobytes(), counts[at].tobytes(), b""))
-        model = _local_model(texts, train, vocabulary, attention.unpacked(np.frombuffer(start, np.float32)))
+        model, tokens = _local_model(texts, train, vocabulary, attention.unpacked(np.frombuffer(start, np.float32)))
         if model:
-            rows.append((n_shards + number % MODEL_GROUPS, number, b"", b"", model))
+            rows.append((n_shards + number % MODEL_GROUPS, number, b"", np.int64(tokens).tobytes(), model))
         return _table(rows, _COUNTS)
 
     return report
@@ -158,15 +187,16 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
 
 
-_ANSWERS = "block int, shard int, counts binary, tokens long, types long, model binary, models long"
+_ANSWERS = "block int, shard int, counts binary, tokens long, types long, model binary, weight long"
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    """Total counts in each block's own order, and the shard's share of N and V; or the sum of some models."""
+    """Total counts in each block's own order, and the shard's share of N and V; or the sum of some models by weight."""
     shard = table.column("shard")[0].as_py()
     if len(table.column("model")[0].as_py()):
-        total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in table.column("model"))
-        return _table([(None, shard, b"", 0, 0, total.tobytes(), table.num_rows)], _ANSWERS)
+        weights = [int(np.frombuffer(x.as_py(), np.int64)[0]) for x in table.column("counts")]
+        total = sum(w * np.frombuffer(x.as_py(), np.float32).astype(np.float64) for w, x in zip(weights, table.column("model")))
+        return _table([(None, shard, b"", 0, 0, total.tobytes(), sum(weights))], _ANSWERS)
     keys = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")]
     counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
@@ -193,10 +223,7 @@ def _scores(n_shards: int, vocabulary: str, model: bytes, n_tokens: int, n_types
         n_known = np.bincount(rows, weights=counts > 0, minlength=texts.n) + (known[-1] > 0)
         total = np.zeros(texts.n)
         bpe = _bpe(vocabulary)
-        # some texts at a time; a long text is one group of its own
-        group = np.cumsum(texts.counts + 1) // 200_000
-        for g in np.unique(group):
-            mine = np.flatnonzero(group == g)
+        for mine in texts.groups(np.arange(texts.n)):
             words, lengths, ids, sizes = texts.subwords(bpe, mine)
             inputs, targets, first = attention.windows(ids, sizes)
             per_token = np.empty(len(ids))
@@ -232,13 +259,22 @@ def _scores(n_shards: int, vocabulary: str, model: bytes, n_tokens: int, n_types
 
 
 def _common_model(training: DataFrame, vocabulary: str) -> bytes:
-    """The model each block starts from: fitted on the START_TEXTS training texts of the smallest hashes."""
-    rows = training.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(START_TEXTS).select("text").toArrow()
-    texts = Texts(_column(rows))
-    model = attention.initial()
-    if texts.n:
-        return _trained(texts, np.arange(texts.n), vocabulary, model, START_STEPS, START_RATE, 96)
-    return attention.packed(model)
+    """The model each block starts from, fitted by one task.
+
+    It sees the first START_CHARS characters of the START_TEXTS training texts of the smallest hashes.
+    """
+
+    def fit(batches):
+        texts = Texts(_column(pa.Table.from_batches(batches, pa.schema([("text", pa.string())]))))
+        if texts.n:
+            yield pa.RecordBatch.from_pydict({"model": pa.array([_start_model(texts, vocabulary)], pa.binary())})
+
+    first = training.select(
+        "doc_id", F.xxhash64("doc_id", "text").alias("hash"), F.substring("text", 1, START_CHARS).alias("text")
+    )
+    first = first.orderBy("hash", "doc_id").limit(START_TEXTS).select("text").coalesce(1)
+    model = first.mapInArrow(fit, "model binary").collect()
+    return bytes(model[0]["model"]) if model else attention.packed(attention.initial())
 
 
 def lm_scores(docs: DataFrame, held_out, vocabulary: str, folder: str | None = None) -> DataFrame:
@@ -264,10 +300,10 @@ def lm_scores(docs: DataFrame, held_out, vocabulary: str, folder: str | None = N
     answers = written(counts.groupBy("shard").applyInArrow(_add_up, _ANSWERS), folder, "answers")
     # one row of sums, and as many models as there are groups
     n_tokens, n_types = (int(x or 0) for x in answers.agg(F.sum("tokens"), F.sum("types")).first())
-    models = answers.filter("models > 0").select("model", "models").collect()
+    models = answers.filter("weight > 0").select("model", "weight").collect()
     model = start
     if models:
-        total = sum(np.frombuffer(x["model"], np.float64) for x in models) / sum(x["models"] for x in models)
+        total = sum(np.frombuffer(x["model"], np.float64) for x in models) / sum(x["weight"] for x in models)
         model = total.astype(np.float32).tobytes()
     replies = answers.filter("block is not null").select("block", "shard", "counts")
     score = _scores(n_shards, vocabulary, model, n_tokens, n_types)
