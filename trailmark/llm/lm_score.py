@@ -265,7 +265,7 @@ def _common_model(training: DataFrame, vocabulary: str) -> bytes:
     """
 
     def fit(batches):
-        texts = Texts(_column(pa.Table.from_batches(batches, pa.schema([("text", pa.string())]))))
+        texts = Texts(pa.chunked_array([b.column(0) for b in batches], pa.string()).combine_chunks())
         if texts.n:
             yield pa.RecordBatch.from_pydict({"model": pa.array([_start_model(texts, vocabulary)], pa.binary())})
 
