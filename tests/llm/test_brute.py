@@ -277,6 +277,28 @@ def test_leaks_with_replaced_words(docs_of, spark):
     assert kept == set(range(60)) - {d for d, _ in want}
 
 
+def test_every_allowed_replacement_leaves_a_seed():
+    span = decontaminate.SPAN
+    masks = [{k for k, on in enumerate(m) if on == "1"} for m in decontaminate.MASKS]
+    assert all(len(m) == span for m in decontaminate.MASKS)
+    for n in range(span, decontaminate.WINDOW + 1):
+        placed = [{at + k for k in m} for m in masks for at in range(n - span + 1)]
+        for gone in itertools.combinations(range(n), n - math.ceil(decontaminate.AGREE * n)):
+            assert any(p.isdisjoint(gone) for p in placed), (n, gone)
+
+
+def test_leaks_with_neighbours_replaced(docs_of, spark):
+    items = {n: [f"n{n}x{k}" for k in range(n)] for n in (10, 15, 16, 20, 33)}
+    gone = {10: (4, 6), 15: (6, 7), 16: (7, 8), 20: (3, 8, 9, 14), 33: (2, 7, 12, 13, 18, 23, 29)}
+    texts, kept = [], ["nothing of the kind " * 9]
+    for n, item in items.items():
+        texts.append("before " + " ".join("other" if k in gone[n] else w for k, w in enumerate(item)) + " after")
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id long, text string")
+    docs = docs_of(texts + kept)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == set(enumerate(items))
+    assert [r["text"] for r in decontaminate.without_leaks(docs, bench).collect()] == kept
+
+
 # --- quality and languages
 
 

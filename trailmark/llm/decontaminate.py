@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 9
-# each position is ignored by one mask, so that any one replaced word, or several a multiple of 3 apart, leave a seed
-MASKS = ("110110110", "101101101", "011011011")
+# however the words are chosen that AGREE allows to be replaced in a window of SPAN to WINDOW words, a seed is left
+MASKS = ("100111001", "111000101", "001001111", "100110110")
 WINDOW = 20
 AGREE = 0.8
 MAX_BROADCAST_SEEDS = 500_000  # beyond it the join with the seeds shuffles both sides
