@@ -351,6 +351,12 @@ def test_pages_of_other_layouts():
     assert sum(hits) > 0.9 * len(hits)
 
 
+@pytest.mark.parametrize("start", ["<article><h1>A</h1>", "<b>A</b>", "A<p>", "</head>A<p>", "<body>A<p>"])
+def test_head_without_end_tag(start):
+    page = f"<html><head><meta charset=x><title>T <b>t</title><style>p {{}}</style>\n{start}<p>One <i>two</i>.<p>Three."
+    assert [b.text for b in html.leaf_blocks(page)] == ["A", "One two.", "Three."]
+
+
 def test_articles_of_the_table(spark, sf_dir):
     import html as entities
 

@@ -28,6 +28,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset(
     "head script style noscript template svg math iframe object select option button textarea canvas audio video".split()
 )
+# any other start tag, or text, ends a head whose end tag is left out
+IN_HEAD = frozenset("base link meta title script style noscript template".split())
 CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
     "section table ul".split()
@@ -90,6 +92,8 @@ def leaf_blocks(page: str) -> list[Block]:
     for m in _TOKEN.finditer(page):
         raw = m[5]
         if raw is not None:
+            if hidden and stack[-1][0] == "head" and raw.strip():
+                pop("head")
             if not hidden:
                 text.append(raw)
                 if link:
@@ -99,6 +103,8 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if not m[2] and tag not in IN_HEAD and stack and stack[-1][0] == "head":
+            pop("head")
         if tag in INLINE:
             if tag == "a":
                 link = 0 if m[2] else 1
