@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import itertools
 import math
@@ -327,6 +328,21 @@ def test_compression_bands(docs_of):
     assert [x["doc_id"] for x in quality.keep_good(docs_of([prose, noise])).collect()] == [0]
 
 
+@pytest.mark.parametrize("size", [4100, 6000, 8191, 8192, 12_000, 40_000])
+def test_part_of_a_text_is_encoded_or_repeated(docs_of, size):
+    r = random.Random(size)
+    vocabulary = ["".join(r.choice("etaoinshrdlucmfw") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    prose = " ".join(r.choice(vocabulary) for _ in range(size))[:size]
+    encoded = base64.b64encode(r.randbytes(size)).decode()
+    encoded = " ".join(encoded[k : k + 12] for k in range(0, size, 12))
+    texts = [prose]
+    for percent in (30, 45, 60, 70):
+        n = size * percent // 100
+        for part in (encoded[:n], ("all the same words again " * size)[:n]):
+            texts += [prose[: size - n - 1] + "\n" + part, part + "\n" + prose[: size - n - 1]]
+    assert [x["doc_id"] for x in quality.keep_good(docs_of(texts)).collect()] == [0]
+
+
 def test_languages_of_held_out_documents(spark, sf_dir):
     docs = queries.documents(spark, sf_dir)
     got = queries.op7_langid(spark, sf_dir).join(docs.select("doc_id", "lang"), "doc_id").collect()

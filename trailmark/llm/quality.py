@@ -30,9 +30,10 @@ class Band(NamedTuple):
 
 # texts shorter than the first band are not judged by compression
 BANDS = (Band(256, 1.05, 4.5), Band(1024, 1.25, 6.0), Band(4096, 1.4, 8.0), Band(16384, 1.5, 12.0))
-CHUNK_BYTES = 4096
-CHUNK_BAND = Band(CHUNK_BYTES, 1.2, 8.0)
-BAD_CHUNK_SHARE = 0.5
+CHUNK_FROM = 4096  # texts from so many bytes on are judged by chunks as well
+# text bytes, chunk bytes and limits: base64 measures at most 1.27 in chunks of 1024 bytes and 1.31 in those of 2048
+CHUNKS = ((CHUNK_FROM, Band(1024, 1.3, 6.0)), (8192, Band(2048, 1.35, 7.0)))
+BAD_CHUNK_SHARE = 0.1  # of the bytes
 LEVEL = 3
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -48,18 +49,26 @@ def band_of(size: int, bands: tuple[Band, ...] = BANDS) -> Band | None:
 
 
 def compression(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, int, int, bool]:
-    """Ratio of the whole text, its whole chunks, those outside their band, and the verdict."""
+    """Ratio of the whole text, its chunks, those outside their band, and the verdict.
+
+    The last chunk reaches back, so that every byte is judged in a chunk of full size.
+    """
     band = band_of(len(data))
     if band is None:
         return 1.0, 0, 0, True
     ratio = len(data) / len(compressor.compress(data))
-    chunks = bad = 0
-    if len(data) >= 2 * CHUNK_BYTES:
-        for at in range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES):
-            part = CHUNK_BYTES / len(compressor.compress(data[at : at + CHUNK_BYTES]))
+    chunks = bad = bad_bytes = 0
+    if len(data) >= CHUNK_FROM:
+        limits = max(x for x in CHUNKS if len(data) >= x[0])[1]
+        size = limits.min_bytes
+        for at in range(0, len(data), size):
+            first = min(at, len(data) - size)
+            part = size / len(compressor.compress(data[first : first + size]))
             chunks += 1
-            bad += not CHUNK_BAND.low <= part <= CHUNK_BAND.high
-    return ratio, chunks, bad, band.low <= ratio <= band.high and bad <= BAD_CHUNK_SHARE * chunks
+            if not limits.low <= part <= limits.high:
+                bad += 1
+                bad_bytes += first + size - at
+    return ratio, chunks, bad, band.low <= ratio <= band.high and bad_bytes <= BAD_CHUNK_SHARE * len(data)
 
 
 def repeated_lines(text: str) -> int:
