@@ -40,4 +40,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
   sha256(coalesce(words, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
-ORACLES = {"op3_ngram_join": NGRAM_JOIN, "op6_substring_dedup": SUBSTRING_DEDUP}
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+SEARCH = f"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_TERMS})) AS term
+  FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+asked AS (
+  SELECT DISTINCT item_id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_TERMS})) AS term
+  FROM benchmark),
+held AS (
+  SELECT term, doc_id, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term),
+parts AS (
+  SELECT term, doc_id, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS part
+  FROM held JOIN weights USING (term) JOIN sizes USING (doc_id), totals),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10"""
+
+ORACLES = {"op3_ngram_join": NGRAM_JOIN, "op6_substring_dedup": SUBSTRING_DEDUP, "op11_search": SEARCH}

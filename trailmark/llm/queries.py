@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lm_score, ngram_join, quality, secrets
+from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lexical_search, lm_score, ngram_join, quality, secrets
 from trailmark.llm import simhash_join, substring_dedup, token_shards
 from trailmark.llm.oracles import ORACLES
 from trailmark.scratch import shared_folder
@@ -83,6 +83,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_join.simhash_components(documents(spark, sf_dir))
 
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html": op9_html,
     "op10_secrets": op10_secrets,
+    "op11_search": op11_search,
     "op13_simhash": op13_simhash,
 }
 

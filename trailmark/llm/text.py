@@ -12,6 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 2_000_000  # texts worked on at once; a longer text is a slice of its own
 _PIECE = 1 << 19  # bytes hashed with one table of powers
@@ -54,13 +55,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of all words."""
-    inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~IS_SPACE[data]
+    return spans_of(~IS_SPACE[data], offsets)
+
+
+def spans_of(marked: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the longest runs of marked bytes inside each text."""
+    n = len(marked)
+    inside = np.zeros(n + 1, bool)
+    inside[:-1] = marked
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
-    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    edges = offsets[(offsets > 0) & (offsets < n)]
     starts[edges] |= inside[edges]
     ends[edges - 1] |= inside[edges - 1]
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
@@ -109,6 +116,29 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(out)
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG_SPAN = 256  # bytes from which a span is hashed by itself
+
+
+def span_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit digests of byte spans: their length and each group of 8 bytes go through a mixing that is not linear, so
+    that no two texts have equal digests but by chance."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    groups = np.ndarray(len(data) + 1, np.uint64, padded, 0, (1,))
+    sizes = ends - starts
+    out = mixed(sizes.astype(np.uint64) + np.uint64(_BASE))
+    alive = np.flatnonzero((sizes > 0) & (sizes < _LONG_SPAN))
+    k = 0
+    while len(alive):
+        value = groups[starts[alive] + k] & _MASKS[np.minimum(sizes[alive] - k, 8)]
+        out[alive] = mixed(out[alive] ^ value) + np.uint64(_BASE)
+        k += 8
+        alive = alive[sizes[alive] > k]
+    for i in np.flatnonzero(sizes >= _LONG_SPAN).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), _BASE & 0xFFFFFFFF)
+    return out
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     starts, ends, rows = word_spans(data, offsets)
     return Words(starts, ends, rows, span_hashes(data, starts, ends))
