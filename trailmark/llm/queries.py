@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lexical_search, lm_score, ngram_join, quality, secrets
-from trailmark.llm import simhash_join, substring_dedup, token_shards
+from trailmark.llm import alignment, bpe, decontaminate, html, labelled_pages, langid, lexical_search, lm_score
+from trailmark.llm import ngram_join, quality, secrets, simhash_join, substring_dedup, token_shards
 from trailmark.llm.oracles import ORACLES
 from trailmark.scratch import shared_folder
 
@@ -87,6 +87,12 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(
+        documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_join.simhash_components(documents(spark, sf_dir))
 
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html": op9_html,
     "op10_secrets": op10_secrets,
     "op11_search": op11_search,
+    "op12_alignment": op12_alignment,
     "op13_simhash": op13_simhash,
 }
 
