@@ -12,8 +12,8 @@ from trailmark.operators import ads
 from trailmark.plans.jobs import AdTables, ad_job
 from trailmark.sources.tables import file_lines
 from trailmark.streaming import blacklist as B
-from trailmark.streaming import counts
-from trailmark.streaming.tables import BatchTable, CountTable
+from trailmark.streaming import counts, files
+from trailmark.streaming.tables import BatchTable, CountTable, GrowingSet
 
 DAY = datetime(2024, 1, 1)
 CLICK = tuple(schemas.CLICKS.names)
@@ -76,7 +76,7 @@ def test_folding_changes_nothing(spark, tmp_path):
         B.process_batch(clicks(spark, *batch), i, folding, threshold=3)
         B.process_batch(clicks(spark, *batch), i, folding, threshold=3)  # as after a failure
     check(tables)
-    # batch 2 folded both dates as of batch 1; only the second has had rows before batch 2
+    # batch 2 folded as of batch 1 what there was before it
     assert pairs(tables.user_clicks.rows().select("date", "batch_id").distinct(), "*") == [
         ("2024-01-01", 1),
         ("2024-01-01", 2),
@@ -85,7 +85,13 @@ def test_folding_changes_nothing(spark, tmp_path):
     ]
     tables.user_clicks.fold(3)
     check(tables)
-    assert pairs(tables.user_clicks.rows().select("batch_id").distinct(), "*") == [(3,)]
+    # what batches 2 and 3 did not touch is as the fold before left it
+    assert pairs(tables.user_clicks.rows().select("date", "user_id", "batch_id").distinct(), "*") == [
+        ("2024-01-01", 1, 1),
+        ("2024-01-01", 2, 3),
+        ("2024-01-01", 3, 1),
+        ("2024-01-02", 3, 3),
+    ]
 
 
 def folders(path):
@@ -112,17 +118,126 @@ def test_a_batch_writes_few_files(spark, tmp_path):
     assert len(list((tmp_path / "batch_id=0").glob("*.parquet"))) == 1
 
 
-def test_map_of_folds_is_no_reason_to_shuffle_by_date(spark, tmp_path):
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folds_are_chosen_without_a_join(spark, tmp_path):
     stat = CountTable(spark, str(tmp_path), schemas.AD_STAT, fold_every=2)
     for i in range(4):
         stat.write(ads.ad_stat(clicks(spark, *rows(i % 2, 1, 1, 1))), i)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = stat.rows()._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    text = plan(stat.rows())
+    assert "Join" not in text and text.count("PartitionFilters: [") == 2
+    assert "batch_id" in text.split("PartitionFilters: [")[1]
+
+
+def test_a_date_touched_now_and_then_is_folded(spark, tmp_path):
+    stat = CountTable(spark, str(tmp_path), schemas.AD_STAT, fold_every=5)
+    for i in range(16):
+        # the quiet date has rows in all batches but those that fold
+        days = (0,) if i % 5 == 0 else (0, 7)
+        stat.write(ads.ad_stat(clicks(spark, *[r for d in days for r in rows(d, 1, 1, 1)])), i)
+    assert pairs(stat.current(), "date", "click_count") == [("2024-01-01", 16), ("2024-01-08", 12)]
+    assert folders(tmp_path / "folds" / "date=2024-01-08") == ["batch_id=14", "batch_id=9"]
+    assert folders(tmp_path / "batches" / "date=2024-01-08") == [f"batch_id={k}" for k in (11, 12, 13, 14)]
+    assert sorted(p.name for p in (tmp_path / "touched").iterdir() if p.suffix == "" and p.name.isdigit()) == ["15"]
+
+
+def test_a_batch_reads_the_buckets_of_its_users(spark, tmp_path):
+    tables = B.BlacklistTables.at(spark, str(tmp_path))
+    everyone = [r for user in range(60) for r in rows(0, user, 1, 1)]
+    B.process_batch(clicks(spark, *everyone), 0, tables, threshold=3)
+    many = tables.user_clicks.write(ads.user_daily_clicks(clicks(spark, *everyone)), 1)
+    parts = tables.user_clicks.write(ads.user_daily_clicks(clicks(spark, *rows(0, 7, 1, 1))), 2)
+    assert len(many) > 10 and len(parts) == 1 and parts[0][0] == "2024-01-01"
+    found = B.newly_listed(tables, 2, parts, 3)
+    assert pairs(found, "user_id") == [(7,)]
+    scans = [x.split("\n")[0] for x in plan(found).split("FileScan")[1:]]
+    scans = [x for x in scans if "ad_id" in x]
+    assert scans and all("bucket" in x.split("PartitionFilters: [")[1].split("PushedFilters")[0] for x in scans)
+    # no file of another bucket is even listed
+    files = tables.user_clicks.rows(2, parts).inputFiles()
+    assert files and all(f"/bucket={parts[0][1]}/" in f for f in files)
+    assert len(files) < len(tables.user_clicks.rows(2).inputFiles()) / 5
+
+
+def test_blacklist_is_a_snapshot_and_a_short_tail(spark, tmp_path):
+    listed = GrowingSet(spark, str(tmp_path), schemas.AD_BLACKLIST, fold_every=4)
+    seen = []
+    for i in range(21):
+        users = spark.range(i, i + 1).withColumnRenamed("id", "user_id")
+        listed.write(users, i)
+        listed.write(users, i)  # as after a failure
+        assert [r.user_id for r in listed.before(i + 1).orderBy("user_id").collect()] == list(range(i + 1))
+        assert listed.before(i).count() == i and listed.before(i // 2).count() == i // 2
+        seen.append(len(folders(tmp_path / "tail")) + len(folders(tmp_path / "snapshots") if i >= 4 else []))
+    assert listed.version() == 19 and folders(tmp_path / "snapshots") == ["upto=15", "upto=19"]
+    assert max(seen[12:]) <= max(seen[:12]) and len(listed.read().inputFiles()) <= 2 + 4
+    assert pairs(listed.read(), "user_id", "batch_id") == [(i, i) for i in range(21)]
+    listed.fold(3)  # older than the snapshot
+    assert listed.version() == 19
+
+
+def test_a_reader_between_snapshot_and_pointer_sees_all_rows(spark, tmp_path, monkeypatch):
+    listed = GrowingSet(spark, str(tmp_path), schemas.AD_BLACKLIST, fold_every=2)
+    users = spark.range(3).withColumnRenamed("id", "user_id")
+
+    def lost(*_):
+        raise OSError("executor lost")
+
+    listed.write(users, 0)
+    listed.write(users.limit(0), 1)
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(files, "replace_text", lost)
+        listed.fold(1)
+    assert listed.version() == -1 and listed.read().count() == 3
+    listed.fold(1)
+    assert listed.version() == 1 and pairs(listed.read(), "user_id") == [(0,), (1,), (2,)]
+
+
+def test_province_top_reads_the_provinces_of_the_batch(spark, tmp_path):
+    top = counts.ProvinceTop.at(spark, str(tmp_path))
+    stat = CountTable(spark, str(tmp_path / "stat"), schemas.AD_STAT)
+    provinces = [f"p{k}" for k in range(12)]
+    first = [r for k, p in enumerate(provinces) for r in rows(0, 1, k, 2, p)]
+    counts.add_stat(clicks(spark, *first), 0, stat, top)
+    second = rows(0, 1, 9, 3, "p3") + rows(0, 1, 8, 1, "p3")
+    counts.add_stat(clicks(spark, *second), 1, stat, top)
+    counts.add_stat(clicks(spark, *second), 1, stat, top)  # as after a failure
+    want = ads.province_top_ads(ads.ad_stat(clicks(spark, *first, *second)))
+    columns = schemas.AD_PROVINCE_TOP3.names
+    assert pairs(top.read(), *columns) == pairs(want, *columns)
+    buckets = {r.bucket for r in top.totals._read("batches", batch="1").select("bucket").collect()}
+    used = top.totals.rows(1, [("2024-01-01", b) for b in buckets]).inputFiles()
+    assert all(any(f"/bucket={b}/" in f for b in buckets) for f in used) and len(buckets) == 1
+    assert len(used) < len(top.totals.rows(1).inputFiles())
+
+
+def test_last_hour_opens_two_hours(spark, tmp_path):
+    trend = counts.trend_table(spark, str(tmp_path))
+    counts.add_trend(clicks(spark, *[r for h in range(20) for r in rows(0, 1, 1, 1, start=60 * h + 4)]), 0, trend)
+    at = DAY + timedelta(hours=13, minutes=5)
+    hour = counts.last_hour(trend, until=at)
+    assert pairs(hour, "hour", "minute") == [("13", "04")]
+    opened = {f.split("/hour=")[1][:2] for f in hour.inputFiles()}
+    assert opened == {"12", "13"}
+    # over midnight: one hour of each day
+    counts.add_trend(clicks(spark, *[r for h in range(48) for r in rows(0, 1, 1, 1, start=60 * h + 4)]), 1, trend)
+    night = counts.last_hour(trend, until=DAY + timedelta(days=1, minutes=5))
+    opened = {f.split("/date=")[1].split("/batch")[0] for f in night.inputFiles()}
+    assert opened == {"2024-01-01/hour=23", "2024-01-02/hour=00"}
+    assert pairs(night, "date", "click_count") == [("2024-01-02", 1)]
+
+
+def test_small_files(spark, tmp_path):
+    path = f"{tmp_path}/a/b"
+    assert files.read_text(spark, path) is None and files.listed(spark, f"{tmp_path}/a/*") == "[]"
+    for text in ("1", "ünï\n2", ""):
+        files.replace_text(spark, path, text)
+        assert files.read_text(spark, path) == text
+    assert files.listed(spark, f"{tmp_path}/a/*").endswith("/a/b]")
+    files.remove(spark, [path, path])
+    assert files.read_text(spark, path) is None
 
 
 def test_blacklist_stream_goes_on_from_its_checkpoint(spark, tmp_path):
@@ -142,6 +257,7 @@ def click_stream(spark, folder):
 
 def test_stat_and_province_top_over_several_runs(spark, tmp_path):
     stat = CountTable(spark, str(tmp_path / "stat"), schemas.AD_STAT, fold_every=3)
+    top = counts.ProvinceTop.at(spark, str(tmp_path / "top"))
     batches = [
         rows(0, 1, 1, 2) + rows(0, 1, 2, 3, "q"),
         rows(0, 1, 1, 1, city="d") + rows(0, 1, 3, 1) + rows(0, 5, 4, 1) + rows(0, 5, 5, 2),
@@ -153,21 +269,20 @@ def test_stat_and_province_top_over_several_runs(spark, tmp_path):
             click_stream(spark, tmp_path / "in"),
             stat,
             str(tmp_path / "cp"),
-            str(tmp_path / "top"),
+            top,
             trigger=B.ALL_AVAILABLE,
         ).awaitTermination()
         everything = ads.ad_stat(clicks(spark, *[r for b in batches[: i + 1] for r in b]))
         columns = schemas.AD_STAT.names
         assert pairs(stat.current(), *columns) == pairs(everything, *columns)
-        top = spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(str(tmp_path / "top"))
         columns = schemas.AD_PROVINCE_TOP3.names
-        assert pairs(top, *columns) == pairs(ads.province_top_ads(everything), *columns)
+        assert pairs(top.read(), *columns) == pairs(ads.province_top_ads(everything), *columns)
     stat.fold(10)
     assert pairs(stat.current(), *schemas.AD_STAT.names) == pairs(everything, *schemas.AD_STAT.names)
 
 
 def test_trend_counts_late_clicks(spark, tmp_path):
-    trend = CountTable(spark, str(tmp_path / "trend"), schemas.AD_CLICK_TREND)
+    trend = counts.trend_table(spark, str(tmp_path / "trend"))
     first = rows(0, 1, 1, 2) + rows(0, 1, 1, 1, start=50)
     second = rows(0, 1, 1, 3) + rows(0, 1, 2, 1, start=130)
     third = rows(0, 1, 1, 4) + rows(-10, 1, 1, 1)  # 130 minutes and ten days behind
@@ -220,8 +335,7 @@ def test_ad_job_counts_what_the_blacklist_lets_through(spark, tmp_path):
     want = ads.click_trend(ads.minute_clicks(kept))
     assert pairs(tables.trend.current(), *columns) == pairs(want, *columns)
     columns = schemas.AD_PROVINCE_TOP3.names
-    top = spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(tables.province_top_path)
-    assert pairs(top, *columns) == pairs(ads.province_top_ads(ads.ad_stat(kept)), *columns)
+    assert pairs(tables.top.read(), *columns) == pairs(ads.province_top_ads(ads.ad_stat(kept)), *columns)
 
 
 def test_table_that_does_not_exist_yet_is_empty(spark, tmp_path):

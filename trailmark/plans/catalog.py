@@ -306,13 +306,14 @@ def _click_stream(spark: SparkSession, folder: str) -> DataFrame:
     return ads.parse_ad_log(standin.ad_log_lines(standin.events_stream(spark, folder), spark, folder))
 
 
-def _run_stat(spark: SparkSession, folder: str, work: str) -> CountTable:
+def _run_stat(spark: SparkSession, folder: str, top: counts.ProvinceTop | None = None) -> CountTable:
+    work = shared_folder(spark)
     stat = CountTable(spark, f"{work}/stat", schemas.AD_STAT)
     counts.ad_stat_stream(
         _click_stream(spark, folder),
         stat,
         f"{work}/checkpoint",
-        f"{work}/top",
+        top,
         trigger=blacklist.ALL_AVAILABLE,
     ).awaitTermination()
     return stat
@@ -320,14 +321,14 @@ def _run_stat(spark: SparkSession, folder: str, work: str) -> CountTable:
 
 @query
 def ad_stat_stream(spark, folder):
-    return _run_stat(spark, folder, shared_folder(spark)).current()
+    return _run_stat(spark, folder).current()
 
 
 @query
 def ad_province_top3_stream(spark, folder):
-    work = shared_folder(spark)
-    _run_stat(spark, folder, work)
-    return spark.read.schema(schemas.AD_PROVINCE_TOP3).parquet(f"{work}/top")
+    top = counts.ProvinceTop.at(spark, shared_folder(spark))
+    _run_stat(spark, folder, top)
+    return top.read()
 
 
 def _newest(spark: SparkSession, folder: str) -> datetime:
@@ -339,7 +340,7 @@ def _newest(spark: SparkSession, folder: str) -> datetime:
 @query
 def ad_click_trend_stream(spark, folder):
     work = shared_folder(spark)
-    trend = CountTable(spark, f"{work}/trend", schemas.AD_CLICK_TREND)
+    trend = counts.trend_table(spark, f"{work}/trend")
     counts.click_trend_stream(
         _click_stream(spark, folder), trend, f"{work}/checkpoint", trigger=blacklist.ALL_AVAILABLE
     ).awaitTermination()
@@ -371,7 +372,7 @@ def ad_stat_late_stream(spark, folder):
 @query
 def ad_click_trend_late_stream(spark, folder):
     work = shared_folder(spark)
-    trend = CountTable(spark, f"{work}/trend", schemas.AD_CLICK_TREND, fold_every=2)
+    trend = counts.trend_table(spark, f"{work}/trend", fold_every=2)
     return _run_late(spark, folder, trend, counts.add_trend, work).current()
 
 

@@ -15,7 +15,7 @@ from trailmark.params import TaskParams
 from trailmark.scratch import shared_folder, written
 from trailmark.sources.tables import task_actions
 from trailmark.streaming.blacklist import EVERY_5_SECONDS, BlacklistTables, blacklist_stream
-from trailmark.streaming.counts import add_stat, add_trend
+from trailmark.streaming.counts import ProvinceTop, add_stat, add_trend, trend_table
 from trailmark.streaming.tables import CountTable
 
 CATEGORY_COLUMNS = ("click_category_id", "order_category_ids", "pay_category_ids")
@@ -100,15 +100,15 @@ class AdTables:
     blacklist: BlacklistTables
     stat: CountTable
     trend: CountTable
-    province_top_path: str
+    top: ProvinceTop
 
     @classmethod
     def at(cls, spark, folder: str) -> "AdTables":
         return cls(
             BlacklistTables.at(spark, folder),
             CountTable(spark, f"{folder}/ad_stat", schemas.AD_STAT),
-            CountTable(spark, f"{folder}/ad_click_trend", schemas.AD_CLICK_TREND),
-            f"{folder}/ad_province_top3",
+            trend_table(spark, f"{folder}/ad_click_trend"),
+            ProvinceTop.at(spark, folder),
         )
 
 
@@ -122,7 +122,7 @@ def ad_job(
     """Starts one stream that runs the blacklist on the lines and adds the clicks it lets through to all counts."""
 
     def count(clicks: DataFrame, batch_id: int) -> None:
-        add_stat(clicks, batch_id, tables.stat, tables.province_top_path)
+        add_stat(clicks, batch_id, tables.stat, tables.top)
         add_trend(clicks, batch_id, tables.trend)
 
     return blacklist_stream(lines, tables.blacklist, checkpoint, threshold, trigger, count)

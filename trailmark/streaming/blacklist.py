@@ -20,12 +20,14 @@ from trailmark.operators.ads import (
     parse_ad_log,
     user_daily_clicks,
 )
-from trailmark.streaming.tables import BatchTable, CountTable
+from trailmark.streaming.tables import BatchTable, CountTable, GrowingSet, Part
+
+USER_BUCKETS = 32
 
 
 @dataclass(frozen=True)
 class BlacklistTables:
-    blacklist: BatchTable
+    blacklist: GrowingSet
     user_clicks: CountTable
     clicks: BatchTable
     rejects: BatchTable
@@ -33,8 +35,10 @@ class BlacklistTables:
     @classmethod
     def at(cls, spark: SparkSession, folder: str) -> "BlacklistTables":
         return cls(
-            BatchTable(spark, f"{folder}/ad_blacklist", schemas.AD_BLACKLIST),
-            CountTable(spark, f"{folder}/ad_user_click_count", schemas.AD_USER_CLICK_COUNT),
+            GrowingSet(spark, f"{folder}/ad_blacklist", schemas.AD_BLACKLIST),
+            CountTable(
+                spark, f"{folder}/ad_user_click_count", schemas.AD_USER_CLICK_COUNT, by="user_id", buckets=USER_BUCKETS
+            ),
             BatchTable(spark, f"{folder}/ad_clicks", schemas.CLICKS),
             BatchTable(spark, f"{folder}/ad_log_rejects", schemas.AD_LOG_REJECTS),
         )
@@ -46,15 +50,15 @@ def drop_listed(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 
 def newly_listed(
-    tables: BlacklistTables, batch_id: int, dates: list[str], threshold: int
+    tables: BlacklistTables, batch_id: int, parts: list[Part], threshold: int
 ) -> DataFrame:
     """Users whose count of a day and ad, up to this batch, reached the threshold through this batch.
 
-    Only the dates of this batch are read, and of them only its keys are summed.
+    Only the parts of this batch are read, dates and buckets of users, and of them only its keys are summed.
     """
     keys = tables.user_clicks.keys
-    touched = tables.user_clicks.batch(batch_id, dates).select(*keys)
-    rows = tables.user_clicks.rows(batch_id, dates)
+    touched = tables.user_clicks.batch(batch_id, parts).select(*keys)
+    rows = tables.user_clicks.rows(batch_id, parts)
     counts = tables.user_clicks.combine(rows.join(touched, keys, "left_semi"))
     users = over_threshold(counts, threshold).select("user_id").distinct()
     return users.join(tables.blacklist.before(batch_id), "user_id", "left_anti")
@@ -72,11 +76,11 @@ def process_batch(
         # readers of this table may have seen an earlier run's files, so a second run leaves them as they are
         tables.clicks.write(drop_listed(clicks, tables.blacklist.before(batch_id)), batch_id)
     kept = tables.clicks.batch(batch_id)
-    dates = tables.user_clicks.write(user_daily_clicks(kept), batch_id)
+    parts = tables.user_clicks.write(user_daily_clicks(kept), batch_id)
     if then:
         then(kept, batch_id)
-    if dates:
-        tables.blacklist.write(newly_listed(tables, batch_id, dates, threshold), batch_id)
+    if parts:
+        tables.blacklist.write(newly_listed(tables, batch_id, parts, threshold), batch_id)
 
 
 def start(writer: DataStreamWriter, checkpoint: str, trigger: dict) -> StreamingQuery:

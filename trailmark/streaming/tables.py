@@ -1,31 +1,37 @@
 """Tables written once per micro-batch.
 
-Every batch replaces its own partition `batch_id=N`, so a batch that is run again leaves one copy. What the
-table says is worked out on reading, by adding the batches' counts per key; so it does not matter how late a row
-arrives. Folding keeps reading cheap: the state of a date as of one batch is written, and older batches of that
-date are not read any more. They are removed with the next fold, so that a reader of the last state finds its files.
+Every batch replaces its own partition `batch_id=N`, so a batch that is run again leaves one copy. What a table says is
+worked out on reading, by adding the batches' rows; so it does not matter how late a row arrives. Folding keeps reading
+cheap: the state as of one batch is stored, and batches up to it are not read any more. They are removed with the next
+fold, so that a reader of the state before a fold finds its files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from trailmark.sinks import overwrite_partitions
+from trailmark.streaming import files
 
 BATCH = "batch_id"
-LISTED_DATES = 366  # more dates than that are not named one by one in a path, but filtered
+BUCKET = "bucket"
+LISTED = 366  # more values than that are not named one by one in a path, but filtered
+
+#: values of a table's partition columns without the batch
+Part = tuple[str, ...]
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, *folders: str) -> DataFrame:
     """A table's rows with their batch, or none if nothing was written yet. Only the given folders (patterns
     below the path) are listed, as the number of batches grows all the time."""
-    schema = StructType(list(schema)).add(BATCH, LongType())
+    schema = schema if BATCH in schema.names else StructType(list(schema)).add(BATCH, LongType())
     try:
         return spark.read.schema(schema).option("basePath", path).parquet("/".join([path, *folders]))
     except AnalysisException as e:
@@ -34,24 +40,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType, *folders:
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def date_folders(dates: Sequence[str] | None) -> str:
-    return "date=*" if dates is None or len(dates) > LISTED_DATES else f"date={{{','.join(dates)}}}"
-
-
-def remove_batches(spark: SparkSession, path: str, dates: Sequence[str], upto: int) -> None:
-    """Deletes the partitions of batches up to `upto` of the given dates."""
-    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date_folders(dates)}/{BATCH}=*")
-    files = folders.getFileSystem(spark._jsc.hadoopConfiguration())
-    named = set(dates)
-    for status in files.globStatus(folders) or ():
-        batch, date = status.getPath().getName(), status.getPath().getParent().getName()
-        if int(batch.split("=")[1]) <= upto and date.split("=")[1] in named:
-            files.delete(status.getPath(), True)
+def folder_pattern(column: str, values: Iterable[str] | None) -> str:
+    values = None if values is None else sorted(set(values))
+    return f"{column}=*" if values is None or len(values) > LISTED else f"{column}={{{','.join(values)}}}"
 
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Rows per batch, without meaning across batches: filtered clicks, newly blacklisted users."""
+    """Rows per batch, without meaning across batches: filtered clicks, rejected lines."""
 
     spark: SparkSession
     path: str
@@ -68,9 +64,6 @@ class BatchTable:
     def batch(self, batch_id: int) -> DataFrame:
         return read_or_empty(self.spark, self.path, self.schema, f"{BATCH}={batch_id}").drop(BATCH)
 
-    def before(self, batch_id: int) -> DataFrame:
-        return self.read().where(F.col(BATCH) < batch_id).drop(BATCH)
-
     def create(self) -> None:
         """Makes the folder of a table that has no rows yet; leaves an existing one as it is."""
         self.read().limit(0).write.mode("append").partitionBy(BATCH).parquet(self.path)
@@ -79,71 +72,203 @@ class BatchTable:
         return not self.batch(batch_id).isEmpty()
 
 
+@dataclass(frozen=True)
+class GrowingSet:
+    """Rows that are added and never taken away, each with the batch that added it: blacklisted users.
+
+    The table is a pair: a snapshot of everything up to one batch, and the folders of the batches after it. The file
+    CURRENT names the snapshot, and is replaced at once. After `fold_every` batches the next snapshot is written; what
+    the snapshot before the last one consisted of is removed then. So a batch lists and reads a snapshot and a bounded
+    number of small folders, however long the stream has run.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    fold_every: int = 100
+
+    def version(self) -> int:
+        """The last batch in the snapshot, -1 without one."""
+        text = files.read_text(self.spark, f"{self.path}/CURRENT")
+        return -1 if text is None else int(text)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        BatchTable(self.spark, f"{self.path}/tail", self.schema).write(df, batch_id)
+        if batch_id > self.version() + self.fold_every:
+            self.fold(batch_id - 1)
+
+    def _snapshot(self, version: int) -> DataFrame:
+        stored = StructType(list(self.schema)).add(BATCH, LongType())
+        rows = read_or_empty(self.spark, f"{self.path}/snapshots", stored, f"upto={version}")
+        return rows.select(*stored.names)
+
+    def read(self) -> DataFrame:
+        """All rows with their batch."""
+        version = self.version()
+        tail = read_or_empty(self.spark, f"{self.path}/tail", self.schema, f"{BATCH}=*")
+        tail = tail.where(F.col(BATCH) > version)
+        return tail if version < 0 else self._snapshot(version).unionByName(tail)
+
+    def before(self, batch_id: int) -> DataFrame:
+        """What batches before this one have added, also if later ones have run already."""
+        return self.read().where(F.col(BATCH) < batch_id).drop(BATCH)
+
+    def fold(self, upto: int) -> None:
+        """Stores a snapshot as of batch `upto`, which the stream must have finished."""
+        last = self.version()
+        if upto <= last:
+            return
+        rows = self.read().where(F.col(BATCH) <= upto).hint("rebalance")
+        rows.write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={upto}")
+        files.replace_text(self.spark, f"{self.path}/CURRENT", str(upto))
+        tail = files.listed(self.spark, f"{self.path}/tail/{BATCH}=*")
+        old = [int(n) for n in re.findall(rf"/{BATCH}=(\d+)(?=, |\])", tail)]
+        files.remove(self.spark, [f"{self.path}/tail/{BATCH}={n}" for n in old if n <= last])
+        shots = files.listed(self.spark, f"{self.path}/snapshots/upto=*")
+        old = [int(n) for n in re.findall(r"/upto=(\d+)(?=, |\])", shots)]
+        files.remove(self.spark, [f"{self.path}/snapshots/upto={n}" for n in old if n < last])
+
+
 @dataclass(frozen=True)
 class CountTable:
     """`click_count` per key, the first key being `date`; batches hold what is added to each.
 
-    Every `fold_every` batches the dates just written are folded.
+    Rows are stored by date and, with `by`, by a second column below it: a key of the table itself, or with `buckets` a
+    hash of that key in so many buckets. A batch that names the parts it has touched reads those only. Each batch also
+    notes its parts in a small file. After `fold_every` batches all parts noted since the last fold are folded, so that
+    no part stays unfolded for longer, however rarely it is touched.
     """
 
     spark: SparkSession
     path: str
     schema: StructType
     fold_every: int = 100
+    by: str | None = None
+    buckets: int | None = None
 
     @property
     def keys(self) -> list[str]:
         return [name for name in self.schema.names if name != "click_count"]
 
-    def _part(self, name: str, dates: Sequence[str] | None = None, batch: str = "*") -> DataFrame:
-        folders = (date_folders(dates), f"{BATCH}={batch}")
-        rows = read_or_empty(self.spark, f"{self.path}/{name}", self.schema, *folders)
-        return rows if dates is None else rows.where(F.col("date").isin(list(dates)))
-
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        # adaptive execution cuts a large date into several tasks
-        rows = df.select(*self.schema.names).hint("rebalance", "date")
-        rows = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        overwrite_partitions(rows, f"{self.path}/{name}", ["date", BATCH])
-
-    def write(self, df: DataFrame, batch_id: int) -> list[str]:
-        """Stores a batch. Returns the dates it touched: the names of its folders."""
-        self._write(df, "batches", batch_id)
-        dates = [row.date for row in self.batch(batch_id).select("date").distinct().collect()]
-        if batch_id and batch_id % self.fold_every == 0 and dates:
-            self.fold(batch_id - 1, dates)
-        return dates
-
-    def batch(self, batch_id: int, dates: Sequence[str] | None = None) -> DataFrame:
-        return self._part("batches", dates, str(batch_id)).drop(BATCH)
-
-    def rows(self, upto: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
-        """Folded rows and later batches, up to batch `upto`."""
-        folds, batches = self._part("folds", dates), self._part("batches", dates)
+    @property
+    def parts(self) -> list[str]:
+        return ["date"] if self.by is None else ["date", BUCKET if self.buckets else self.by]
+
+    @property
+    def _stored(self) -> StructType:
+        stored = StructType(list(self.schema))
+        return stored.add(BUCKET, "string") if self.buckets else stored
+
+    def _folders(self, parts: Sequence[Part] | None, batch: str = "*") -> list[str]:
+        if parts is not None and len(parts) <= LISTED:
+            places = ["/".join(f"{c}={v}" for c, v in zip(self.parts, part)) for part in sorted(parts)]
+            return [f"{{{','.join(places)}}}", f"{BATCH}={batch}"]
+        values = [None] * len(self.parts) if parts is None else zip(*parts)
+        return [*map(folder_pattern, self.parts, values), f"{BATCH}={batch}"]
+
+    def _read(self, name: str, parts: Sequence[Part] | None = None, batch: str = "*") -> DataFrame:
+        if parts is not None and not parts:
+            return read_or_empty(self.spark, f"{self.path}/none", self._stored)
+        rows = read_or_empty(self.spark, f"{self.path}/{name}", self._stored, *self._folders(parts, batch))
+        if parts is not None:
+            for column, values in zip(self.parts, zip(*parts)):
+                rows = rows.where(F.col(column).isin(sorted(set(values))))
+            if len(self.parts) > 1 and len(parts) <= LISTED:
+                rows = rows.where(self._part_key().isin(sorted(map("/".join, parts))))
+        return rows
+
+    def _write(self, df: DataFrame, name: str, batch_id: int) -> list[Part]:
+        """Returns the parts that have rows, which are noticed while the rows are written."""
+        rows = df.select(*self.schema.names)
+        if self.buckets:
+            rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(self.by), F.lit(self.buckets)).cast("string"))
+        seen = Observation()
+        rows = rows.observe(seen, F.collect_set(self._part_key()).alias("parts"))
+        # adaptive execution cuts a large part into several tasks
+        rows = rows.hint("rebalance", *self.parts).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        overwrite_partitions(rows, f"{self.path}/{name}", [*self.parts, BATCH])
+        return [tuple(key.split("/")) for key in sorted(seen.get["parts"])]
+
+    def _part_key(self) -> Column:
+        return F.concat_ws("/", *self.parts)
+
+    def write(self, df: DataFrame, batch_id: int) -> list[Part]:
+        """Stores a batch. Returns the parts it touched."""
+        touched = self._write(df, "batches", batch_id)
+        files.replace_text(self.spark, f"{self.path}/touched/{batch_id}", "\n".join(map("/".join, touched)))
+        if batch_id > self.folded() + self.fold_every:
+            self.fold(batch_id - 1)
+        return touched
+
+    def folded(self) -> int:
+        """The batch up to which the last fold went, -1 before the first."""
+        text = files.read_text(self.spark, f"{self.path}/FOLDED")
+        return -1 if text is None else int(text)
+
+    def batch(self, batch_id: int, parts: Sequence[Part] | None = None) -> DataFrame:
+        return self._read("batches", parts, str(batch_id)).select(*self.schema.names)
+
+    def _numbers(self, name: str, parts: Sequence[Part] | None) -> dict[Part, list[int]]:
+        """The batches or folds stored of each part, from the names of the folders."""
+        if parts is not None and not parts:
+            return {}
+        text = files.listed(self.spark, "/".join([self.path, name, *self._folders(parts)]))
+        columns = "".join(rf"/{c}=([^/]*?)" for c in self.parts)
+        wanted = None if parts is None else set(parts)
+        out: dict[Part, list[int]] = {}
+        for *part, number in re.findall(rf"{columns}/{BATCH}=(\d+)(?=, |\])", text):
+            if wanted is None or tuple(part) in wanted:
+                out.setdefault(tuple(part), []).append(int(number))
+        return out
+
+    def _rows(self, upto: int | None, parts: Sequence[Part] | None, base: int | None) -> DataFrame:
+        """Rows up to batch `upto`, starting from the newest fold of each part up to `base`.
+
+        Which folder counts is a condition on partition columns, so that the others are not opened.
+        """
+        folds = self._numbers("folds", parts)
+        newest = {part: max((n for n in numbers if base is None or n <= base), default=-1) for part, numbers in folds.items()}
+        known = ",".join(f"{'/'.join(part)}={n}" for part, n in newest.items() if n >= 0)
+        rows = self._read("batches", parts)
+        if known:
+            names = F.str_to_map(F.lit(known), F.lit(","), F.lit("="))
+            fold = F.coalesce(F.try_element_at(names, self._part_key()).cast("long"), F.lit(-1))
+            rows = self._read("folds", parts).where(F.col(BATCH) == fold).unionByName(rows.where(F.col(BATCH) > fold))
         if upto is not None:
-            folds, batches = folds.where(F.col(BATCH) <= upto), batches.where(F.col(BATCH) <= upto)
-        # one row for each date, from the names of the folders
-        newest = F.broadcast(folds.select("date", BATCH).distinct().groupBy("date").agg(F.max(BATCH).alias("_fold")))
-        old = folds.join(newest, "date").where(F.col(BATCH) == F.col("_fold"))
-        new = batches.join(newest, "date", "left").where(
-            F.col("_fold").isNull() | (F.col(BATCH) > F.col("_fold"))
-        )
-        return old.drop("_fold").unionByName(new.drop("_fold"))
+            rows = rows.where(F.col(BATCH) <= upto)
+        return rows
+
+    def rows(self, upto: int | None = None, parts: Sequence[Part] | None = None) -> DataFrame:
+        """Folded rows and later batches, up to batch `upto`, with the batch."""
+        return self._rows(upto, parts, upto).select(*self.schema.names, BATCH)
 
     def combine(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.keys).agg(F.sum("click_count").alias("click_count"))
 
-    def current(self, upto: int | None = None, dates: Sequence[str] | None = None) -> DataFrame:
-        return self.combine(self.rows(upto, dates))
-
-    def fold(self, upto: int, dates: Sequence[str] | None = None) -> None:
-        """Stores the state as of batch `upto`, which the stream must have finished.
-
-        Of the given dates, what the fold before this one had replaced is removed. Nothing is removed if no dates
-        are given.
-        """
-        self._write(self.current(upto, dates), "folds", upto)
-        if dates:
-            before = upto - self.fold_every
-            remove_batches(self.spark, f"{self.path}/batches", dates, before)
-            remove_batches(self.spark, f"{self.path}/folds", dates, before - 1)
+    def current(self, upto: int | None = None, parts: Sequence[Part] | None = None) -> DataFrame:
+        return self.combine(self.rows(upto, parts))
+
+    def _noted(self, upto: int) -> dict[int, list[Part]]:
+        """The parts touched by each batch up to `upto` since the last fold."""
+        text = files.listed(self.spark, f"{self.path}/touched/*")
+        numbers = [int(n) for n in re.findall(r"/(\d+)(?=, |\])", text)]
+        noted = {n: files.read_text(self.spark, f"{self.path}/touched/{n}") or "" for n in numbers if n <= upto}
+        return {n: [tuple(key.split("/")) for key in x.split("\n") if key] for n, x in noted.items()}
+
+    def fold(self, upto: int) -> None:
+        """Stores the state as of batch `upto`, which the stream must have finished, of all parts touched since the last
+        fold. Of these parts, what their fold before this one had replaced is removed."""
+        noted = self._noted(upto)
+        parts = sorted(set().union(*noted.values()))
+        if parts:
+            # a fold that is run again starts from the one before it, as its own rows are being replaced
+            self._write(self.combine(self._rows(upto, parts, upto - 1)), "folds", upto)
+        files.replace_text(self.spark, f"{self.path}/FOLDED", str(upto))
+        folds, batches = self._numbers("folds", parts), self._numbers("batches", parts)
+        gone = []
+        for part, numbers in folds.items():
+            before = max((n for n in numbers if n < upto), default=-1)
+            place = "/".join(f"{c}={v}" for c, v in zip(self.parts, part))
+            gone += [f"batches/{place}/{BATCH}={n}" for n in batches.get(part, ()) if n <= before]
+            gone += [f"folds/{place}/{BATCH}={n}" for n in numbers if n < before]
+        files.remove(self.spark, [f"{self.path}/{x}" for x in [*gone, *(f"touched/{n}" for n in noted)]])
