@@ -87,6 +87,12 @@ top_sess AS (
     GROUP BY click_category_id, session_id)
   WHERE rn <= 10)"""
 
+# the job draws from, and counts categories of, the filtered sessions
+_JOB_SAMPLE = _SAMPLE.replace("FROM full_sess", "FROM filtered").replace("3000", "1500")
+_JOB_CATEGORIES = "kept_uva AS (SELECT * FROM uva WHERE session_id IN (SELECT session_id FROM filtered))," + (
+    _CATEGORIES.replace("FROM uva", "FROM kept_uva")
+)
+
 _PAGES = """
 flow(step, from_page, to_page) AS (VALUES (1, 1, 2), (2, 2, 3), (3, 3, 4), (4, 4, 5)),
 moves AS (
@@ -116,7 +122,7 @@ area_clicks AS (
 _CLICKS = """
 clicks AS (
   SELECT make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts, strftime(ts, '%Y-%m-%d') AS date,
-    replace(area, ' ', '-') AS province, replace(city_name, ' ', '-') AS city, user_id, k % 10 AS ad_id
+    replace(area, ' ', '-') AS province, replace(city_name, ' ', '-') AS city, user_id, k % 10 AS ad_id, event_type
   FROM ev JOIN city ON user_id % 25 = city_id),
 daily AS (SELECT date, user_id, ad_id, count(*) AS click_count FROM clicks GROUP BY ALL),
 stat AS (SELECT date, province, city, ad_id, count(*) AS click_count FROM clicks GROUP BY ALL),
@@ -255,9 +261,53 @@ ORACLES = {
     "action_text_keys": _with(
         "SELECT event_id, strftime(action_time, '%Y%m%d') AS date_key, strftime(action_time, '%Y-%m-%d_%H') AS hour_key,"
         " strftime(action_time, '%Y%m%d%H%M') AS minute_key, strftime(action_time, '%Y-%m-%d') AS date,"
-        " order_category_ids AS order_categories, order_category_ids AS trimmed FROM uva WHERE city_id = 3",
+        " order_category_ids AS order_categories, order_category_ids AS trimmed FROM uva",
+        _EVENTS,
+    ),
+    "session_values": _with(
+        "SELECT DISTINCT session_id, 'keyword' AS kind, search_keyword AS value FROM uva WHERE search_keyword IS NOT NULL"
+        " UNION ALL SELECT DISTINCT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM uva"
+        " WHERE click_category_id IS NOT NULL",
         _EVENTS,
     ),
+    "session_stats_of_saved_log": _with(
+        _stats("full_sess"),
+        _EVENTS.replace("FROM events)", "FROM events WHERE isodow(ts) = 1)"),
+        _SESSIONS,
+    ),
+    "unmatched_counts": _with(
+        "SELECT 'unmatched_sessions' AS name, count(*) AS rows FROM sess"
+        " WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)"
+        " UNION ALL SELECT 'clicks_in_unknown_cities', count(*) FROM uva WHERE click_product_id IS NOT NULL"
+        " AND city_id NOT IN (SELECT city_id FROM city WHERE city_id % 3 <> 0)"
+        " UNION ALL SELECT 'clicks_of_unknown_products', count(*) FROM uva WHERE click_product_id IS NOT NULL"
+        " AND click_product_id NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 3 <> 0)",
+        _EVENTS,
+        _CITIES,
+        _SESSIONS,
+    ),
+    "session_first_days": _sessions(
+        "SELECT date, count(*) AS sessions, CAST(date AS DATE) >= current_date - 1 AS recent, 1 AS step"
+        " FROM full_sess GROUP BY date"
+    ),
+    "session_job_sample": _with(
+        "SELECT CAST(7 AS BIGINT) AS task_id, * FROM sampled", _DATED, _SESSIONS, _JOB_SAMPLE
+    ),
+    "session_job_details": _with(
+        f"SELECT CAST(7 AS BIGINT) AS task_id, {_ACTION_COLUMNS} FROM uva WHERE session_id IN"
+        f" (SELECT session_id FROM sampled) UNION ALL SELECT 7, {_ACTION_COLUMNS} FROM uva WHERE session_id IN"
+        " (SELECT session_id FROM top_sess)",
+        _DATED,
+        _SESSIONS,
+        _JOB_SAMPLE,
+        _JOB_CATEGORIES,
+    ),
+    "session_job_categories": _with(
+        "SELECT CAST(7 AS BIGINT) AS task_id, * FROM top_cat", _DATED, _SESSIONS, _JOB_CATEGORIES
+    ),
+    "session_job_top_sessions": _with(
+        "SELECT CAST(7 AS BIGINT) AS task_id, * FROM top_sess", _DATED, _SESSIONS, _JOB_CATEGORIES
+    ),
     "session_job_stats": _with(
         f"SELECT CAST(7 AS BIGINT) AS task_id, * FROM ({_stats('filtered')})", _DATED, _SESSIONS
     ),
@@ -307,6 +357,13 @@ ORACLES = {
     "ad_filtered_stat_stream": _ads(
         "SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY ALL", _ARRIVALS
     ),
+    "ad_stream_metrics": _ads(
+        "SELECT 2 - arrival AS batch_id, count(*) + count(*) FILTER (event_type = 'error') AS lines,"
+        " count(*) FILTER (event_type = 'error') AS rejects,"
+        " count(*) FILTER (ts < (SELECT max(ts) FROM arrivals x WHERE x.arrival > a.arrival) - INTERVAL 60 MINUTE) AS late"
+        " FROM arrivals a GROUP BY arrival",
+        _ARRIVALS,
+    ),
     "ad_stat_stream": _ads("SELECT * FROM stat"),
     "ad_stat_late_stream": _ads("SELECT * FROM stat"),
     "ad_click_trend_late_stream": _ads(

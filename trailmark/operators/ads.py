@@ -13,7 +13,8 @@ BLACKLIST_THRESHOLD = 100
 FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
-def _fields(lines: DataFrame) -> DataFrame:
+def parse_fields(lines: DataFrame) -> DataFrame:
+    """Lines with what their parts say in the struct `_click`, NULL where a part is missing or of another type."""
     parts = F.split("value", " ")
 
     def part(i: int) -> Column:
@@ -35,16 +36,21 @@ def _fields(lines: DataFrame) -> DataFrame:
 _VALID = "_click.ts is not null and _click.user_id is not null and _click.ad_id is not null"
 
 
+def ad_log_valid() -> Column:
+    """Whether a line of `parse_fields` is a click."""
+    return F.expr(_VALID)
+
+
 def parse_ad_log(lines: DataFrame) -> DataFrame:
     """Lines `millis province city userId adId` in column `value` as ts, province, city, user_id, ad_id.
 
     Lines without a time, user or ad are left out, see `ad_log_rejects`.
     """
-    return _fields(lines).where(_VALID).select("_click.*")
+    return parse_fields(lines).where(_VALID).select("_click.*")
 
 
 def ad_log_rejects(lines: DataFrame) -> DataFrame:
-    return _fields(lines).where(f"not ({_VALID})").drop("_click")
+    return parse_fields(lines).where(f"not ({_VALID})").drop("_click")
 
 
 def _daily(clicks: DataFrame, *keys: str) -> DataFrame:

@@ -39,12 +39,18 @@ def all_of(*conditions: Column | None) -> Column | None:
     return reduce(and_, given) if given else None
 
 
-def session_condition(params: TaskParams) -> Column | None:
+def user_condition(params: TaskParams) -> Column | None:
     return all_of(
         between_bounds(F.col("age"), params.start_age, params.end_age),
         one_of(F.col("professional"), params.professionals),
         one_of(F.col("city"), params.cities),
         one_of(F.col("sex"), params.sex),
+    )
+
+
+def session_condition(params: TaskParams) -> Column | None:
+    return all_of(
+        user_condition(params),
         shares_any(F.col("search_keywords"), params.keywords),
         shares_any(F.col("click_category_ids"), params.category_ids, "bigint"),
     )

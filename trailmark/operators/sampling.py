@@ -49,7 +49,8 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
     Within an hour the sessions with the smallest md5(seed || session_id) are taken. No hour is ever sorted
     as a whole: counts per (hour, slice of the draw) tell which slices are taken completely and in which one
     the quota ends, and only candidates of one slice are ranked together. Drawing needs the start times only;
-    the other columns are fetched for the sampled sessions.
+    the other columns are fetched for the sampled sessions. Lists are passed on if `sessions` has them; otherwise
+    `sessions.with_lists` adds those of the sample.
     """
     keyed = _with_draw(sessions, seed)
     slices = keyed.groupBy("_date", "_hour", "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -73,7 +74,8 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
     )
     chosen = candidates.withColumn("_rank", rank).where("_slice < _last or _rank <= _rest")
     picked = broadcast_bounded(chosen.select("session_id"), total)
-    rows = sessions.select("session_id", "start_time", "search_keywords", "click_category_ids")
+    lists = [c for c in ("search_keywords", "click_category_ids") if c in sessions.columns]
+    rows = sessions.select("session_id", "start_time", *lists)
     return rows.join(picked, "session_id", "left_semi")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from math import ceil
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +13,19 @@ from pyspark.sql import functions as F
 from trailmark import schemas
 from trailmark.functions import format_time, text, times
 from trailmark.operators import ads, categories, filters, pages, products, sampling, sessions
+from trailmark.operators.metrics import Metrics
 from trailmark.params import TaskParams, load_task
 from trailmark.plans import jobs
 from trailmark.scratch import shared_folder, written
 from trailmark.sources import standin
-from trailmark.sources.tables import file_lines, typed_actions
+from trailmark.sources.tables import actions_on, file_lines, save_actions, typed_actions
 from trailmark.streaming import blacklist, counts
 from trailmark.streaming.tables import CountTable
 
 # the driver tables hold at most four clicks per day, user and ad, and about 130 sessions per day
 THRESHOLD = 3
 SAMPLE_SIZE = 3000
+JOB_SAMPLE = 1500
 SEED = "trail"
 FLOW = [1, 2, 3, 4, 5]
 ARRIVALS = 3
@@ -100,21 +103,80 @@ def session_stats(spark, folder):
     return sessions.session_stats(_all_sessions(spark, folder))
 
 
+def _summary(spark: SparkSession, folder: str, params: TaskParams | None = None) -> DataFrame:
+    actions, users = standin.user_visit_action(spark, folder), standin.user_info(spark, folder)
+    return sessions.session_summary(actions, users, params)
+
+
 @query
 def filtered_session_stats(spark, folder):
-    return sessions.session_stats(_filtered(spark, folder))
+    return sessions.session_stats(_summary(spark, folder, FILTERS))
+
+
+@query
+def session_values(spark, folder):
+    return sessions.session_values(standin.user_visit_action(spark, folder))
 
 
 @query
 def session_details(spark, folder):
     actions = standin.user_visit_action(spark, folder)
-    kept = written(_filtered(spark, folder).select("session_id"), shared_folder(spark), "kept")
+    kept = written(_summary(spark, folder, FILTERS).select("session_id"), shared_folder(spark), "kept")
     return _details(sessions.session_details(actions, kept))
 
 
+@query
+def session_stats_of_saved_log(spark, folder):
+    """From a log saved in the catalogue by date, of the Mondays in a table of dates."""
+    log = f"trailmark_log_{uuid4().hex}"
+    save_actions(standin.user_visit_action(spark, folder), log, f"{shared_folder(spark)}/log")
+    days = spark.table(log).select("session_date").distinct()
+    mondays = written(days.where(F.weekday(F.to_date("session_date")) == 0), shared_folder(spark), "dates")
+    users = standin.user_info(spark, folder)
+    return sessions.session_stats(sessions.session_summary(actions_on(spark.table(log), mondays), users))
+
+
+def _counted(spark: SparkSession, result: DataFrame, metrics: Metrics) -> DataFrame:
+    """Runs a result and returns the counts beside it, one row per name."""
+    result.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(metrics.values().items()), "name string, rows long")
+
+
+@query
+def unmatched_counts(spark, folder):
+    """Sessions, clicks and products that the joins drop, of users, cities and products without every third one."""
+    metrics, by_product = Metrics(), Metrics()
+    log = standin.user_visit_action(spark, folder)
+
+    def part(df: DataFrame, key: str) -> DataFrame:
+        return df.where(F.col(key) % 3 != 0)
+
+    cities = part(standin.city_info(spark, folder), "city_id")
+    users, items = part(standin.user_info(spark, folder), "user_id"), part(standin.product_info(spark, folder), "product_id")
+    per_session = sessions.session_summary(log, users, FILTERS, metrics)
+    per_area = products.area_product_clicks(products.product_clicks(log), cities, by_product)
+    top = Metrics()
+    best = products.area_top_products(log, cities, items, metrics=top)
+    counted = _counted(spark, per_session, metrics).unionByName(_counted(spark, per_area, by_product))
+    return counted.unionByName(_counted(spark, best, top).where("name = 'clicks_of_unknown_products'"))
+
+
+@query
+def session_first_days(spark, folder):
+    """Whether a session started today, yesterday or before, by the clock; the clock moves, the rows do not."""
+    days = _summary(spark, folder).groupBy(F.to_date("start_time").alias("day")).agg(F.count(F.lit(1)).alias("sessions"))
+    is_recent = F.col("day") >= times.yesterday()
+    return days.select(
+        times.format_date(F.col("day")).alias("date"),
+        "sessions",
+        is_recent.alias("recent"),
+        F.date_diff(times.today(), times.yesterday()).alias("step"),
+    )
+
+
 @query
 def sessions_per_hour(spark, folder):
-    return sessions.sessions_per_hour(_all_sessions(spark, folder))
+    return sessions.sessions_per_hour(_summary(spark, folder))
 
 
 @query
@@ -255,7 +317,7 @@ def ad_click_trend(spark, folder):
     return ads.click_trend(ads.minute_clicks(ads.last_minutes(_clicks(spark, folder))))
 
 
-def _arrivals(spark: SparkSession, folder: str, work: str, backwards: bool = False):
+def _arrivals(spark: SparkSession, folder: str, work: str, backwards: bool = False, broken: bool = False):
     """Writes the events' lines in parts of equal numbers of days, and yields after each."""
     day = F.to_date("ts")
     events = standin.events(spark, folder)
@@ -265,7 +327,11 @@ def _arrivals(spark: SparkSession, folder: str, work: str, backwards: bool = Fal
     parts = list(zip(starts, starts[1:]))
     for start, stop in reversed(parts) if backwards else parts:
         part = events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(stop)))
-        standin.ad_log_lines(part, spark, folder).write.mode("append").text(f"{work}/lines")
+        lines = standin.ad_log_lines(part, spark, folder)
+        if broken:
+            errors = part.where("event_type = 'error'")
+            lines = lines.unionByName(errors.select(F.concat(F.lit("broken "), "event_id").alias("value")))
+        lines.write.mode("append").text(f"{work}/lines")
         yield
 
 
@@ -302,6 +368,18 @@ def ad_filtered_stat_stream(spark, folder):
     return stat.current()
 
 
+@query
+def ad_stream_metrics(spark, folder):
+    """Lines, rejects and late clicks of each batch. The latest days arrive first; `error` events leave broken lines."""
+    work = shared_folder(spark)
+    tables = blacklist.BlacklistTables.at(spark, f"{work}/tables")
+    for _ in _arrivals(spark, folder, work, backwards=True, broken=True):
+        blacklist.blacklist_stream(
+            file_lines(spark, f"{work}/lines"), tables, f"{work}/checkpoint", THRESHOLD, blacklist.ALL_AVAILABLE
+        ).awaitTermination()
+    return tables.progress.batches.read()
+
+
 def _click_stream(spark: SparkSession, folder: str) -> DataFrame:
     return ads.parse_ad_log(standin.ad_log_lines(standin.events_stream(spark, folder), spark, folder))
 
@@ -395,10 +473,10 @@ def _text_log(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def action_text_keys(spark, folder):
-    """Times as the text keys of the stored tables and back, and lists of ids in text, of one city's actions."""
+    """Times as the text keys of the stored tables and back, and lists of ids in text."""
     log = typed_actions(_text_log(spark, folder))
     time, ids = F.col("action_time"), F.col("order_category_ids")
-    return log.where(filters.equals(F.col("city_id"), 3)).select(
+    return log.select(
         "event_id",
         times.date_key(time).alias("date_key"),
         times.hour_key(time).alias("hour_key"),
@@ -409,12 +487,38 @@ def action_text_keys(spark, folder):
     )
 
 
+def _session_job(spark: SparkSession, folder: str) -> str:
+    """The job from task JSON, with a date range and times as text; its tables are read back."""
+    out = shared_folder(spark)
+    users = standin.user_info(spark, folder)
+    jobs.session_job(_text_log(spark, folder), users, _task(spark), 7, out, JOB_SAMPLE, SEED)
+    return out
+
+
 @query
 def session_job_stats(spark, folder):
-    """The job from task JSON, with a date range and times as text, read back from its table."""
-    out = shared_folder(spark)
-    jobs.session_job(_text_log(spark, folder), standin.user_info(spark, folder), _task(spark), 7, out)
-    return spark.read.parquet(f"{out}/session_aggr_stat")
+    return spark.read.parquet(f"{_session_job(spark, folder)}/session_aggr_stat")
+
+
+@query
+def session_job_sample(spark, folder):
+    return spark.read.parquet(f"{_session_job(spark, folder)}/session_random_extract")
+
+
+@query
+def session_job_details(spark, folder):
+    """Those of the sampled sessions and of the most active ones, each session once for each of the two."""
+    return spark.read.parquet(f"{_session_job(spark, folder)}/session_detail")
+
+
+@query
+def session_job_categories(spark, folder):
+    return spark.read.parquet(f"{_session_job(spark, folder)}/top10_category")
+
+
+@query
+def session_job_top_sessions(spark, folder):
+    return spark.read.parquet(f"{_session_job(spark, folder)}/top10_category_session")
 
 
 @query

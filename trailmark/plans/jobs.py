@@ -39,8 +39,7 @@ def session_job(
     """
     folder = shared_folder(actions.sparkSession)
     log = task_actions(actions, params)
-    kept = sessions.filter_sessions(sessions.session_aggregate(log, users), params)
-    kept = written(kept, folder, "sessions")
+    kept = written(sessions.session_summary(log, users, params), folder, "sessions")
     mentions = log.select("session_id", *CATEGORY_COLUMNS).where(
         " or ".join(f"{c} is not null" for c in CATEGORY_COLUMNS)
     )
@@ -52,7 +51,7 @@ def session_job(
     store(sessions.session_stats(kept), "session_aggr_stat", schemas.SESSION_AGGR_STAT, sinks.append)
 
     sample = written(sampling.sample_sessions(kept, sample_size, seed), folder, "sample")
-    store(sample, "session_random_extract", schemas.SESSION_RANDOM_EXTRACT, sinks.append)
+    store(sessions.with_lists(sample, log), "session_random_extract", schemas.SESSION_RANDOM_EXTRACT, sinks.append)
     drawn = sampling.sample_details(sample, log)
     store(drawn, "session_detail", schemas.SESSION_DETAIL, sinks.append)
 

@@ -29,6 +29,7 @@ USERS = columns(
 PRODUCTS = columns("product_id long, product_name string, extend_info string")
 CITIES = columns("city_id long, city_name string, area string")
 AD_LOG_REJECTS = columns("value string")
+AD_STREAM_PROGRESS = columns("lines long, rejects long, late long")
 CLICKS = columns("ts timestamp, province string, city string, user_id long, ad_id long")
 
 # outputs

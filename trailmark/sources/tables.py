@@ -29,6 +29,21 @@ def actions_between(actions: DataFrame, start: str, end: str) -> DataFrame:
     return typed_actions(actions.where(F.col("session_date").between(start, end)))
 
 
+def save_actions(actions: DataFrame, name: str, path: str | None = None) -> None:
+    """Adds actions to a table of the session's catalogue (or of the Hive metastore) that is stored by `session_date`,
+    the large dates cut up by adaptive execution. A path makes the table external."""
+    writer = actions.hint("rebalance", "session_date").write.mode("append").partitionBy("session_date")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def actions_on(actions: DataFrame, dates: DataFrame) -> DataFrame:
+    """The action log of the dates (`session_date`) in another table, say the days of a task or a calendar.
+
+    Of a log stored by date, only the folders of these dates are opened: they are known when the scan starts.
+    """
+    return typed_actions(actions.join(dates.select("session_date").distinct(), "session_date", "left_semi"))
+
+
 def task_actions(actions: DataFrame, params: TaskParams) -> DataFrame:
     params.need("start_date", "end_date")
     return actions_between(actions, params.start_date, params.end_date)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trailmark import schemas
@@ -20,6 +21,8 @@ from trailmark.operators.ads import (
     parse_ad_log,
     user_daily_clicks,
 )
+from trailmark.operators.metrics import Metrics
+from trailmark.streaming.progress import Progress
 from trailmark.streaming.tables import BatchTable, CountTable, GrowingSet, Part
 
 USER_BUCKETS = 32
@@ -31,6 +34,7 @@ class BlacklistTables:
     user_clicks: CountTable
     clicks: BatchTable
     rejects: BatchTable
+    progress: Progress
 
     @classmethod
     def at(cls, spark: SparkSession, folder: str) -> "BlacklistTables":
@@ -41,6 +45,7 @@ class BlacklistTables:
             ),
             BatchTable(spark, f"{folder}/ad_clicks", schemas.CLICKS),
             BatchTable(spark, f"{folder}/ad_log_rejects", schemas.AD_LOG_REJECTS),
+            Progress.at(spark, folder),
         )
 
 
@@ -73,6 +78,7 @@ def process_batch(
 ) -> None:
     """Stores the clicks the blacklist lets through and what follows from them; `then` gets the stored clicks."""
     if not tables.clicks.has(batch_id):
+        # of a batch whose clicks are stored already, `clicks` is not looked at:
         # readers of this table may have seen an earlier run's files, so a second run leaves them as they are
         tables.clicks.write(drop_listed(clicks, tables.blacklist.before(batch_id)), batch_id)
     kept = tables.clicks.batch(batch_id)
@@ -100,15 +106,26 @@ def blacklist_stream(
     trigger: dict = EVERY_5_SECONDS,
     then: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Runs the blacklist over a stream of ad log lines (column `value`). Lines that are no clicks are stored too."""
+    """Runs the blacklist over a stream of ad log lines (column `value`). Lines that are no clicks are stored too, and
+    lines, rejects and late clicks are counted while the clicks are stored."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select("value").persist()  # the source is read once
         try:
-            rejects = ad_log_rejects(batch)
-            if not rejects.isEmpty():
-                tables.rejects.write(rejects, batch_id)
-            process_batch(parse_ad_log(batch), batch_id, tables, threshold, then)
+            if tables.clicks.has(batch_id):  # a second run: clicks are there, what follows may not be
+                rejected, clicks = not ad_log_rejects(batch).isEmpty(), parse_ad_log(batch)
+                if tables.progress.batches.read().where(F.col("batch_id") == batch_id).isEmpty():
+                    seen = Metrics()
+                    tables.progress.watched(batch, batch_id, seen).write.format("noop").mode("overwrite").save()
+                    tables.progress.note(batch_id, seen)
+            else:
+                seen = Metrics()
+                clicks = drop_listed(tables.progress.watched(batch, batch_id, seen), tables.blacklist.before(batch_id))
+                tables.clicks.write(clicks, batch_id)
+                rejected = tables.progress.note(batch_id, seen)["rejects"] > 0
+            if rejected:
+                tables.rejects.write(ad_log_rejects(batch), batch_id)
+            process_batch(clicks, batch_id, tables, threshold, then)
         finally:
             batch.unpersist()
 
