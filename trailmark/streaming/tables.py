@@ -133,10 +133,13 @@ class GrowingSet:
 class CountTable:
     """`click_count` per key, the first key being `date`; batches hold what is added to each.
 
-    Rows are stored by date and, with `by`, by a second column below it: a key of the table itself, or with `buckets` a
-    hash of that key in so many buckets. A batch that names the parts it has touched reads those only. Each batch also
-    notes its parts in a small file. After `fold_every` batches all parts noted since the last fold are folded, so that
-    no part stays unfolded for longer, however rarely it is touched.
+    A batch is one folder, whatever its number of dates, with its rows in the order of their parts. After `fold_every`
+    batches what they hold is added to the folds, which are stored by part: by date and, with `by`, by a second column
+    below it, either a key of the table or, with `buckets`, a hash of that key in so many buckets. All parts touched since
+    the last fold are folded, so none waits longer, however rarely it is touched.
+
+    The file FOLDED names the last two folds, and NOTES the parts each batch since then has touched. Both are replaced at
+    once. Whoever names the parts wanted lists and reads the folds of these, and of the batches those that touched them.
     """
 
     spark: SparkSession
@@ -159,88 +162,112 @@ class CountTable:
         stored = StructType(list(self.schema))
         return stored.add(BUCKET, "string") if self.buckets else stored
 
-    def _folders(self, parts: Sequence[Part] | None, batch: str = "*") -> list[str]:
-        if parts is not None and len(parts) <= LISTED:
-            places = ["/".join(f"{c}={v}" for c, v in zip(self.parts, part)) for part in sorted(parts)]
-            return [f"{{{','.join(places)}}}", f"{BATCH}={batch}"]
-        values = [None] * len(self.parts) if parts is None else zip(*parts)
-        return [*map(folder_pattern, self.parts, values), f"{BATCH}={batch}"]
+    def _part_key(self) -> Column:
+        return F.concat_ws("/", *self.parts)
 
-    def _read(self, name: str, parts: Sequence[Part] | None = None, batch: str = "*") -> DataFrame:
-        if parts is not None and not parts:
-            return read_or_empty(self.spark, f"{self.path}/none", self._stored)
-        rows = read_or_empty(self.spark, f"{self.path}/{name}", self._stored, *self._folders(parts, batch))
-        if parts is not None:
-            for column, values in zip(self.parts, zip(*parts)):
-                rows = rows.where(F.col(column).isin(sorted(set(values))))
-            if len(self.parts) > 1 and len(parts) <= LISTED:
-                rows = rows.where(self._part_key().isin(sorted(map("/".join, parts))))
+    def _in_parts(self, rows: DataFrame, parts: Sequence[Part] | None) -> DataFrame:
+        if parts is None:
+            return rows
+        for column, values in zip(self.parts, zip(*parts)):
+            rows = rows.where(F.col(column).isin(sorted(set(values))))
+        if len(self.parts) > 1 and len(parts) <= LISTED:
+            rows = rows.where(self._part_key().isin(sorted(map("/".join, parts))))
         return rows
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> list[Part]:
-        """Returns the parts that have rows, which are noticed while the rows are written."""
+    def _nothing(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.path}/none", self._stored)
+
+    # batches
+
+    def write(self, df: DataFrame, batch_id: int) -> list[Part]:
+        """Stores a batch. Returns the parts it touched, which are noticed while its rows are written."""
         rows = df.select(*self.schema.names)
         if self.buckets:
             rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(self.by), F.lit(self.buckets)).cast("string"))
         seen = Observation()
-        rows = rows.observe(seen, F.collect_set(self._part_key()).alias("parts"))
-        # adaptive execution cuts a large part into several tasks
-        rows = rows.hint("rebalance", *self.parts).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        overwrite_partitions(rows, f"{self.path}/{name}", [*self.parts, BATCH])
-        return [tuple(key.split("/")) for key in sorted(seen.get["parts"])]
-
-    def _part_key(self) -> Column:
-        return F.concat_ws("/", *self.parts)
-
-    def write(self, df: DataFrame, batch_id: int) -> list[Part]:
-        """Stores a batch. Returns the parts it touched."""
-        touched = self._write(df, "batches", batch_id)
-        files.replace_text(self.spark, f"{self.path}/touched/{batch_id}", "\n".join(map("/".join, touched)))
+        rows = rows.observe(seen, F.collect_set(self._part_key()).alias("parts")).hint("rebalance", *self.parts)
+        rows = rows.sortWithinPartitions(*self.parts)
+        rows.write.mode("overwrite").parquet(f"{self.path}/batches/{BATCH}={batch_id}")
+        touched = [tuple(key.split("/")) for key in sorted(seen.get["parts"])]
+        self._note({**self._notes(), batch_id: touched})
         if batch_id > self.folded() + self.fold_every:
             self.fold(batch_id - 1)
         return touched
 
+    def batch(self, batch_id: int, parts: Sequence[Part] | None = None) -> DataFrame:
+        return self._in_parts(self._batches([batch_id]), parts).select(*self.schema.names)
+
+    def _batches(self, numbers: Iterable[int]) -> DataFrame:
+        numbers = sorted(numbers)
+        if not numbers:
+            return self._nothing()
+        named = f"{BATCH}={{{','.join(map(str, numbers))}}}"
+        return read_or_empty(self.spark, f"{self.path}/batches", self._stored, named)
+
+    def _notes(self) -> dict[int, list[Part]]:
+        """The parts each batch has touched, of the batches since the fold before the last one."""
+        text = files.read_text(self.spark, f"{self.path}/NOTES") or ""
+        out = {}
+        for line in filter(None, text.split("\n")):
+            number, *keys = line.split("\t")
+            out[int(number)] = [tuple(key.split("/")) for key in keys]
+        return out
+
+    def _note(self, notes: dict[int, list[Part]]) -> None:
+        lines = ["\t".join([str(n), *map("/".join, parts)]) for n, parts in sorted(notes.items())]
+        files.replace_text(self.spark, f"{self.path}/NOTES", "\n".join(lines))
+
+    # folds
+
+    def _folds(self) -> list[int]:
+        return list(map(int, (files.read_text(self.spark, f"{self.path}/FOLDED") or "").split()))
+
     def folded(self) -> int:
         """The batch up to which the last fold went, -1 before the first."""
-        text = files.read_text(self.spark, f"{self.path}/FOLDED")
-        return -1 if text is None else int(text)
+        return max(self._folds(), default=-1)
 
-    def batch(self, batch_id: int, parts: Sequence[Part] | None = None) -> DataFrame:
-        return self._read("batches", parts, str(batch_id)).select(*self.schema.names)
+    def _folders(self, parts: Sequence[Part] | None) -> list[str]:
+        if parts is not None and len(parts) <= LISTED:
+            places = ["/".join(f"{c}={v}" for c, v in zip(self.parts, part)) for part in sorted(parts)]
+            return [f"{{{','.join(places)}}}", f"{BATCH}=*"]
+        values = [None] * len(self.parts) if parts is None else zip(*parts)
+        return [*map(folder_pattern, self.parts, values), f"{BATCH}=*"]
 
-    def _numbers(self, name: str, parts: Sequence[Part] | None) -> dict[Part, list[int]]:
-        """The batches or folds stored of each part, from the names of the folders."""
-        if parts is not None and not parts:
-            return {}
-        text = files.listed(self.spark, "/".join([self.path, name, *self._folders(parts)]))
+    def _numbers(self, parts: Sequence[Part] | None) -> dict[Part, list[int]]:
+        """The folds stored of each part, from the names of the folders."""
+        text = files.listed(self.spark, "/".join([self.path, "folds", *self._folders(parts)]))
         columns = "".join(rf"/{c}=([^/]*?)" for c in self.parts)
-        wanted = None if parts is None else set(parts)
         out: dict[Part, list[int]] = {}
         for *part, number in re.findall(rf"{columns}/{BATCH}=(\d+)(?=, |\])", text):
-            if wanted is None or tuple(part) in wanted:
-                out.setdefault(tuple(part), []).append(int(number))
+            out.setdefault(tuple(part), []).append(int(number))
         return out
 
-    def _rows(self, upto: int | None, parts: Sequence[Part] | None, base: int | None) -> DataFrame:
-        """Rows up to batch `upto`, starting from the newest fold of each part up to `base`.
-
-        Which folder counts is a condition on partition columns, so that the others are not opened.
-        """
-        folds = self._numbers("folds", parts)
-        newest = {part: max((n for n in numbers if base is None or n <= base), default=-1) for part, numbers in folds.items()}
+    def _folded_rows(self, base: int, parts: Sequence[Part] | None) -> DataFrame:
+        """The newest fold up to `base` of each part. Which folder counts is a condition on partition columns, so that
+        the others are not opened."""
+        newest = {part: max((n for n in ns if n <= base), default=-1) for part, ns in self._numbers(parts).items()}
         known = ",".join(f"{'/'.join(part)}={n}" for part, n in newest.items() if n >= 0)
-        rows = self._read("batches", parts)
-        if known:
-            names = F.str_to_map(F.lit(known), F.lit(","), F.lit("="))
-            fold = F.coalesce(F.try_element_at(names, self._part_key()).cast("long"), F.lit(-1))
-            rows = self._read("folds", parts).where(F.col(BATCH) == fold).unionByName(rows.where(F.col(BATCH) > fold))
-        if upto is not None:
-            rows = rows.where(F.col(BATCH) <= upto)
-        return rows
+        if not known:
+            return self._nothing()
+        rows = read_or_empty(self.spark, f"{self.path}/folds", self._stored, *self._folders(parts))
+        names = F.str_to_map(F.lit(known), F.lit(","), F.lit("="))
+        fold = F.coalesce(F.try_element_at(names, self._part_key()).cast("long"), F.lit(-1))
+        return self._in_parts(rows, parts).where(F.col(BATCH) == fold)
 
     def rows(self, upto: int | None = None, parts: Sequence[Part] | None = None) -> DataFrame:
-        """Folded rows and later batches, up to batch `upto`, with the batch."""
-        return self._rows(upto, parts, upto).select(*self.schema.names, BATCH)
+        """Folded rows and later batches, up to batch `upto`, with the batch; of the given parts only."""
+        names = [*self.schema.names, BATCH]
+        if parts is not None and not parts:
+            return self._nothing().select(*names)
+        base = max((n for n in self._folds() if upto is None or n <= upto), default=-1)
+        wanted = None if parts is None else set(parts)
+        later = [
+            n
+            for n, touched in self._notes().items()
+            if n > base and (upto is None or n <= upto) and (wanted is None or wanted.intersection(touched))
+        ]
+        tail = self._in_parts(self._batches(later), parts)
+        return self._folded_rows(base, parts).select(*names).unionByName(tail.select(*names))
 
     def combine(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.keys).agg(F.sum("click_count").alias("click_count"))
@@ -248,27 +275,26 @@ class CountTable:
     def current(self, upto: int | None = None, parts: Sequence[Part] | None = None) -> DataFrame:
         return self.combine(self.rows(upto, parts))
 
-    def _noted(self, upto: int) -> dict[int, list[Part]]:
-        """The parts touched by each batch up to `upto` since the last fold."""
-        text = files.listed(self.spark, f"{self.path}/touched/*")
-        numbers = [int(n) for n in re.findall(r"/(\d+)(?=, |\])", text)]
-        noted = {n: files.read_text(self.spark, f"{self.path}/touched/{n}") or "" for n in numbers if n <= upto}
-        return {n: [tuple(key.split("/")) for key in x.split("\n") if key] for n, x in noted.items()}
-
     def fold(self, upto: int) -> None:
         """Stores the state as of batch `upto`, which the stream must have finished, of all parts touched since the last
-        fold. Of these parts, what their fold before this one had replaced is removed."""
-        noted = self._noted(upto)
-        parts = sorted(set().union(*noted.values()))
+        fold. What that fold had replaced is removed."""
+        last = self.folded()
+        if upto <= last:
+            return
+        notes = self._notes()
+        parts = sorted(set().union(*(touched for n, touched in notes.items() if last < n <= upto)))
         if parts:
-            # a fold that is run again starts from the one before it, as its own rows are being replaced
-            self._write(self.combine(self._rows(upto, parts, upto - 1)), "folds", upto)
-        files.replace_text(self.spark, f"{self.path}/FOLDED", str(upto))
-        folds, batches = self._numbers("folds", parts), self._numbers("batches", parts)
-        gone = []
-        for part, numbers in folds.items():
-            before = max((n for n in numbers if n < upto), default=-1)
+            state = self.current(upto, parts)
+            if self.buckets:
+                state = state.withColumn(BUCKET, F.pmod(F.xxhash64(self.by), F.lit(self.buckets)).cast("string"))
+            # adaptive execution cuts a large part into several tasks
+            state = state.hint("rebalance", *self.parts).withColumn(BATCH, F.lit(upto).cast("long"))
+            overwrite_partitions(state, f"{self.path}/folds", [*self.parts, BATCH])
+        files.replace_text(self.spark, f"{self.path}/FOLDED", f"{last} {upto}" if last >= 0 else str(upto))
+        gone = [f"batches/{BATCH}={n}" for n in notes if n <= last]
+        for part, numbers in (self._numbers(parts) if parts else {}).items():
+            before = max((n for n in numbers if n <= last), default=-1)
             place = "/".join(f"{c}={v}" for c, v in zip(self.parts, part))
-            gone += [f"batches/{place}/{BATCH}={n}" for n in batches.get(part, ()) if n <= before]
             gone += [f"folds/{place}/{BATCH}={n}" for n in numbers if n < before]
-        files.remove(self.spark, [f"{self.path}/{x}" for x in [*gone, *(f"touched/{n}" for n in noted)]])
+        files.remove(self.spark, [f"{self.path}/{x}" for x in gone])
+        self._note({n: touched for n, touched in notes.items() if n > last})
