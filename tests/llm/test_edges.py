@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailmark.llm import bpe, decontaminate, html, labelled_pages, langid, lm_score, ngram_join, quality, secrets
-from trailmark.llm import substring_dedup, token_shards
+from trailmark.llm import alignment, lexical_search, simhash_join, substring_dedup, token_shards
 from trailmark.llm.queries import tokenizer_path
 
 VOCABULARY = tokenizer_path("word_bpe_49k.json")
@@ -36,6 +36,8 @@ PER_ROW = {
     "langid": identified,
     "quality": quality.quality_rules,
     "secrets": secrets.secret_spans,
+    "simhash": simhash_join.simhash_components,
+    "alignment": lambda d: alignment.align_tokenizers(d, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")),
 }
 SAME_COLUMNS = {
     "keep_good": quality.keep_good,
@@ -77,6 +79,13 @@ def test_leaks_edges(edge_docs, docs_of, spark):
     assert [r["doc_id"] for r in decontaminate.without_leaks(docs_of([(None, text), (1, "y")]), bench(spark)).collect()] == [1]
 
 
+def test_search_edges(edge_docs, spark):
+    items = spark.createDataFrame([(1, "word"), (None, "WORD x"), (2, None), (3, "")], "item_id long, text string")
+    got = sorted((r["item_id"] or 0, r["rank"], r["doc_id"]) for r in lexical_search.search(edge_docs, items).collect())
+    assert [x for x in got if x[0] == 1] == [(1, k + 1, 3) for k in range(3)]
+    assert {x[0] for x in got} == {0, 1}
+
+
 def test_pages_edges(spark):
     model = html.fit(labelled_pages.labelled_pages(60), rounds=20)
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (None, None, "<p>a", None), (4, "u", "<" * 10_000, "x"), (5, "u", "<div>" * 3000, "x")]
