@@ -120,3 +120,52 @@ def test_every_table_may_be_a_folder_of_files(spark, sf_dir, tmp_path):
     for name in ("ad_stat_stream", "ad_province_top3_stream", "ad_click_trend_stream", "session_stats", "ad_stat"):
         one, many = (QUERIES[name](spark, folder) for folder in (sf_dir, str(tmp_path)))
         assert sorted(map(tuple, one.collect())) == sorted(tuple(r) for r in many.select(one.columns).collect())
+
+
+def test_saved_log_is_pruned_by_a_table_of_dates(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from trailmark.sources.tables import actions_between, actions_on, save_actions
+
+    day = "cast(date_add(date'2024-01-01', int(id % 9)) as string) session_date"
+    log = spark.range(900).selectExpr("id", day, "timestamp_seconds(1704067200 + id) action_time", "'s' || id session_id")
+    save_actions(log, "saved_log", str(tmp_path / "log"))
+    save_actions(log.limit(1), "saved_log", str(tmp_path / "log"))  # adds to it
+    try:
+        stored = spark.table("saved_log")
+        text = plan(actions_between(stored, "2024-01-02", "2024-01-03"))
+        assert re.search(r"PartitionFilters: \[[^\]]*session_date[^\]]*2024-01-02", text)
+        dates = spark.createDataFrame([("2024-01-04", 1), ("2024-01-04", 2), ("2023-01-01", 1)], "session_date string, n int")
+        dates.write.parquet(str(tmp_path / "dates"))
+        wanted = spark.read.parquet(str(tmp_path / "dates")).where(F.col("n") > 0)
+        some = actions_on(stored, wanted)
+        assert "dynamicpruning" in plan(some)
+        assert some.count() == 100 and stored.count() == 901
+        assert "Exchange hashpartitioning" not in plan(actions_between(stored, "2024-01-02", "2024-01-03"))
+    finally:
+        spark.sql("DROP TABLE saved_log")
+
+
+def test_counts_beside_a_result_take_no_other_scan(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from trailmark.operators.metrics import Metrics
+
+    log, people = standin.user_visit_action(spark, sf_dir), standin.user_info(spark, sf_dir)
+    some, metrics = people.where(F.col("user_id") % 3 != 0), Metrics()
+    counted = sessions.session_summary(log, some, None, metrics)
+    text = plan(counted)
+    assert text.count("events.parquet") == 1 and "CollectMetrics" in text
+    every = sessions.session_summary(log, people).count()
+    assert metrics.values() == {"unmatched_sessions": every - counted.count()}
+    cities = standin.city_info(spark, sf_dir).where(F.col("city_id") > 4)
+    clicks, metrics = products.product_clicks(log), Metrics()
+    plain = products.area_product_clicks(clicks, cities)
+    assert sorted(map(tuple, products.area_product_clicks(clicks, cities, metrics).collect())) == sorted(map(tuple, plain.collect()))
+    assert metrics.values() == {"clicks_in_unknown_cities": clicks.where("city_id <= 4").count()}
+    # nothing is left of a result: its rows were all unmatched
+    lost, nobody = Metrics(), people.where(F.col("user_id") < 0)
+    assert sessions.session_stats(sessions.session_summary(log, nobody, None, lost)).first().session_count == 0
+    assert lost.values() == {"unmatched_sessions": log.select("session_id").distinct().count()}
+    with pytest.raises(ValueError, match="counted already"):
+        metrics.count(log, "clicks_in_unknown_cities", F.count("*"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fixtures import START, actions, pairs, users
 from trailmark.functions import STEP_BUCKETS, VISIT_BUCKETS
 from trailmark.operators import sampling, sessions
+from trailmark.operators.metrics import Metrics
 from trailmark.params import TaskParams
 
 
@@ -207,3 +208,48 @@ def test_aggregate_and_stats_against_plain_python(spark):
         for name, low, high in buckets:
             k = sum(1 for v in values if v >= low and (high is None or v < high))
             assert stats[f"{column}_{name}_ratio"] == (200 * k + n) // (2 * n) / 100
+
+
+@pytest.mark.parametrize("params", [{}, {"keywords": "kw1"}, {"categoryIds": "3,9"}, {"keywords": "kw1,kw2", "categoryIds": "3"}, {"startAge": 21, "endAge": 40, "keywords": "kw2"}, {"sex": "male"}, {"keywords": ""}, {"categoryIds": ""}])
+def test_summary_passes_what_the_lists_pass(spark, params):
+    r = random.Random(4)
+    words, cats = [None, "", "kw1", "kw2", "kw11"], [None, 3, 9, 33]
+    log = [
+        {"session_id": f"s{r.randrange(12)}", "user_id": 1, "at": r.randrange(99), "search_keyword": r.choice(words), "click_category_id": r.choice(cats)}
+        for _ in range(40)
+    ]
+    log = [dict(x, user_id=1 + int(x["session_id"][1:]) % 4) for x in log]
+    params = TaskParams.parse(params)
+    listed = sessions.filter_sessions(sessions.session_aggregate(actions(spark, *log), users(spark, *PEOPLE)), params)
+    for metrics in (None, Metrics()):
+        summary = sessions.session_summary(actions(spark, *log), users(spark, *PEOPLE), params, metrics)
+        assert pairs(summary, *summary.columns) == pairs(listed, *summary.columns)
+    sessions_of = {x["session_id"] for x in log if x["user_id"] == 4}
+    assert metrics.values() == {"unmatched_sessions": len(sessions_of)}
+
+
+def test_values_and_lists_say_the_same(spark):
+    log = actions(spark, {"click_category_id": 11, "search_keyword": "b"}, {"click_category_id": 11}, {"search_keyword": "a"}, {"search_keyword": ""}, {"session_id": "t"})
+    values = sessions.session_values(log)
+    assert pairs(values, "*") == [("s", "category", "11"), ("s", "keyword", "a"), ("s", "keyword", "b")]
+    listed = sessions.with_lists(sessions.session_summary(log, users(spark)), log)
+    assert pairs(listed, "session_id", "search_keywords", "click_category_ids") == [("s", ["a", "b"], [11]), ("t", [], [])]
+
+
+def test_a_session_of_very_many_words_takes_one_row(spark):
+    """Two million different words in one session; nothing that grows with them is kept."""
+    many = spark.range(0, 2_000_000, 1, 8).select(
+        F.lit("bot").alias("session_id"),
+        F.lit(1).cast("long").alias("user_id"),
+        F.concat(F.lit("w"), "id").alias("search_keyword"),
+        F.col("id").alias("click_category_id"),
+        F.timestamp_seconds(F.col("id") % 3600).alias("action_time"),
+    )
+    params = TaskParams.parse({"keywords": "none,w1999999", "categoryIds": "77"})
+    summary = sessions.session_summary(many, users(spark), params)
+    text = summary._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in text and "ObjectHashAggregate" not in text and "SortAggregate" not in text
+    row = summary.first()
+    assert (row.session_id, row.step_length, row.visit_length) == ("bot", 2_000_000, 3599)
+    assert sessions.session_summary(many, users(spark), TaskParams.parse({"keywords": "none"})).isEmpty()
+    assert sessions.session_values(many.limit(1000)).count() == 2000

@@ -352,3 +352,39 @@ def test_table_that_does_not_exist_yet_is_empty(spark, tmp_path):
     assert count.current().isEmpty()
     with pytest.raises(Exception, match="clash"):
         table.write(spark.range(1).select(F.raise_error(F.lit("clash")).cast("long").alias("user_id")), 0)
+
+
+def test_lines_rejects_and_late_clicks_are_counted(spark, tmp_path):
+    tables = B.BlacklistTables.at(spark, str(tmp_path / "tables"))
+    batches = [rows(0, 1, 1, 2), [], rows(0, 2, 1, 2, start=61) + rows(0, 3, 1, 1, start=1), rows(0, 4, 1, 1) + rows(0, 5, 1, 1, start=2)]
+    for i, batch in enumerate(batches):
+        put(tmp_path / "in", f"{i}.txt", batch)
+        (tmp_path / "in" / f"junk{i}.txt").write_text("no click\n" * i)
+        B.blacklist_stream(
+            file_lines(spark, str(tmp_path / "in")), tables, str(tmp_path / "cp"), 3, B.ALL_AVAILABLE
+        ).awaitTermination()
+    want = [(0, 2, 0, 0), (1, 1, 1, 0), (2, 5, 2, 0), (3, 5, 3, 1)]
+    seen = tables.progress.batches
+    assert pairs(seen.read(), "batch_id", "lines", "rejects", "late") == want
+    # a batch that runs again, as after a failure between its clicks and its counts
+    assert tables.progress.newest_before(3) == tables.progress.newest_before(4)
+    assert tables.progress.newest_before(5) is not None
+    assert tables.rejects.read().count() == sum(x[2] for x in want)
+    assert tables.clicks.read().count() == sum(len(b) for b in batches)
+
+
+def test_stream_by_the_clock(spark, tmp_path):
+    """The trigger of a running job: batches start every so often until it is stopped."""
+    tables = AdTables.at(spark, str(tmp_path / "tables"))
+    put(tmp_path / "in", "0.txt", BATCHES[0])
+    query = ad_job(file_lines(spark, str(tmp_path / "in")), tables, str(tmp_path / "cp"), 3, {"processingTime": "1 seconds"})
+    try:
+        for n, batch in enumerate(BATCHES[1:], 2):
+            query.processAllAvailable()
+            assert tables.blacklist.clicks.read().select("batch_id").distinct().count() == n - 1
+            put(tmp_path / "in", f"{n}.txt", batch)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    check(tables.blacklist)
+    assert B.EVERY_5_SECONDS == {"processingTime": "5 seconds"}

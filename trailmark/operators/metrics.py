@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
+from typing import Any
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def observed(seen: Observation) -> dict[str, Any] | None:
+    """What an observation has seen; None if adaptive execution has replaced that part of the plan, which it does where
+    no rows are left."""
+    try:
+        return seen.get
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):
+            raise
+        return None
+
+
 class Metrics:
     """Named counts of one result. They are known once an action on the result has finished; each name counts once.
 
-    A result that is computed several times is counted in its first action.
+    A result that is computed several times is counted in its first action. If nothing is left of a result, what it was
+    made from may have to be counted once more.
     """
 
     def __init__(self) -> None:
-        self._seen: dict[str, Observation] = {}
+        self._seen: dict[str, tuple[Observation, DataFrame, Column]] = {}
 
     def count(self, df: DataFrame, name: str, counted: Column) -> DataFrame:
         """`df` with a count beside it; `counted` is an aggregate over its rows."""
         if name in self._seen:
             raise ValueError(f"{name} is counted already")
-        self._seen[name] = Observation()
-        return df.observe(self._seen[name], counted.alias(name))
+        self._seen[name] = Observation(), df, counted.alias(name)
+        return df.observe(self._seen[name][0], counted.alias(name))
 
     def values(self) -> dict[str, int]:
         """Waits for the first action. No rows count as 0."""
-        return {name: seen.get[name] or 0 for name, seen in self._seen.items()}
+        out = {}
+        for name, (seen, df, counted) in self._seen.items():
+            found = observed(seen)
+            out[name] = (df.agg(counted).first()[0] if found is None else found[name]) or 0
+        return out
 
 
 def inner_join(

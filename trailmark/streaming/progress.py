@@ -59,7 +59,8 @@ class Progress:
         newest, before = values.pop("newest"), self.newest_before(batch_id)
         seen = [x for x in (newest or None, before) if x is not None]
         text = f"{batch_id} {'none' if before is None else before} {max(seen) if seen else 'none'}"
-        row = self.batches.spark.createDataFrame([tuple(values[c] for c in schemas.AD_STREAM_PROGRESS.names)], schemas.AD_STREAM_PROGRESS)
+        schema = schemas.AD_STREAM_PROGRESS
+        row = self.batches.spark.createDataFrame([tuple(values[c] for c in schema.names)], schema)
         self.batches.write(row, batch_id)
         files.replace_text(self.batches.spark, self._newest, text)
         return values

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from trailmark.operators.metrics import observed
 from trailmark.sinks import overwrite_partitions
 from trailmark.streaming import files
 
@@ -188,7 +189,8 @@ class CountTable:
         rows = rows.observe(seen, F.collect_set(self._part_key()).alias("parts")).hint("rebalance", *self.parts)
         rows = rows.sortWithinPartitions(*self.parts)
         rows.write.mode("overwrite").parquet(f"{self.path}/batches/{BATCH}={batch_id}")
-        touched = [tuple(key.split("/")) for key in sorted(seen.get["parts"])]
+        found = observed(seen)
+        touched = [tuple(key.split("/")) for key in sorted(found["parts"] if found else ())]
         self._note({**self._notes(), batch_id: touched})
         if batch_id > self.folded() + self.fold_every:
             self.fold(batch_id - 1)
