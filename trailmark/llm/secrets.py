@@ -8,6 +8,8 @@ the character that leaves and of the one that enters. Limits depend on the chara
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from math import log2
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -30,19 +32,21 @@ class CharClass(NamedTuple):
 
 
 WINDOW = 20
-CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+# words of sample keys; a candidate ends before such a word, and the next one begins after it
+SAMPLES = "(?i:example|sample|placeholder|xxxx)"
+CANDIDATE = f"{SAMPLES}|(?:(?!{SAMPLES})[A-Za-z0-9+/_=-]){{{WINDOW},}}+"
 # the first class that fits counts; letters alone and digits alone are no candidates
 CLASSES = (
     CharClass(r"^[0-9a-fA-F]+$", 3.0),
     CharClass(r"^[A-Za-z0-9]+$", 3.7),
     CharClass(r"^[A-Za-z0-9+/_=-]+$", 3.9),
 )
-# candidates that are no secrets: identifiers of the 8-4-4-4-12 form, words joined by signs, dates, and sample keys
+# candidates that are no secrets: identifiers of the 8-4-4-4-12 form, words joined by signs, dates, and rows of signs
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[A-Za-z]*([-_/=+]+[A-Za-z]*)*[-_/=+]*[0-9]{0,4}$",
+    r"^[A-Za-z_/=+-]*+[0-9]{0,4}$",
     r"^[0-9_/=+-]+$",
-    r"(?i)example|sample|placeholder|xxxx|0123456789|1234567890|abcdefghij",
+    r"(?i)0123456789|1234567890|abcdefghij",
 )
 
 _SPANS = "array<struct<start:int,stop:int,hit:string>>"
@@ -85,51 +89,77 @@ def matches(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
 
 
-def _weight(n: Column) -> Column:
-    return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _count(window: Column, char: Column) -> Column:
     return F.char_length(window) - F.char_length(F.replace(window, char, F.lit("")))
 
 
+def _weight(n: int) -> float:
+    return n * log2(n) if n else 0.0
+
+
 def window_limits(text: Column, limit: Column, width: int = WINDOW) -> Column:
-    """Start of the first and stop of the last window with at least `limit` bits per character; null if there is none."""
-    bits = F.log2(F.lit(float(width)))
+    """Start of the first and stop of the last window with at least `limit` bits per character; null if there is none.
+
+    Reaching a character takes time in proportion to its place, so long strings are given in blocks.
+    """
     # the entropy of a window of w characters is log2(w) - sum(n * log2(n)) / w
-    most = (bits - limit) * width + 1e-9
+    most = (F.lit(log2(width)) - limit) * width + 1e-9
     first = F.substring(text, 1, width)
+    # what a character's count of n adds to the sum when it becomes n + 1
+    gains = F.array(*[F.lit(_weight(n + 1) - _weight(n)) for n in range(width + 1)])
+    weights = F.array(*[F.lit(_weight(n)) for n in range(width + 1)])
     total = F.aggregate(
-        F.array_distinct(F.split(first, "")), F.lit(0.0), lambda acc, c: acc + _weight(_count(first, c))
+        F.array_distinct(F.split(first, "")), F.lit(0.0), lambda acc, c: acc + F.get(weights, _count(first, c))
     )
     none = F.lit(None).cast("int")
-    start = F.struct(
-        total.alias("sum"),
-        F.when(total <= most, F.lit(0)).otherwise(none).alias("start"),
-        F.when(total <= most, F.lit(width)).otherwise(none).alias("stop"),
-    )
+
+    def started(total: Column) -> Column:
+        hit = (F.char_length(text) >= width) & (total <= most)
+        return F.struct(
+            total.alias("sum"),
+            F.when(hit, F.lit(0)).otherwise(none).alias("start"),
+            F.when(hit, F.lit(width)).otherwise(none).alias("stop"),
+        )
 
     def step(acc: Column, i: Column) -> Column:
         """The window moves from i - 1 to i."""
         leaves, enters = F.substr(text, i, F.lit(1)), F.substr(text, i + width, F.lit(1))
         rest = F.substr(text, i + 1, F.lit(width - 1))
-        n_out, n_in = _count(rest, leaves), _count(rest, enters)
-        now = acc["sum"] - _weight(n_out + 1) + _weight(n_out) + _weight(n_in + 1) - _weight(n_in)
-        hit = now <= most
-        return F.struct(
-            now.alias("sum"),
-            F.when(hit, F.coalesce(acc["start"], i)).otherwise(acc["start"]).alias("start"),
-            F.when(hit, i + width).otherwise(acc["stop"]).alias("stop"),
-        )
+        now = acc["sum"] - F.get(gains, _count(rest, leaves)) + F.get(gains, _count(rest, enters))
+
+        def moved(now: Column) -> Column:
+            hit = now <= most
+            return F.struct(
+                now.alias("sum"),
+                F.when(hit, F.coalesce(acc["start"], i)).otherwise(acc["start"]).alias("start"),
+                F.when(hit, i + width).otherwise(acc["stop"]).alias("stop"),
+            )
+
+        return _let(now, moved)
 
     moves = F.when(F.char_length(text) > width, F.sequence(F.lit(1), F.char_length(text) - width)).otherwise(
         F.array().cast("array<int>")
     )
-    return F.aggregate(moves, start, step, lambda acc: F.struct(acc["start"], acc["stop"]))
+    return F.aggregate(moves, _let(total, started), step, lambda acc: F.struct(acc["start"], acc["stop"]))
+
+
+def _in_blocks(hit: Column, width: int = WINDOW) -> Column:
+    """The string cut into blocks of _BLOCK characters, each followed by what the windows that start in it reach into."""
+    parts = F.regexp_extract_all(hit, F.lit(f".{{1,{_BLOCK}}}"), F.lit(0))
+    after = F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1)))
+    return F.zip_with(parts, after, lambda p, q: F.concat(p, F.coalesce(F.substring(q, 1, width - 1), F.lit(""))))
 
 
 def entropy_spans(candidates: Column) -> Column:
-    """Of each candidate that is not on the allow list, the part covered by windows of high entropy."""
+    """Of each candidate that is not on the allow list, the part covered by windows of high entropy.
+
+    Takes time in proportion to the length of a candidate: its class is found once, and it is scanned in blocks.
+    """
 
     def class_limit(hit: Column) -> Column:
         out = F.lit(99.0)
@@ -138,18 +168,33 @@ def entropy_spans(candidates: Column) -> Column:
         return out
 
     def suspicious(x: Column) -> Column:
-        ok = x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]")
+        ok = (F.char_length(x["hit"]) >= WINDOW) & x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]")
         for p in ALLOWED:
             ok = ok & ~x["hit"].rlike(p)
         return ok
 
+    def limited(x: Column) -> Column:
+        return F.struct(x["start"].alias("start"), x["hit"].alias("hit"), class_limit(x["hit"]).alias("limit"))
+
     def located(x: Column) -> Column:
-        inner = window_limits(x["hit"], class_limit(x["hit"]))
-        return F.struct(
-            (x["start"] + inner["start"]).alias("start"), (x["start"] + inner["stop"]).alias("stop"), x["hit"]
+        none = F.lit(None).cast("int")
+        inner = F.transform(_in_blocks(x["hit"]), lambda block: window_limits(block, x["limit"]))
+        placed = F.transform(
+            inner, lambda w, i: F.struct((w["start"] + i * _BLOCK).alias("start"), (w["stop"] + i * _BLOCK).alias("stop"))
+        )
+        return F.aggregate(
+            placed,
+            F.struct(none.alias("start"), none.alias("stop")),
+            lambda acc, w: F.struct(
+                F.least(acc["start"], w["start"]).alias("start"), F.greatest(acc["stop"], w["stop"]).alias("stop")
+            ),
+            lambda acc: F.struct(
+                (x["start"] + acc["start"]).alias("start"), (x["start"] + acc["stop"]).alias("stop"), x["hit"].alias("hit")
+            ),
         )
 
-    return F.filter(F.transform(F.filter(candidates, suspicious), located), lambda x: x["start"].isNotNull())
+    scanned = F.transform(F.transform(F.filter(candidates, suspicious), limited), located)
+    return F.filter(scanned, lambda x: x["start"].isNotNull())
 
 
 def _found(docs: DataFrame) -> DataFrame:
