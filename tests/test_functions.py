@@ -89,10 +89,11 @@ def test_sql_functions(spark):
     got = spark.sql(
         """
         SELECT listagg(DISTINCT place, ',') WITHIN GROUP (ORDER BY place) AS places,
+          group_concat_distinct(collect_set(place), ',') AS same, group_concat_distinct(collect_list(place), '|') AS bars,
           count_if(status = '0') AS own
         FROM (
           SELECT concat_long_string(CAST(id AS BIGINT), name, ':') AS place,
             json_field(info, 'product_status') AS status
           FROM sql_rows)"""
     ).first()
-    assert (got.places, got.own) == ("11:a,1:a", 1)
+    assert (got.places, got.same, got.bars, got.own) == ("11:a,1:a", "11:a,1:a", "11:a|1:a", 1)
