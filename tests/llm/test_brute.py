@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -189,6 +190,22 @@ def test_shards_hold_all_tokens_in_permuted_order(docs_of, spark, tmp_path):
     assert all((rows[s]["doc_id"], rows[s]["place"]) == places[a] for s, a in zip(order, at))
     later = token_shards.read_shards(spark, path, 27, 32, 20)
     assert sorted(r["slot"] for r in later.collect()) == list(range(27, n))
+    # only the files that hold these slots are opened
+    opened = {int(re.search(r"/part-(\d+)", f)[1]) for f in later.inputFiles()}
+    assert opened == set(range(1, -(-n // 20)))
+    assert token_shards.read_shards(spark, path, n + 40, 32, 20).collect() == []
+
+
+def test_words_of_equal_polynomials_get_their_own_ids(docs_of, spark, tmp_path):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    path = f"file://{tmp_path}/shards"
+    token_shards.write_shards(docs_of([f"{word} {other}"]).coalesce(1), VOCABULARY, path, length=4096, per_shard=20)
+    ids = token_shards.read_shards(spark, path, 0, 4096, 20).first()["ids"]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    assert ids[:-1] == tokenizer.encode(f"{word} {other}", add_special_tokens=False).ids
 
 
 # --- secrets
@@ -239,6 +256,43 @@ def test_entropy_windows(docs_of, spark):
     assert [r["n_entropy"] for r in sorted(rows)] == [0] * len(allowed) + [1] * 5
 
 
+@pytest.mark.parametrize("size", [20, 255, 256, 257, 275, 276, 513, 2000])
+def test_entropy_over_blocks(docs_of, size):
+    """A long candidate against one window after the other; low stretches lie across the blocks' edges."""
+    r = random.Random(size)
+    chars = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    texts = []
+    for _ in range(6):
+        key = [r.choice(chars) for _ in range(size)]
+        low = r.randrange(size)
+        key[:low] = "a1" * (low // 2) + "a" * (low % 2)
+        texts.append("x " + "".join(key) + " y")
+    for row in secrets.secret_spans(docs_of(texts)).collect():
+        key = texts[row["doc_id"]][2:-2]
+        limit = 3.0 if re.fullmatch("[0-9a-fA-F]+", key) else 3.7
+        hits = [i for i in range(size - 19) if entropy(key[i : i + 20]) >= limit - 1e-9]
+        letters, digits = re.search("[A-Za-z]", key), re.search("[0-9]", key)
+        want = [f"entropy:{hits[0] + 2}:{hits[-1] + 22}"] if hits and letters and digits else []
+        assert [x for x in row["spans"].split(",") if x.startswith("entropy")] == want
+
+
+def test_sample_words_silence_themselves_only(docs_of, spark):
+    key = "q7Rt2Xz9Lm4Vb8Nc1Kd6q7Rt2Xz9Lm4Vb8Nc1Kd6"
+    docs = docs_of([f"EXAMPLE_SERVICE_KEY={key}", f"samples/{key}", f"{key}xXxX{key}", "example" + key[:19] + "sample"])
+    rows = {r["doc_id"]: r["spans"] for r in secrets.secret_spans(docs).collect()}
+    assert [rows[i].count("entropy") for i in range(4)] == [1, 1, 2, 0]
+
+
+def test_long_candidates_take_linear_time(docs_of):
+    r = random.Random(2)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(r.choices(chars, k=500_000)), "a-b_" * 100_000 + "9a", "token=" + "deadbeef" * 20_000]
+    start = time.time()
+    rows = {x["doc_id"]: x for x in secrets.secret_spans(docs_of(texts)).collect()}
+    assert time.time() - start < 60  # seconds for what took hours
+    assert rows[0]["n_entropy"] >= 1 and rows[1]["n_entropy"] == 0 and rows[2]["n_hex"] == 1
+
+
 def test_masking(docs_of):
     key = "q7Rt2Xz9Lm4Vb8Nc1Kd6"
     docs = docs_of([f"a token={key} b {key}", "nothing here", None])

@@ -32,9 +32,10 @@ class CharClass(NamedTuple):
 
 
 WINDOW = 20
-# words of sample keys; a candidate ends before such a word, and the next one begins after it
+CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
+# words of sample keys; a candidate with such words is cut into what lies before, between and after them
 SAMPLES = "(?i:example|sample|placeholder|xxxx)"
-CANDIDATE = f"{SAMPLES}|(?:(?!{SAMPLES})[A-Za-z0-9+/_=-]){{{WINDOW},}}+"
+PIECE = f"{SAMPLES}|(?:(?!{SAMPLES}).){{{WINDOW},}}+"
 # the first class that fits counts; letters alone and digits alone are no candidates
 CLASSES = (
     CharClass(r"^[0-9a-fA-F]+$", 3.0),
@@ -155,6 +156,18 @@ def _in_blocks(hit: Column, width: int = WINDOW) -> Column:
     return F.zip_with(parts, after, lambda p, q: F.concat(p, F.coalesce(F.substring(q, 1, width - 1), F.lit(""))))
 
 
+def _without_samples(candidates: Column) -> Column:
+    def cut(x: Column) -> Column:
+        def moved(y: Column) -> Column:
+            return F.struct(
+                (x["start"] + y["start"]).alias("start"), (x["start"] + y["stop"]).alias("stop"), y["hit"].alias("hit")
+            )
+
+        return F.when(x["hit"].rlike(SAMPLES), F.transform(matches(x["hit"], PIECE), moved)).otherwise(F.array(x))
+
+    return F.flatten(F.transform(candidates, cut))
+
+
 def entropy_spans(candidates: Column) -> Column:
     """Of each candidate that is not on the allow list, the part covered by windows of high entropy.
 
@@ -193,7 +206,7 @@ def entropy_spans(candidates: Column) -> Column:
             ),
         )
 
-    scanned = F.transform(F.transform(F.filter(candidates, suspicious), limited), located)
+    scanned = F.transform(F.transform(F.filter(_without_samples(candidates), suspicious), limited), located)
     return F.filter(scanned, lambda x: x["start"].isNotNull())
 
 

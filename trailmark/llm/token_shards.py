@@ -1,7 +1,8 @@
 """Training-order materialisation: token ids in fixed-stride shards, in the order of a keyed permutation.
 
-Each input partition is one stream: its documents' ids one after the other, an end id after each, cut into sequences of
-LENGTH ids (the last one padded). Sequences are numbered over all partitions. A Feistel network over the next even number
+Texts are encoded once, slice by slice, and their ids stored. Each slice is one stream: its documents' ids one after the
+other, an end id after each, cut into sequences of LENGTH ids (the last one padded). Sequences are numbered inside each
+input partition as they are made, and over all partitions by one sum for each. A Feistel network over the next even number
 of bits, walked until it falls below their number, permutes the numbers to slots: no list of slots is stored, and a slot
 leads back to its sequence. Slots are dealt out in ranges; each range is written as one file of records of equal size, so
 that a reader can start at any slot by seeking.
@@ -13,23 +14,28 @@ the number of tokens used (4 bytes each), LENGTH ids of 2 bytes, all little-endi
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm.bpe import WordBpe
-from trailmark.llm.text import LOWER, span_hashes, text_bytes, text_slices, words_of
+from trailmark.llm.text import LOWER, span_digests, text_bytes, text_slices, word_spans
+from trailmark.scratch import shared_folder, written
+from trailmark.streaming.files import listed
 
 LENGTH = 1024
 HEADER = np.dtype([("doc_id", "<i8"), ("place", "<u4"), ("used", "<u4")])
 SHARD_RECORDS = 4096
 ROUNDS = 6
-SLICE_BYTES = 10_000_000  # texts encoded at once; a longer text is a slice of its own
+SLICE_BYTES = 6_000_000  # texts encoded at once; a longer text is a slice of its own
 KEY = 20240607
 END_TOKEN = "<|endoftext|>"
 
@@ -102,7 +108,7 @@ class Encoder:
         new[stop[:-1]] = True
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(text))
-        _, first, piece = np.unique(span_hashes(text, begin, end), return_index=True, return_inverse=True)
+        _, first, piece = np.unique(span_digests(text, begin, end), return_index=True, return_inverse=True)
         size = (end - begin)[first]
         last = np.cumsum(size)
         raw = text[np.repeat(begin[first] - (last - size), size) + np.arange(last[-1])]
@@ -144,19 +150,15 @@ class Encoder:
 
     def _prepared(self, column: pa.Array):
         data, offsets = text_bytes(column)
-        words = words_of(data, offsets)
-        _, first, word = np.unique(words.hashes, return_index=True, return_inverse=True)
-        starts, ends, rows, word = words.starts[first], words.ends[first], words.rows, word.astype(np.int32)
-        del words, first
+        starts, ends, rows = word_spans(data, offsets)
+        _, first, word = np.unique(span_digests(data, starts, ends), return_index=True, return_inverse=True)
+        starts, ends, word = starts[first], ends[first], word.astype(np.int32)
+        del first
         ids, begin, length = self._distinct(data, starts, ends)
         length = length.astype(np.int32)
         sizes = np.bincount(rows, weights=length[word], minlength=len(column)).astype(np.int64) + 1
         return word, ids, begin, length, sizes
 
-    def sizes(self, column: pa.Array) -> np.ndarray:
-        """The number of ids of each text, with its end."""
-        return self._prepared(column)[-1]
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, an end after each, and the number of ids of each text."""
         word, ids, begin, length, sizes = self._prepared(column)
@@ -181,18 +183,31 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from text_slices(batch, limit=SLICE_BYTES)
 
 
-def stream_sizes(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """part, tokens: of each input partition."""
+def encoded_slices(docs: DataFrame, vocabulary: str, length: int) -> DataFrame:
+    """One row per slice of an input partition: part, first (sequences of the part before it), sequences, and compressed
+    the ids and the numbers of ids and ids of its documents (-1: null)."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = Encoder(vocabulary), 0
-        for part in _slices(batches):
-            total += int(encoder.sizes(part.column("text")).sum())
-        yield pa.RecordBatch.from_pydict(
-            {"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "tokens": pa.array([total], pa.int64())}
-        )
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, first = Encoder(vocabulary), 0
+        compressor = zstandard.ZstdCompressor(level=1)
+        for piece in _slices(batches):
+            ids, sizes = encoder.encode(piece.column("text"))
+            owners = pc.fill_null(piece.column("doc_id"), -1).to_numpy()
+            n = -(-len(ids) // length)
+            packed = [compressor.compress(x.tobytes()) for x in (ids, sizes, owners)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([TaskContext.get().partitionId()], pa.int32()),
+                    pa.array([first], pa.int64()),
+                    pa.array([n], pa.int64()),
+                    *[pa.array([x], pa.binary()) for x in packed],
+                ],
+                names=["part", "first", "sequences", "ids", "sizes", "owners"],
+            )
+            first += n
 
-    return docs.select("text").mapInArrow(count, "part int, tokens long")
+    schema = "part int, first long, sequences long, ids binary, sizes binary, owners binary"
+    return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
 
 def _records(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, used: int, length: int) -> np.ndarray:
@@ -213,92 +228,67 @@ def _records(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, used: int,
     return out
 
 
-def shuffled_records(docs: DataFrame, vocabulary: str, sizes: dict[int, int], length: int, per_shard: int) -> DataFrame:
-    """shard, slots, records (compressed): the sequences of each stream, by the shard of their slots."""
-    parts = sorted(sizes)
-    counts = np.array([-(-sizes[p] // length) for p in parts], np.int64)
-    begins = dict(zip(parts, (np.cumsum(counts) - counts).tolist()))
-    permutation = Permutation(int(counts.sum()))
-    shared = docs.sparkSession.sparkContext.broadcast((begins, sizes))
+def shuffled_records(slices: DataFrame, begins: dict[int, int], n: int, length: int, per_shard: int) -> DataFrame:
+    """shard, slots, records (compressed): the sequences of each slice, by the shard of their slots."""
+    permutation = Permutation(n)
+    shared = slices.sparkSession.sparkContext.broadcast(begins)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begins, sizes = shared.value
-        encoder, part = Encoder(vocabulary), TaskContext.get().partitionId()
-        compressor = zstandard.ZstdCompressor(level=1)
-        number, total = begins[part], 0
-        # what is left of the last slice: ids, and for the texts they belong to: tokens left, id, tokens before
-        ids, left = np.zeros(0, np.uint16), np.zeros(0, np.int64)
-        owners, before = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def out(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal ids, left, owners, before, number
-            used = len(ids) if last else len(ids) // length * length
-            if not used:
-                return
-            records = _records(ids, left, owners, used, length)
-            head = records[:, : HEADER.itemsize].copy().view(HEADER).ravel()
-            inside = np.searchsorted(np.cumsum(left) - left, np.arange(len(records)) * length, side="right") - 1
-            head["place"] += before[inside].astype(np.uint32)
-            records[:, : HEADER.itemsize] = head.view(np.uint8).reshape(len(records), -1)
-            slots = permutation.slot(np.arange(number, number + len(records)))
-            number += len(records)
-            order = np.argsort(slots)
-            shard = slots[order] // per_shard
-            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
-            groups = np.split(order, edges[1:])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(shard[edges], pa.int32()),
-                    pa.array([slots[g].tobytes() for g in groups], pa.binary()),
-                    pa.array([compressor.compress(records[g].tobytes()) for g in groups], pa.binary()),
-                ],
-                names=["shard", "slots", "records"],
-            )
-            ends = np.cumsum(left)
-            k = int(np.searchsorted(ends, used, side="right"))
-            ids = ids[used:]
-            if k < len(left):
-                gone = used - (ends[k] - left[k])
-                left, owners, before = left[k:].copy(), owners[k:], before[k:].copy()
-                left[0] -= gone
-                before[0] += gone
-            else:
-                left, owners, before = left[:0], owners[:0], before[:0]
+        compressor, decompressor = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
-        for piece in _slices(batches):
-            new, tokens = encoder.encode(piece.column("text"))
-            total += len(new)
-            ids, left = np.concatenate([ids, new]), np.concatenate([left, tokens])
-            names = np.array([-1 if x is None else x for x in piece.column("doc_id").to_pylist()], np.int64)
-            owners, before = np.concatenate([owners, names]), np.concatenate([before, np.zeros(len(names), np.int64)])
-            yield from out(False)
-        yield from out(True)
-        if total != sizes.get(part, 0):
-            raise RuntimeError(f"partition {part} had {sizes.get(part, 0)} tokens when counted and has {total} now")
+        def whole(batch: pa.RecordBatch, column: str, k: int, kind: type) -> np.ndarray:
+            return np.frombuffer(decompressor.decompress(batch.column(column)[k].as_py()), kind)
 
-    return docs.select("doc_id", "text").mapInArrow(deal, "shard int, slots binary, records binary")
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, sizes = whole(batch, "ids", k, np.uint16), whole(batch, "sizes", k, np.int64)
+                records = _records(ids, sizes, whole(batch, "owners", k, np.int64), len(ids), length)
+                number = shared.value[batch.column("part")[k].as_py()] + batch.column("first")[k].as_py()
+                slots = permutation.slot(np.arange(number, number + len(records)))
+                order = np.argsort(slots)
+                shard = slots[order] // per_shard
+                edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+                groups = np.split(order, edges[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(shard[edges], pa.int32()),
+                        pa.array([slots[g].tobytes() for g in groups], pa.binary()),
+                        pa.array([compressor.compress(records[g].tobytes()) for g in groups], pa.binary()),
+                    ],
+                    names=["shard", "slots", "records"],
+                )
+
+    columns = slices.select("part", "first", "ids", "sizes", "owners")
+    return columns.mapInArrow(deal, "shard int, slots binary, records binary")
 
 
 def write_shards(
-    docs: DataFrame, vocabulary: str, path: str, length: int = LENGTH, per_shard: int = SHARD_RECORDS
+    docs: DataFrame,
+    vocabulary: str,
+    path: str,
+    length: int = LENGTH,
+    per_shard: int = SHARD_RECORDS,
+    folder: str | None = None,
 ) -> int:
     """Writes the ids of `docs` (doc_id, text) below `path` and returns the number of sequences.
 
-    `docs` has to be a stored table, or otherwise give the same rows in the same partitions when read twice; this is
-    checked. A null text has an end only; repeated rows are written each; other columns are ignored. Special tokens
+    `docs` is read once; its ids are stored in `folder`. A null text has an end only; repeated rows are written each; other columns are ignored. Special tokens
     written out in a text are encoded as ordinary text. File k of the folder, in order of names, holds the slots from
     k * per_shard on.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
+    folder = folder or shared_folder(docs.sparkSession)
+    slices = written(encoded_slices(docs, vocabulary, length), folder, "encoded")
     # one row for each input partition
-    sizes = {r["part"]: r["tokens"] for r in stream_sizes(docs, vocabulary).collect()}
-    n = sum(-(-x // length) for x in sizes.values())
+    counts = dict(slices.groupBy("part").agg(F.sum("sequences")).collect())
+    n = sum(counts.values())
     if not n:
         return 0
+    begins = dict(zip(sorted(counts), accumulate((counts[p] for p in sorted(counts)), initial=0)))
     n_shards = -(-n // per_shard)
-    dealt = shuffled_records(docs, vocabulary, sizes, length, per_shard).repartitionById(n_shards, F.col("shard"))
+    dealt = shuffled_records(slices, begins, n, length, per_shard).repartitionById(n_shards, F.col("shard"))
     width = stride(length)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,15 +311,16 @@ def write_shards(
             column = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
             yield pa.RecordBatch.from_arrays([column], names=["record"])
 
-    written = dealt.mapInArrow(fill, "record binary").select(F.col("record").cast("string").alias("value"))
-    written.write.mode("overwrite").option("lineSep", "\n").text(path)
+    records = dealt.mapInArrow(fill, "record binary").select(F.col("record").cast("string").alias("value"))
+    records.write.mode("overwrite").option("lineSep", "\n").text(path)
     return n
 
 
 def read_shards(spark: SparkSession, path: str, start: int = 0, length: int = LENGTH, per_shard: int = SHARD_RECORDS):
     """One row per record from slot `start` on, with its ids: slot, shard, byte_offset, doc_id, place, ids.
 
-    Files before the one that holds `start` are not opened, so that training can resume at any slot.
+    Files before the one that holds `start` are left out by their names and not opened, so that training can resume at
+    any slot. Of that one file, of per_shard records, the records before `start` are read and passed over.
     """
 
     def whole(shard: int, slots: np.ndarray, head: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
@@ -339,9 +330,13 @@ def read_shards(spark: SparkSession, path: str, start: int = 0, length: int = LE
 
 
 def _read(spark: SparkSession, path: str, start: int, length: int, per_shard: int, columns_of, schema: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
-    files = files.select(number.alias("shard"), "content").filter(F.col("shard") >= start // per_shard)
+    named = re.findall(r"/(part-(\d+)[^/]*?)(?=, |\])", listed(spark, f"{path}/part-*"))
+    wanted = [f"{path}/{name}" for name, shard in named if int(shard) >= start // per_shard]
+    number = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("int")
+    if wanted:
+        files = spark.read.format("binaryFile").load(wanted).select(number.alias("shard"), "content")
+    else:
+        files = spark.createDataFrame([], "shard int, content binary")
     schema = "slot long, shard int, byte_offset long, doc_id long, place long, " + schema
     names = [x.split()[0] for x in schema.split(", ")]
 
