@@ -11,7 +11,8 @@ from trailmark.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(name, spark, sf_dir):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     result = con.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     got = QUERIES[name](spark, sf_dir)
