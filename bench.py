@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from trailmark.plans.catalog import QUERIES
@@ -22,6 +23,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="trailmark-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

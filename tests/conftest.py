@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "trailmark-tests",
         "local[8]",
@@ -22,6 +22,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
