@@ -35,7 +35,7 @@ LENGTH = 1024
 HEADER = np.dtype([("doc_id", "<i8"), ("place", "<u4"), ("used", "<u4")])
 SHARD_RECORDS = 4096
 ROUNDS = 6
-SLICE_BYTES = 6_000_000  # texts encoded at once; a longer text is a slice of its own
+SLICE_BYTES = 3_000_000  # texts encoded at once; a longer text is a slice of its own
 KEY = 20240607
 END_TOKEN = "<|endoftext|>"
 
@@ -97,8 +97,9 @@ class Encoder:
         self.bpe = WordBpe.load(vocabulary)
         self.end = self.bpe.special[END_TOKEN]
 
-    def _plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some words in a row and their n + 1 offsets."""
+    def _plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Some words cut into pieces: the bytes of the distinct pieces and where each ends, the pieces of all words in a
+        row, and the number of pieces up to each word's end."""
         size = ends - starts
         stop = np.cumsum(size)
         text = LOWER[data[np.repeat(starts - (stop - size), size) + np.arange(stop[-1])]]
@@ -112,41 +113,48 @@ class Encoder:
         size = (end - begin)[first]
         last = np.cumsum(size)
         raw = text[np.repeat(begin[first] - (last - size), size) + np.arange(last[-1])]
-        return self._words(*self.bpe.encode_bytes(raw, last), piece, np.searchsorted(begin, stop))
+        return raw, last, piece, np.searchsorted(begin, stop)
 
-    def _odd(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _odd(self, raw: bytes, starts: np.ndarray, ends: np.ndarray):
+        """The same by the vocabulary's own pattern."""
         pieces, stop = self.bpe.pretokens([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())])
         distinct = {x: k for k, x in enumerate(dict.fromkeys(pieces))}
-        if not distinct:
-            return np.zeros(0, np.int64), np.zeros(len(starts) + 1, np.int64)
-        return self._words(*self.bpe.encode_pretokens(list(distinct)), np.array([distinct[x] for x in pieces]), stop)
-
-    @staticmethod
-    def _words(ids, at, piece, stop) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and offsets of words from those of their distinct pieces; `stop`: pieces up to each word's end."""
-        size = np.diff(at)[piece]
-        total = np.concatenate([[0], np.cumsum(size)])
-        place = np.repeat(at[piece] - total[:-1], size) + np.arange(total[-1])
-        return ids[place].astype(np.uint16), total[np.concatenate([[0], stop]).astype(np.int64)]
+        parts = [x.encode() for x in distinct]
+        last = np.cumsum([len(x) for x in parts], dtype=np.int64)
+        piece = np.array([distinct[x] for x in pieces], np.int64)
+        return np.frombuffer(b"".join(parts), np.uint8), last, piece, np.asarray(stop, np.int64)
 
     def _distinct(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Ids of distinct words, and where those of each begin and how many they are."""
+        """Ids of distinct words, and where those of each begin and how many they are. All go through one index."""
         odd = np.zeros(len(data) + 1, np.int32)
         np.cumsum((data > 127) | (data == ord("'")), out=odd[1:])
         is_odd = odd[ends] > odd[starts]
+        plain, odd = np.flatnonzero(~is_odd), np.flatnonzero(is_odd)
+        cut = []
+        if len(plain):
+            cut.append(self._plain(data, starts[plain], ends[plain]))
+        if len(odd):
+            cut.append(self._odd(data.tobytes(), starts[odd], ends[odd]))
+        raw, last, piece, stop = [np.zeros(0, np.uint8)], [], [], [np.zeros(1, np.int64)]
+        n_bytes = n_distinct = n_pieces = 0
+        for some, ends_of, pieces, stops in cut:
+            raw.append(some)
+            last.append(ends_of + n_bytes)
+            piece.append(pieces + n_distinct)
+            stop.append(stops + n_pieces)
+            n_bytes, n_distinct, n_pieces = n_bytes + len(some), n_distinct + len(ends_of), n_pieces + len(pieces)
+        if not n_pieces:
+            return np.zeros(0, np.uint16), np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        ids, at = self.bpe.encode_bytes(np.concatenate(raw), np.concatenate(last))
+        piece = np.concatenate(piece)
+        size = np.diff(at)[piece]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = ids[np.repeat(at[piece] - total[:-1], size) + np.arange(total[-1])].astype(np.uint16)
+        offsets = total[np.concatenate(stop)]
         begin, length = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-        flat, total = [], 0
-        for which in (np.flatnonzero(~is_odd), np.flatnonzero(is_odd)):
-            if not len(which):
-                continue
-            if flat or is_odd[which[0]]:
-                ids, offsets = self._odd(data.tobytes(), starts[which], ends[which])
-            else:
-                ids, offsets = self._plain(data, starts[which], ends[which])
-            begin[which], length[which] = offsets[:-1] + total, np.diff(offsets)
-            flat.append(ids)
-            total += len(ids)
-        return np.concatenate(flat) if flat else np.zeros(0, np.uint16), begin, length
+        which = np.concatenate([plain, odd])
+        begin[which], length[which] = offsets[:-1], np.diff(offsets)
+        return ids, begin, length
 
     def _prepared(self, column: pa.Array):
         data, offsets = text_bytes(column)
@@ -272,9 +280,9 @@ def write_shards(
 ) -> int:
     """Writes the ids of `docs` (doc_id, text) below `path` and returns the number of sequences.
 
-    `docs` is read once; its ids are stored in `folder`. A null text has an end only; repeated rows are written each; other columns are ignored. Special tokens
-    written out in a text are encoded as ordinary text. File k of the folder, in order of names, holds the slots from
-    k * per_shard on.
+    `docs` is read once; its ids are stored in `folder`. A null text has an end only; repeated rows are written each;
+    other columns are ignored. Special tokens written out in a text are encoded as ordinary text. File k of the folder, in
+    order of names, holds the slots from k * per_shard on.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
