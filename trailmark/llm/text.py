@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 2_000_000  # texts worked on at once; a longer text is a slice of its own
-_PIECE = 1 << 19  # bytes hashed with one table of powers
+_PIECE = 1 << 19  # powers are kept up to twice this number
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 IS_SPACE = np.zeros(256, bool)
@@ -88,7 +88,7 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept up to the size of a piece."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1), base, np.uint64)
@@ -99,23 +99,6 @@ def powers(n: int, base: int = _BASE) -> np.ndarray:
     return have[:n]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans in ascending order that do not overlap."""
-    out = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        first = starts[at]
-        end = max(int(np.searchsorted(ends, first + _PIECE, side="right")), at + 1)
-        piece = data[first : ends[end - 1]]
-        sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * powers(len(piece)), out=sums[1:])
-        s, e = starts[at:end] - first, ends[at:end] - first
-        # the span's sum over base ** start; base is odd, so the division is exact modulo 2 ** 64
-        out[at:end] = (sums[e] - sums[s]) * powers(len(piece), pow(_BASE, -1, 1 << 64))[s]
-        at = end
-    return mixed(out)
-
-
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _LONG_SPAN = 256  # bytes from which a span is hashed by itself
 
@@ -141,7 +124,7 @@ def span_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     starts, ends, rows = word_spans(data, offsets)
-    return Words(starts, ends, rows, span_hashes(data, starts, ends))
+    return Words(starts, ends, rows, span_digests(data, starts, ends))
 
 
 def windows_of(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
