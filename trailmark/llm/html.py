@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -21,13 +22,19 @@ from pyspark.sql import functions as F
 # --- fixed values: element names of HTML
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    # formulas
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # their text is never shown as part of the page
 HIDDEN = frozenset(
-    "head script style noscript template svg math iframe object select option button textarea canvas audio video".split()
+    "head script style noscript template svg iframe object select option button textarea canvas audio video annotation "
+    "annotation-xml".split()
 )
+# what follows their start tag is no markup up to their end tag
+RAW = frozenset("script style noscript template svg textarea iframe".split())
 # any other start tag, or text, ends a head whose end tag is left out
 IN_HEAD = frozenset("base link meta title script style noscript template".split())
 CLOSES_P = frozenset(
@@ -36,14 +43,9 @@ CLOSES_P = frozenset(
 )
 # ---
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)"
-    r"|<(script|style|noscript|template|svg|textarea|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>"
-    r"|([^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+_IN_TAG = re.compile("[>\"']")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
 
@@ -63,10 +65,82 @@ def _ancestor(tag: str, attributes: str) -> str:
     return " ".join([tag, *names])
 
 
+class _TagEnds:
+    """Where tags end: at the first `>` outside quotes. No part of the page is searched more than twice."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.known: dict[int, int] = {}  # by place of a `>` or quote met outside quotes
+        self.searched = range(-1, -1)  # from here on the next such place is the end of the range
+
+    def _next(self, at: int) -> int:
+        found = _IN_TAG.search(self.page, at)
+        return found.start() if found else len(self.page)
+
+    def after(self, at: int) -> int:
+        """The place after the tag whose name ends at `at`; -1 if it has no end."""
+        if at not in self.searched and at != self.searched.stop:
+            self.searched = range(at, self._next(at))
+        at = self.searched.stop
+        end, met = -1, []
+        while at < len(self.page):
+            if at in self.known:
+                end = self.known[at]
+                break
+            met.append(at)
+            if self.page[at] == ">":
+                end = at + 1
+                break
+            close = self.page.find(self.page[at], at + 1)
+            if close < 0:
+                break
+            at = self._next(close + 1)
+        self.known.update(dict.fromkeys(met, end))
+        return end
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """Tags as (`/` or nothing, name, attributes) and texts as (text, nothing, nothing), without comments, declarations
+    and raw elements. A tag without an end is text, an element or comment without one ends with the page."""
+    ends, at, n, declared = _TagEnds(page), 0, len(page), True
+    while at < n:
+        start = page.find("<", at)
+        if start != at:
+            start = n if start < 0 else start
+            yield page[at:start], "", ""
+            at = start
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = n if end < 0 else end + 3
+            continue
+        tag = _TAG.match(page, at)
+        if tag:
+            end = ends.after(tag.end())
+            if end >= 0:
+                name, attributes = tag[2].lower(), page[tag.end() : end - 1]
+                if name in RAW and not tag[1] and not (name == "svg" and attributes.endswith("/")):
+                    close = _RAW_END[name].search(page, end)
+                    at = close.end() if close else n
+                    continue
+                yield tag[1], name, attributes
+                at = end
+                continue
+        elif declared and page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            if end >= 0:
+                at = end + 1
+                continue
+            declared = False
+        yield "<", "", ""
+        at += 1
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Texts between block-level tags in page order, white space made single spaces, references decoded."""
     blocks: list[Block] = []
-    stack: list[tuple[str, str]] = []  # open block-level elements: tag, features
+    stack: list[tuple[str, str]] = []  # open block-level and hidden elements: tag, features
+    is_open: Counter[str] = Counter()
     hidden = 0  # open elements whose text is not shown
     text: list[str] = []
     linked = 0
@@ -77,7 +151,8 @@ def leaf_blocks(page: str) -> list[Block]:
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                blocks.append(Block(tuple(x for _, x in stack), joined, min(linked, len(joined))))
+                shown = [x for name, x in stack if name not in HIDDEN] if hidden else [x for _, x in stack]
+                blocks.append(Block(tuple(shown), joined, min(linked, len(joined))))
             text.clear()
         linked = 0
 
@@ -85,48 +160,48 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal hidden
         while stack:
             name, _ = stack.pop()
+            is_open[name] -= 1
             hidden -= name in HIDDEN
             if name == tag:
                 return
 
-    for m in _TOKEN.finditer(page):
-        raw = m[5]
-        if raw is not None:
-            if hidden and stack[-1][0] == "head" and raw.strip():
+    for first, tag, attributes in _tokens(page):
+        if not tag:
+            if hidden and stack[-1][0] == "head" and first.strip():
                 pop("head")
             if not hidden:
-                text.append(raw)
+                text.append(first)
                 if link:
-                    linked += len(raw)
-            continue
-        tag = m[3]
-        if tag is None:
+                    linked += len(first)
             continue
-        tag = tag.lower()
-        if not m[2] and tag not in IN_HEAD and stack and stack[-1][0] == "head":
+        if not first and tag not in IN_HEAD and stack and stack[-1][0] == "head":
             pop("head")
         if tag in INLINE:
             if tag == "a":
-                link = 0 if m[2] else 1
+                link = 0 if first else 1
             elif tag == "br":
                 text.append(" ")
             continue
-        flush()
-        if m[2]:
-            if any(name == tag for name, _ in stack):
+        inside = tag in HIDDEN and tag != "head"  # a hidden element lies inside its block
+        if not inside:
+            flush()
+        if first:
+            if is_open[tag]:
                 pop(tag)
-                link = 0
+                link = link if inside else 0
             continue
-        link = 0
-        if stack and stack[-1][0] == "p" and tag in CLOSES_P:
-            stack.pop()
-        if stack and tag == "li" and stack[-1][0] == "li":
-            stack.pop()
+        if not inside:
+            link = 0
+            if stack and stack[-1][0] == "p" and tag in CLOSES_P:
+                pop("p")
+            if stack and tag == "li" and stack[-1][0] == "li":
+                pop("li")
         if tag == "body":
             while stack and stack[-1][0] != "html":
                 pop(stack[-1][0])
-        if tag not in VOID and not m[4].endswith("/"):
-            stack.append((tag, _ancestor(tag, m[4])))
+        if tag not in VOID and not attributes.endswith("/"):
+            stack.append((tag, _ancestor(tag, attributes)))
+            is_open[tag] += 1
             hidden += tag in HIDDEN
     flush()
     return blocks
