@@ -354,6 +354,25 @@ def test_leaks_with_neighbours_replaced(docs_of, spark):
     assert [r["text"] for r in decontaminate.without_leaks(docs, bench).collect()] == kept
 
 
+def test_short_items_are_found_word_for_word(docs_of, spark):
+    items = {n: " ".join(f"s{n}x{k}" for k in range(n)) for n in range(1, 11)}
+    texts = [("x " * n + items[n].upper() + " y" * (n % 3)) for n in items] + list(items.values())
+    texts += [items[n].replace("x2", "z2") for n in items] + [None, "", "x", items[8] + " " + items[5]]
+    bench = spark.createDataFrame(
+        [(n, x, "c", 1) for n, x in items.items()], "item_id long, text string, words string, doc_id int"
+    )
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs_of(texts), bench).collect()}
+    want = {(i, n) for i, t in enumerate(texts) for n, x in items.items() if n >= 5 and t and x in t.lower()}
+    want |= {(20 + n - 1, n) for n in (9, 10)}  # one word replaced
+    assert got == want
+
+
+def test_seeds_hold_no_more_than_a_window_around_them(spark):
+    bench = spark.createDataFrame([(1, " ".join(map(str, range(500))))], "item_id long, text string")
+    rows = decontaminate._item_seeds(bench).collect()
+    assert len(rows) == (500 - 8) * 4 and max(len(r["part"]) for r in rows) == 31
+
+
 # --- quality and languages
 
 
@@ -382,6 +401,18 @@ def test_compression_bands(docs_of):
     assert [x["doc_id"] for x in quality.keep_good(docs_of([prose, noise])).collect()] == [0]
 
 
+@pytest.mark.parametrize("width", [2, 3])
+def test_short_texts_have_a_band(docs_of, width):
+    r = random.Random(width)
+    common = [["it", "is", "of", "to", "at", "no", "on"], ["the", "and", "for", "not", "was", "his"]]
+    signs = "".join(map(chr, range(33, 127)))
+    prose = " ".join(r.choice(common[width - 2]) for _ in range(55))
+    noise = " ".join("".join(r.choice(signs) for _ in range(width)) for _ in range(55))
+    rows = {x["doc_id"]: x for x in quality.quality_rules(docs_of([prose, noise])).collect()}
+    assert len(prose) < 256 and rows[0]["ratio"] > 1.3 and rows[0]["kept"] == (not rows[0]["base_failed"])
+    assert not rows[1]["base_failed"] and rows[1]["ratio"] < 1.2 and not rows[1]["kept"]
+
+
 @pytest.mark.parametrize("size", [4100, 6000, 8191, 8192, 12_000, 40_000])
 def test_part_of_a_text_is_encoded_or_repeated(docs_of, size):
     r = random.Random(size)
@@ -411,9 +442,99 @@ def test_no_letters_no_language(docs_of):
     assert got == {0: "en", 1: "und", 2: "und", 3: "und"}
 
 
+def plain_languages(rows, texts):
+    """Naive Bayes with the operator's features, one n-gram at a time."""
+    counts, docs = {}, Counter(lang for _, lang in rows)
+    for text, lang in rows:
+        mine = counts.setdefault(lang, Counter())
+        for bucket, _ in langid.features([text or ""], langid.BUCKETS):
+            mine.update(bucket.tolist())
+    out = []
+    for text in texts:
+        grams = [b for bucket, _ in langid.features([text], langid.BUCKETS) for b in bucket.tolist()]
+        total = {}
+        for lang in sorted(docs):
+            size = math.log(counts[lang].total() + langid.SMOOTHING * langid.BUCKETS)
+            total[lang] = math.log(docs[lang] / len(rows))
+            total[lang] += sum(math.log(counts[lang][g] + langid.SMOOTHING) - size for g in grams)
+        best = max(sorted(total), key=total.get)
+        out.append((best, 1 / sum(math.exp(x - total[best]) for x in total.values())))
+    return out
+
+
+@pytest.mark.parametrize("languages", [64, 3, 1])
+def test_languages_equal_plain_bayes_in_any_blocks(spark, docs_of, monkeypatch, languages):
+    monkeypatch.setattr(langid, "LANGUAGES", languages)
+    r = random.Random(8)
+    rows = []
+    for k in range(7):
+        letters = [chr(97 + (5 * k + j) % 26) for j in range(9)]
+        rows += [("".join(r.choice(letters + [" "]) for _ in range(r.randint(0, 60))), f"l{k}") for _ in range(6)]
+    rows += [(t, "l6copy") for t, lang in rows if lang == "l6"]  # ties
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(r.randint(1, 12))) + "x" for _ in range(40)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    got = {x["doc_id"]: x for x in langid.identify(docs_of(texts), model).collect()}
+    for i, (lang, score) in enumerate(plain_languages(rows, texts)):
+        assert got[i]["lang_pred"] == lang and got[i]["score"] == pytest.approx(score, rel=1e-3)
+
+
 # --- pages
 
 
+@pytest.mark.parametrize("part", ['<div class="', "<a<a", "<!", "<a '\"", "<p x='", "<script ", "</b", "<i x=\"'", "<", "a<b \"c"])
+def test_broken_markup_takes_linear_time(part):
+    start = time.process_time()
+    html.leaf_blocks(part * (1_000_000 // len(part)))
+    assert time.process_time() - start < 4
+
+
+def test_tags_end_at_the_first_bracket_outside_quotes():
+    r = random.Random(5)
+
+    def plain(page, at):
+        quote = ""
+        for k in range(at, len(page)):
+            if quote:
+                quote = "" if page[k] == quote else quote
+            elif page[k] == ">":
+                return k + 1
+            elif page[k] in "\"'":
+                quote = page[k]
+        return -1
+
+    for _ in range(400):
+        page = "".join(r.choice("ab<>\"' ") for _ in range(r.randint(0, 40)))
+        ends = html._TagEnds(page)
+        for at in range(len(page) + 1):
+            assert ends.after(at) == plain(page, at)
+
+
+def test_formulas_and_hidden_elements_do_not_split_a_block():
+    for page, want in [
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>5</mn><annotation>x=5</annotation></math> be five</p>", "Let x=5 be five"),
+        ("<p>Press <button>Share</button> here</p>", "Press here"),
+        ("<p>One <svg/>two <svg><text>no</text></svg>three</p>", "One two three"),
+        ("<p>a <select><option>x<option>y</select>b <script>c < d</script>e</p>", "a b e"),
+    ]:
+        assert [(b.text, b.path) for b in html.leaf_blocks(page)] == [(want, ("p",))]
+
+
+def test_decoding_equals_the_best_of_all_labellings():
+    r = np.random.default_rng(3)
+    for n in (1, 2, 5, 8):
+        blocks = [html.Block((f"t{k}",), "x", 0) for k in range(n)]
+        weights = {f"in:t{k}": r.normal(size=2) for k in range(n)}
+        model = html.Crf(weights, r.normal(size=(2, 2)), r.normal(size=2))
+        scores = model.scores(blocks)
+
+        def total(labels):
+            inner = sum(scores[k, y] for k, y in enumerate(labels)) + model.start[labels[0]]
+            return inner + sum(model.chain[a, b] for a, b in zip(labels, labels[1:]))
+
+        assert model.decode(blocks) == list(max(itertools.product((0, 1), repeat=n), key=total))
+
+
+
 def test_pages_of_other_layouts():
     model = html.fit(labelled_pages.labelled_pages())
     pages = labelled_pages.labelled_pages(150, seed=1234)
