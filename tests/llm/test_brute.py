@@ -641,6 +641,32 @@ def test_block_trains_on_every_window(docs_of, monkeypatch):
     assert found[1] == len(ids) and found[0] != attention.packed(start)
 
 
+def test_block_encodes_its_words_once(monkeypatch):
+    r = random.Random(6)
+    texts = [" ".join("word" + str(r.randrange(500)) for _ in range(n)) for n in (900, 10, 0, 700, 300)]
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 250)
+    block = lm_score.Texts(pa.array(texts))
+    calls, plain = [], bpe.WordBpe.encode_bytes
+
+    def noted(self, *args):
+        calls.append(1)
+        return plain(self, *args)
+
+    monkeypatch.setattr(bpe.WordBpe, "encode_bytes", noted)
+    lm_score._local_model(block, np.ones(5, bool), VOCABULARY, attention.initial())
+    assert len(calls) == 1
+
+
+def test_every_block_of_texts_is_one_task(docs_of):
+    docs = docs_of([f"text {i} of many" for i in range(80)])
+    n = 4 * docs.rdd.getNumPartitions()
+    number = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "text"), F.lit(n))
+    block = {r["doc_id"]: r["block"] for r in docs.select("doc_id", number.alias("block")).collect()}
+    scored = lm_score.lm_scores(docs, F.col("doc_id") % 3 == 0, VOCABULARY)
+    found = {(block[r["doc_id"]], r["task"]) for r in scored.select("doc_id", F.spark_partition_id().alias("task")).collect()}
+    assert len(found) == len({b for b, _ in found}) == len({t for _, t in found}) > 1
+
+
 def test_lm_without_training_rows(docs_of):
     rows = lm_score.lm_scores(docs_of(["a b", ""]), F.lit(True), VOCABULARY).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in sorted(rows)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]

@@ -78,11 +78,6 @@ def windows(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.maximum(inputs, 0), targets, np.repeat(first, count) + number * STRIDE
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(-1, keepdims=True))
-    return z / z.sum(-1, keepdims=True)
-
-
 _ONES = np.ones(SIDE, np.float32)
 _SPAN_ONES = np.ones(SPAN, np.float32)
 
@@ -165,84 +160,119 @@ class Scorer:
         return out
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """In place, over the last axis."""
+    np.exp(_limited(z), out=z)
+    z /= (z @ np.ones(z.shape[-1], z.dtype))[..., None]
+    return z
+
+
+def _sums(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each id, (VOCABULARY, columns)."""
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    out = np.zeros((VOCABULARY, rows.shape[1]), rows.dtype)
+    out[ids[first]] = np.add.reduceat(np.take(rows, order, axis=0), first, axis=0)
+    return out
+
+
 def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss of the targets, and its gradients. Members are scored within the class of each target only."""
+    """Mean loss of the targets, and its gradients. Members are scored within the class of each target only.
+
+    Keys and values are looked up in products of the embeddings with their weights, and their gradients are added up by
+    token and by place before they go through the weights.
+    """
     kind = p["embed"].dtype
     scale = kind.type(HEAD**-0.5)
     inputs = inputs.astype(np.intp)
     n = len(inputs)
-    x = np.take(p["embed"], inputs, axis=0)
-    x += p["place"]
-    recent = np.ascontiguousarray(x[:, STRIDE - 1 :])
-    flat, late = x.reshape(-1, WIDTH), recent.reshape(-1, WIDTH)
-    q = (late @ (p["query"] * scale)).reshape(n, STRIDE, HEAD)
-    k, v = (flat @ p["key"]).reshape(n, SPAN, HEAD), (flat @ p["value"]).reshape(n, SPAN, HEAD)
+    late = inputs[:, STRIDE - 1 :].ravel()
+    pair = np.concatenate([p["key"], p["value"]], axis=1)
+    kv = np.take(p["embed"] @ pair, inputs, axis=0)
+    kv += p["place"] @ pair
+    k, v = kv[..., :HEAD], kv[..., HEAD:]
+    x = np.take(p["embed"], late, axis=0).reshape(n, STRIDE, WIDTH)
+    x += p["place"][STRIDE - 1 :]
+    x = x.reshape(-1, WIDTH)
+    q = (x @ (p["query"] * scale)).reshape(n, STRIDE, HEAD)
     a = np.matmul(q, k.transpose(0, 2, 1))
-    np.exp(np.clip(a, -60, 60, out=a), out=a)
+    np.exp(_limited(a), out=a)
     a *= SEEN
     a /= (a @ np.ones(SPAN, kind))[..., None]
     c = np.matmul(a, v).reshape(-1, HEAD)
     h = c @ p["join"]
-    h += late
-    u = h @ p["up"]
-    u += p["up_bias"]
-    r = np.maximum(u, 0)
+    h += x
+    r = h @ p["up"]
+    r += p["up_bias"]
+    np.maximum(r, 0, out=r)
     y = r @ p["down"]
     y += h
     # the targets in the order of their classes
-    t = targets.reshape(-1).astype(np.int64)
+    t = targets.reshape(-1)
     real = np.flatnonzero(t >= 0)
     order = real[np.argsort((t[real] // SIDE).astype(np.uint8), kind="stable")]
-    t = t[order]
+    t = t[order].astype(np.intp)
     group, member, rows = t // SIDE, t % SIDE, np.arange(len(t))
-    edges = np.searchsorted(group, np.arange(SIDE + 1))
-    parts = [(slice(edges[s], edges[s + 1]), slice(s * SIDE, (s + 1) * SIDE)) for s in range(SIDE) if edges[s] < edges[s + 1]]
+    edges = np.searchsorted(group, np.arange(SIDE + 1)).tolist()
+    parts = [(s, slice(edges[s], edges[s + 1])) for s in range(SIDE) if edges[s] < edges[s + 1]]
     y = np.take(y, order, axis=0)
-    pc = _softmax(y @ p["class"] + p["class_bias"])
-    pm = p["out_bias"].reshape(SIDE, SIDE)[group]
-    for mine, columns in parts:
-        pm[mine] += y[mine] @ p["out"][:, columns]
+    pc = y @ p["class"]
+    pc += p["class_bias"]
+    pc = _softmax(pc)
+    members = np.ascontiguousarray(p["out"].reshape(WIDTH, SIDE, SIDE).transpose(1, 0, 2))
+    bias = p["out_bias"].reshape(SIDE, SIDE)
+    pm = np.empty((len(t), SIDE), kind)
+    for s, mine in parts:
+        np.matmul(y[mine], members[s], out=pm[mine])
+        pm[mine] += bias[s]
     pm = _softmax(pm)
     weight = kind.type(1 / max(len(t), 1))
     loss = -(np.log(pc[rows, group] + 1e-30) + np.log(pm[rows, member] + 1e-30)).sum() * weight
     pc[rows, group] -= 1
     pm[rows, member] -= 1
-    pc *= weight
-    pm *= weight
-    g = {"class": y.T @ pc, "class_bias": pc.sum(0), "out": np.zeros_like(p["out"]), "out_bias": np.zeros_like(p["out_bias"])}
     back = pc @ p["class"].T
-    for mine, columns in parts:
-        g["out"][:, columns] = y[mine].T @ pm[mine]
-        g["out_bias"][columns] = pm[mine].sum(0)
-        back[mine] += pm[mine] @ p["out"][:, columns].T
+    d_members, d_bias = np.zeros_like(members), np.zeros_like(bias)
+    turned = np.ascontiguousarray(members.transpose(0, 2, 1))
+    ones = np.ones(max(len(h), len(t)), kind)
+    for s, mine in parts:
+        part = pm[mine]
+        np.matmul(y[mine].T, part, out=d_members[s])
+        np.matmul(ones[: len(part)], part, out=d_bias[s])
+        back[mine] += part @ turned[s]
+    back *= weight
+    g = {
+        "class": y.T @ pc * weight,
+        "class_bias": ones[: len(t)] @ pc * weight,
+        "out": d_members.transpose(1, 0, 2).reshape(WIDTH, VOCABULARY) * weight,
+        "out_bias": d_bias.ravel() * weight,
+    }
     dy = np.zeros_like(h)
     dy[order] = back
     g["down"] = r.T @ dy
     du = dy @ p["down"].T
-    du *= u > 0
-    g["up"], g["up_bias"] = h.T @ du, du.sum(0)
+    du *= r > 0
+    g["up"], g["up_bias"] = h.T @ du, ones[: len(du)] @ du
     dh = du @ p["up"].T
     dh += dy
     g["join"] = c.T @ dh
     dc = (dh @ p["join"].T).reshape(n, STRIDE, HEAD)
+    d_kv = np.empty_like(kv)
+    np.matmul(a.transpose(0, 2, 1), dc, out=d_kv[..., HEAD:])
     ds = np.matmul(dc, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dc).reshape(-1, HEAD)
-    ds -= ((ds * a) @ np.ones(SPAN, kind))[..., None]
+    ds -= ((dc.reshape(-1, HEAD) * c) @ np.ones(HEAD, kind)).reshape(n, STRIDE, 1)
     ds *= a
-    dq = np.matmul(ds, k).reshape(-1, HEAD) * scale
-    dk = np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, HEAD)
-    g["query"], g["key"], g["value"] = late.T @ dq, flat.T @ dk, flat.T @ dv
-    dx = dk @ p["key"].T
-    dx += dv @ p["value"].T
-    dx = dx.reshape(x.shape)
+    np.matmul(ds.transpose(0, 2, 1), q, out=d_kv[..., :HEAD])
+    dq = np.matmul(ds, k).reshape(-1, HEAD)
+    dq *= scale
+    g["query"] = x.T @ dq
     dh += dq @ p["query"].T
-    dx[:, STRIDE - 1 :] += dh.reshape(recent.shape)
-    g["place"] = dx.sum(0)
-    g["embed"] = np.zeros_like(p["embed"])
-    order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
-    ids = inputs.ravel()[order]
-    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-    g["embed"][ids[first]] = np.add.reduceat(np.take(dx.reshape(-1, WIDTH), order, axis=0), first, axis=0)
+    by_id, by_place = _sums(d_kv.reshape(-1, 2 * HEAD), inputs.ravel()), d_kv.sum(0)
+    d_pair = p["embed"].T @ by_id + p["place"].T @ by_place
+    g["key"], g["value"] = d_pair[:, :HEAD], d_pair[:, HEAD:]
+    g["embed"] = by_id @ pair.T + _sums(dh, late)
+    g["place"] = by_place @ pair.T
+    g["place"][STRIDE - 1 :] += dh.reshape(n, STRIDE, WIDTH).sum(0)
     return float(loss), {name: g[name] for name in p}
 
 

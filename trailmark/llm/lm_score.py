@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from trailmark.llm import attention
 from trailmark.llm.bpe import WordBpe
-from trailmark.llm.text import LOWER, mixed, text_bytes, text_slices, words_of
+from trailmark.llm.text import IS_SPACE, LOWER, keep_memory, mixed, text_bytes, text_slices, words_of
 from trailmark.scratch import shared_folder, written
 
 START_TEXTS = 400  # training texts of the smallest hashed ids
@@ -50,37 +50,44 @@ class Texts:
         base = 0
         for part in text_slices(pa.RecordBatch.from_arrays([column], ["text"])):
             data, offsets = text_bytes(part.column("text"))
-            words = words_of(LOWER[data], offsets)
+            data = LOWER[data]
+            words = words_of(data, offsets)
             hashes.append(words.hashes)
             rows.append(words.rows + base)
             sizes.append(words.ends - words.starts)
-            inside = np.zeros(len(data) + 1, np.int8)
-            inside[words.starts] += 1
-            np.add.at(inside, words.ends, -1)
-            pieces.append(LOWER[data][np.cumsum(inside[:-1]) > 0])
+            pieces.append(data[~IS_SPACE[data]])
             base += part.num_rows
         self.n = base
         self.rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
         hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
         self.data = np.concatenate(pieces) if pieces else np.zeros(0, np.uint8)
-        self.keys, self.first, self.word = np.unique(hashes, return_index=True, return_inverse=True)
+        # distinct words in the order of their hashes, whatever the order of the texts
+        coded = pa.array(hashes).dictionary_encode()
+        number = coded.indices.to_numpy()
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))
+        order = np.argsort(hashes[first], kind="stable")
+        self.first, self.keys = first[order], hashes[first[order]]
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order))
+        self.word = place[number]
         self.counts = np.bincount(self.rows, minlength=self.n)
-
-    def encode(self, bpe: WordBpe, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Subword ids of some distinct words in a row, and their n + 1 offsets."""
-        if not len(which):
-            return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        ends = np.cumsum(self.sizes)
-        at = self.first[which]
-        size = self.sizes[at]
-        stop = np.cumsum(size)
-        place = np.repeat(ends[at] - size - (stop - size), size) + np.arange(stop[-1])
-        return bpe.encode_bytes(self.data[place], stop)
+        self._encoded = None
+
+    def encoded(self, bpe: WordBpe) -> tuple[np.ndarray, np.ndarray]:
+        """Subword ids of the distinct words in a row, and their n + 1 offsets."""
+        if self._encoded is None:
+            ends = np.cumsum(self.sizes)
+            size = self.sizes[self.first]
+            stop = np.cumsum(size)
+            place = np.repeat(ends[self.first] - stop, size) + np.arange(int(size.sum()))
+            ids, offsets = bpe.encode_bytes(self.data[place], stop) if len(stop) else (np.zeros(0), np.zeros(1, np.int64))
+            self._encoded = ids.astype(np.int16), offsets
+        return self._encoded
 
     def lengths(self, bpe: WordBpe) -> np.ndarray:
         """Tokens of each text, with its end."""
-        _, offsets = self.encode(bpe, np.arange(len(self.keys)))
+        _, offsets = self.encoded(bpe)
         return np.bincount(self.rows, weights=np.diff(offsets)[self.word], minlength=self.n).astype(np.int64) + 1
 
     def groups(self, rows: np.ndarray) -> list[np.ndarray]:
@@ -90,18 +97,18 @@ class Texts:
 
     def subwords(self, bpe: WordBpe, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of some texts: words (numbers of tokens), token ids with an end after each text, sizes of the texts."""
-        chosen = np.zeros(self.n, bool)
-        chosen[rows] = True
-        mine = np.flatnonzero(chosen[self.rows])
-        which, local = np.unique(self.word[mine], return_inverse=True)
-        ids, offsets = self.encode(bpe, which)
-        lengths = np.diff(offsets)[local]
+        all_ids, offsets = self.encoded(bpe)
+        count = self.counts[rows]
+        before = np.cumsum(self.counts) - self.counts
+        mine = np.repeat(before[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        words = self.word[mine]
+        lengths = np.diff(offsets)[words]
+        ends = np.cumsum(lengths)
         total = int(lengths.sum())
-        flat = ids[np.repeat(offsets[local] - (np.cumsum(lengths) - lengths), lengths) + np.arange(total)]
-        number = np.cumsum(chosen) - 1
-        inner = np.bincount(number[self.rows[mine]], weights=lengths, minlength=len(rows)).astype(np.int64)
+        flat = all_ids[np.repeat(offsets[words] - (ends - lengths), lengths) + np.arange(total)]
+        inner = np.diff(np.append(0, ends)[np.append(0, np.cumsum(count))])
         sizes = inner + 1
-        out = np.full(int(sizes.sum()), attention.END, np.int64)
+        out = np.full(int(sizes.sum()), attention.END, np.int16)
         shift = np.cumsum(sizes) - sizes - (np.cumsum(inner) - inner)
         out[np.repeat(shift, inner) + np.arange(total)] = flat
         return mine, lengths, out, sizes
@@ -161,6 +168,7 @@ def _local_model(texts: Texts, train: np.ndarray, vocabulary: str, start: dict)
 
 def _report(n_shards: int, vocabulary: str, start: bytes):
     def report(table: pa.Table) -> pa.Table:
+        keep_memory()
         number = table.column("block")[0].as_py()
         texts = Texts(_column(table))
         train = ~table.column("held_out").to_numpy()
@@ -210,6 +218,7 @@ def _add_up(table: pa.Table) -> pa.Table:
 
 def _scores(n_shards: int, vocabulary: str, model: bytes, n_tokens: int, n_types: int):
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        keep_memory()
         texts = Texts(_column(docs))
         keys = np.append(texts.keys, END_KEY)
         order, edges = _split(keys, n_shards)
@@ -231,7 +240,7 @@ def _scores(n_shards: int, vocabulary: str, model: bytes, n_tokens: int, n_types
             real = targets >= 0
             per_token[(first[:, None] + np.arange(attention.STRIDE))[real]] = found[real]
             # tokens of each word, and the end of each text
-            inner = np.bincount(np.searchsorted(mine, rows[words]), minlength=len(mine))
+            inner = texts.counts[mine]
             spans = np.ones(len(words) + len(mine), np.int64)
             end_at = np.cumsum(inner + 1) - 1
             is_word = np.ones(len(spans), bool)
@@ -265,6 +274,7 @@ def _common_model(training: DataFrame, vocabulary: str) -> bytes:
     """
 
     def fit(batches):
+        keep_memory()
         texts = Texts(pa.chunked_array([b.column(0) for b in batches], pa.string()).combine_chunks())
         if texts.n:
             yield pa.RecordBatch.from_pydict({"model": pa.array([_start_model(texts, vocabulary)], pa.binary())})
@@ -295,7 +305,7 @@ def lm_scores(docs: DataFrame, held_out, vocabulary: str, folder: str | None = N
     )
     start = _common_model(docs.filter(~F.col("held_out")), vocabulary)
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
-    blocks = blocks.repartition(2 * n_parts, "block")
+    blocks = blocks.repartitionById(n_blocks, "block")  # one task for each; hashed numbers leave tasks uneven
     counts = blocks.groupBy("block").applyInArrow(_report(n_shards, vocabulary, start), _COUNTS)
     answers = written(counts.groupBy("shard").applyInArrow(_add_up, _ANSWERS), folder, "answers")
     # one row of sums, and as many models as there are groups
@@ -305,6 +315,6 @@ def lm_scores(docs: DataFrame, held_out, vocabulary: str, folder: str | None = N
     if models:
         total = sum(np.frombuffer(x["model"], np.float64) for x in models) / sum(x["weight"] for x in models)
         model = total.astype(np.float32).tobytes()
-    replies = answers.filter("block is not null").select("block", "shard", "counts")
+    replies = answers.filter("block is not null").select("block", "shard", "counts").repartitionById(n_blocks, "block")
     score = _scores(n_shards, vocabulary, model, n_tokens, n_types)
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, SCHEMA)

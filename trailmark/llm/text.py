@@ -24,6 +24,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def keep_memory() -> None:
+    """Lets this process use memory of arrays below 30 MB again, instead of giving it back at each release.
+
+    The C library raises its limits to the largest block released (mallopt(3)). Below them, the first touch of fresh
+    pages can take as long as the work on the arrays.
+    """
+    np.empty(30 << 20, np.uint8)
+
+
 class Words(NamedTuple):
     starts: np.ndarray  # byte positions in the slice
     ends: np.ndarray
